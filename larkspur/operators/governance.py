@@ -80,7 +80,7 @@ def keyset_page(rows: DataFrame, order: list[str], cursor: DataFrame, size: int)
     )
 
 
-def replay(events: DataFrame, aggregate: str, version: str, event: str) -> DataFrame:
+def replay(events: DataFrame, aggregate: str, version: str, event: str, *state: Column) -> DataFrame:
     """Last event and version gaps per aggregate from a partial aggregate.
 
     Versions are unique and start at 1, so gaps = last version - number of versions.
@@ -90,6 +90,7 @@ def replay(events: DataFrame, aggregate: str, version: str, event: str) -> DataF
         F.max(version).alias("last_version"),
         F.max_by(event, version).alias("last_event"),
         (F.max(version) - F.count(F.lit(1))).alias("gaps"),
+        *state,
     )
 
 

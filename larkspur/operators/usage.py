@@ -74,7 +74,7 @@ def cost_report(usage: DataFrame, group_by: str, as_of: Column, days: int = 30)
     """Breakdown rows plus one total row, from a single pass (grand total of the groups)."""
     key = USAGE_KEYS.get(group_by, "model")
     rows = within_days(usage, "ts", as_of, days).withColumn("day", day_text(F.col("ts")))
-    return rows.rollup(F.col(key).alias("group_key")).agg(
+    return rows.withColumn("group_key", F.col(key)).rollup("group_key").agg(
         F.when(F.grouping("group_key") == 1, "total").otherwise("group").alias("row_type"),
         usd(F.sum("cost_usd")).alias("total_cost"),
         F.count(F.lit(1)).alias("calls"),

@@ -4,7 +4,6 @@ An event is read as one call: model, tool or action = ``event_type``; client,
 tenant or agent = ``user_id``; cost and latency = ``value``; tokens = ``props.k``.
 """
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from larkspur.operators import governance, ordered, usage
@@ -569,9 +568,8 @@ def event_replay(t):
         F.unix_date(F.col("ts").cast("date")),
         "version",
     )
-    return governance.replay(versioned, "user_id", "version", "event_id").join(
-        versioned.groupBy("user_id").agg(usage.usd(F.sum(usage.money(F.col("value")))).alias("state_value")), "user_id"
-    )
+    state = usage.usd(F.sum(usage.money(F.col("value")))).alias("state_value")
+    return governance.replay(versioned, "user_id", "version", "event_id", state)
 
 
 @query(
