@@ -86,7 +86,7 @@ def headline(text: Column, terms: list[str], max_words: int = 50) -> Column:
     """Up to ``max_words`` words from the first term on, with the terms marked."""
     alternatives = "|".join(terms)
     start = F.regexp_instr(text, F.lit(rf"(?iU)\b({alternatives})\b"))
-    tail = F.when(start > 0, F.expr("1") * 0 + start).otherwise(F.lit(1))
+    tail = F.greatest(start, F.lit(1))
     shown = F.array_join(F.slice(F.split(F.substring(text, tail, F.length(text)), r"\s+"), 1, max_words), " ")
     return F.regexp_replace(shown, rf"(?iU)\b({alternatives})\b", "<b>$1</b>")
 

@@ -1,8 +1,8 @@
 """Vector top-k over tables of queries, and what is built on it.
 
 The scores are block matrix products inside Arrow batches; Spark spreads and
-merges them. The smaller side is shipped to every task only after its size was
-counted. When neither side is small both are cut into blocks and each pair of
+merges them. The smaller side is shipped to every task only when its size was
+found to be within a limit. When neither side is small both are cut into blocks and each pair of
 blocks is one task, so nothing grows with the data but the number of tasks.
 """
 
@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 from larkspur.functions.vectors import SCORE_DIGITS
 from larkspur.operators.ordered import first_n
 
-# Most vectors one side may have to be shipped to every task.
-SHIP_LIMIT = 20_000
+# Most vectors one side may have to be shipped to every task (100 MB at 1 536 dimensions).
+SHIP_LIMIT = 8_192
 QUERY_BLOCK = 4_096
 CORPUS_BLOCK = 65_536
 CELLS = 4_000_000
@@ -88,10 +88,9 @@ def _vectors(df: DataFrame, id_col: str, vec_col: str, id_as: str, vec_as: str)
 
 
 def _small(df: DataFrame) -> pa.Table | None:
-    """The frame as a local table if it has at most ``SHIP_LIMIT`` rows; counted first."""
-    if df.limit(SHIP_LIMIT + 1).count() > SHIP_LIMIT:
-        return None
-    return df.toArrow()
+    """The frame as a local table if it has at most ``SHIP_LIMIT`` rows, else None; never fetches more."""
+    fetched = df.limit(SHIP_LIMIT + 1).toArrow()
+    return fetched if len(fetched) <= SHIP_LIMIT else None
 
 
 def _out_schema(queries: DataFrame, corpus: DataFrame) -> T.StructType:
@@ -157,7 +156,6 @@ def top_k(
                 ids, vectors = shipped.value
                 for batch in batches:
                     if len(batch) and len(vectors):
-                        best = _Best(k, at_least)
                         asked = _matrix(batch["query_vec"])
                         step = max(1, CELLS // len(vectors))
                         names = batch["query_id"].to_numpy(zero_copy_only=False)
