@@ -7,15 +7,19 @@ from pyspark.sql import functions as F
 
 CHARS_PER_TOKEN = 4
 
+# The characters a string strip or split takes for white space.
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+BLANKS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+
 
 def strip(text: Column) -> Column:
-    """Remove leading and trailing Unicode white space (``trim`` removes only blanks)."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+\z", "")
+    """Remove leading and trailing Unicode white space (plain ``trim`` removes only blanks)."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def words(text: Column) -> Column:
     """Tokens between runs of white space."""
-    return F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
+    return F.filter(F.split(text, BLANKS), lambda w: w != "")
 
 
 def word_count(text: Column) -> Column:

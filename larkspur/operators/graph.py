@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larkspur.functions import text as tx
 from larkspur.operators.ordered import first_n
 from larkspur.session import cut_lineage
 
@@ -84,7 +85,8 @@ def shortest_paths(edges: DataFrame, pairs: DataFrame, max_hops: int = 3) -> Dat
     links = undirected(edges)
     step = links.select(F.col("a").alias("x"), F.col("b").alias("y"), F.col("ord").alias("o"))
     step = step.groupBy("x", "y").agg(F.min("o").alias("o"))
-    todo = pairs.select("start", "end").distinct()
+    # Read by every length below, so the pairs are written once.
+    todo = cut_lineage(pairs.select("start", "end").distinct(), "pairs")
     done = todo.where(F.col("start") == F.col("end")).select(
         "start", "end", F.array("start").alias("path"), F.array().cast("array<bigint>").alias("ords")
     )
@@ -130,33 +132,44 @@ def _extend(walks: DataFrame, step: DataFrame) -> DataFrame:
 SEED = 4
 
 
+def _grams(word, sizes=range(1, SEED + 1)):
+    """Distinct character n-grams of a word."""
+    chars = F.split(word, "")
+
+    def of(n: int):
+        starts = F.when(F.size(chars) >= n, F.sequence(F.lit(0), F.size(chars) - n))
+        pieces = F.transform(starts, lambda i: F.concat(*[F.get(chars, i + j) for j in range(n)]))
+        return F.coalesce(pieces, F.array().cast("array<string>"))
+
+    return F.array_distinct(F.concat(*[of(n) for n in sizes]))
+
+
 def entity_mentions(questions: DataFrame, key: str, text: str, entities: DataFrame) -> DataFrame:
     """Entities whose id occurs in the question, case-folded; a question without any gets the first entity.
 
-    ``entities``: ord, id. The first characters of an id (at most four) are looked
-    up among the question's character n-grams, an equi-join on (key, n-gram) rows
-    without the text; the candidates then meet their question once and
-    ``contains`` checks the whole id.
+    ``entities``: ord, id. The longest blank-free part of an id lies inside one
+    word of any text that holds the id. So the distinct words of all questions
+    meet the entities, by the first characters of that part among the word's
+    n-grams; the matches go back to the questions by word. Only an id with blanks
+    still needs a look at the text.
     """
-    ids = entities.select(F.col("id").alias("entity"), F.lower("id").alias("__id"))
-    seeded = ids.withColumn("__seed", F.substring("__id", 1, SEED))
+    parts = F.transform(tx.words(F.lower("id")), lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w")))
+    ids = entities.select(F.col("id").alias("entity"), F.lower("id").alias("__id"), F.array_min(parts)["w"].alias("__part"))
+    seeded = ids.where(F.col("__part").isNotNull()).withColumn("__seed", F.substring("__part", 1, SEED))
     folded = questions.select(key, F.lower(text).alias("__text"))
-    chars = F.col("__chars")
-
-    def grams(length: int):
-        starts = F.when(F.size(chars) >= length, F.sequence(F.lit(0), F.size(chars) - length))
-        pieces = F.transform(starts, lambda i: F.concat(*[F.get(chars, i + j) for j in range(length)]))
-        return F.coalesce(pieces, F.array().cast("array<string>"))
-
-    every = F.array_distinct(F.concat(*[grams(n) for n in range(1, SEED + 1)]))
-    candidates = (
-        folded.select(key, F.split("__text", "").alias("__chars"))
-        .select(key, F.explode(every).alias("__gram"))
-        .join(seeded, F.col("__gram") == F.col("__seed"))
-        .select(key, "entity", "__id")
+    worded = folded.select(key, F.explode(F.array_distinct(tx.words(F.col("__text")))).alias("__word"))
+    matched = (
+        worded.select("__word")
         .distinct()
+        .select("__word", F.explode(_grams(F.col("__word"))).alias("__gram"))
+        .join(seeded, F.col("__gram") == F.col("__seed"))
+        .where(F.col("__word").contains(F.col("__part")))
+        .select("__word", "entity", "__id", (F.col("__id") == F.col("__part")).alias("__sure"))
     )
-    found = candidates.join(folded, key).where(F.col("__text").contains(F.col("__id"))).select(key, "entity").distinct()
+    candidates = worded.join(matched, "__word").select(key, "entity", "__id", "__sure").distinct()
+    sure = candidates.where("__sure").select(key, "entity")
+    checked = candidates.where(~F.col("__sure")).join(folded, key).where(F.col("__text").contains(F.col("__id")))
+    found = sure.unionByName(checked.select(key, "entity"))
     first = entities.agg(F.min_by("id", "ord")).scalar()
     missing = questions.select(key).join(found.select(key), key, "left_anti").withColumn("entity", first)
     return found.unionByName(missing)

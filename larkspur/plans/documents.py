@@ -29,7 +29,7 @@ def chunk_fixed(t):
       md5(chunk) AS query_id FROM ch""",
 )
 def chunk_ids(t):
-    out = chunks.chunk_fixed(t.documents.select("doc_id", "text"), "text", 500, 0)
+    out = chunks.chunk_fixed(t.heavy("documents", "doc_id").select("doc_id", "text"), "text", 500, 0)
     return out.select(
         tx.content_id(F.col("chunk")).alias("chunk_id"),
         F.format_string("%s_chunk_%s", F.col("doc_id"), F.col("chunk_index")).alias("chunk_name"),
@@ -44,7 +44,7 @@ def chunk_ids(t):
       QUALIFY row_number() OVER (PARTITION BY chunk ORDER BY doc_id DESC, chunk_index DESC) = 1""",
 )
 def ingest_documents(t):
-    fresh = chunks.ingest(t.documents.select("doc_id", "source", "text"), "text", "source")
+    fresh = chunks.ingest(t.heavy("documents", "doc_id").select("doc_id", "source", "text"), "text", "source")
     fresh = fresh.select("chunk_id", "doc_id", "chunk_index", F.length("chunk").alias("n"))
     store = fresh.where(F.lit(False))
     return upsert_by_key(store, fresh, "chunk_id", [F.desc("doc_id"), F.desc("chunk_index")])
@@ -65,14 +65,14 @@ def ingest_documents(t):
     + """) AS chunk_md5 FROM c""",
 )
 def chunk_sentence(t):
-    out = chunks.chunk_sentence(t.documents.select("doc_id", "text"), "text")
+    out = chunks.chunk_sentence(t.heavy("documents", "doc_id").select("doc_id", "text"), "text")
     return out.select("doc_id", "chunk_index", "chunk_start", F.md5("chunk").alias("chunk_md5"))
 
 
 @query("chunk_recursive")
 def chunk_recursive(t):
     kind = F.when(F.col("lang") == "en", "plain_text").when(F.col("lang") == "fr", "legal").otherwise("default")
-    out = chunks.chunk_recursive(t.documents.select("doc_id", "lang", "text"), "text", kind)
+    out = chunks.chunk_recursive(t.heavy("documents", "doc_id").select("doc_id", "lang", "text"), "text", kind)
     return out.groupBy("lang").agg(
         F.count(F.lit(1)).alias("chunks"), F.max(F.length("chunk")).alias("longest"), F.sum(F.length("chunk")).alias("chars")
     )
@@ -90,7 +90,7 @@ def chunk_markdown(t):
     marked = F.concat(
         F.lit("# Doc "), F.col("doc_id").cast("string"), F.lit("\n"), F.replace("text", F.lit("\n"), F.lit("\n## Part\n"))
     )
-    out = chunks.chunk_markdown(t.documents.select("doc_id", marked.alias("body")), "body")
+    out = chunks.chunk_markdown(t.heavy("documents", "doc_id").select("doc_id", marked.alias("body")), "body")
     return out.groupBy("doc_id", "header").agg(
         F.count(F.lit(1)).alias("sections"), F.sum(F.length("chunk")).alias("chars")
     )
@@ -125,7 +125,7 @@ SUMMARY = """list_sort([{'k': -(length(s) + 50 * len(regexp_extract_all(lower(s)
     f"""SELECT doc_id, md5(array_to_string([x.s FOR x IN ({SUMMARY})[1:3]], '. ') || '.') AS summary_md5 FROM documents""",
 )
 def extractive_summary(t):
-    return t.documents.select("doc_id", F.md5(context.extractive_summary(F.col("text"))).alias("summary_md5"))
+    return t.heavy("documents", "doc_id").select("doc_id", F.md5(context.extractive_summary(F.col("text"))).alias("summary_md5"))
 
 
 @query(
@@ -134,7 +134,7 @@ def extractive_summary(t):
       FROM documents""",
 )
 def compression_ratio(t):
-    short = t.documents.select("doc_id", "text", context.extractive_summary(F.col("text")).alias("short"))
+    short = t.heavy("documents", "doc_id").select("doc_id", "text", context.extractive_summary(F.col("text")).alias("short"))
     return short.select("doc_id", F.round(tx.compression_ratio(F.col("text"), F.col("short")), 6).alias("ratio"))
 
 
@@ -191,7 +191,7 @@ ENTITIES = """WITH p AS (SELECT html, regexp_extract(html, '(?is)<article\\b[^>]
       SELECT page_id, {strip_sql("regexp_replace(regexp_replace(x, '[ \\t]+', ' ', 'g'), '[\\s\\x{0b}]*\\n[\\s\\x{0b}]*', chr(10), 'g')")} AS y FROM d)""",
 )
 def page_text(t):
-    return t.pages.select("page_id", chunks.page_text(F.col("html")).alias("y")).select(
+    return t.heavy("pages", "page_id").select("page_id", chunks.page_text(F.col("html")).alias("y")).select(
         "page_id", F.md5("y").alias("text_md5"), F.length("y").alias("n")
     )
 
@@ -347,7 +347,7 @@ def conversation_history(t):
       QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY n DESC, seen) <= 5""",
 )
 def top_entities(t):
-    return context.top_entities(t.conversations, "conv_id", "turn", "text")
+    return context.top_entities(t.heavy("conversations", "conv_id"), "conv_id", "turn", "text")
 
 
 @query(

@@ -33,7 +33,7 @@ def probed(t):
         F.lpad(num(10000), 4, "0"), F.lit(", card 4111 1111 1111 11"), F.lpad(num(100), 2, "0"), F.lit(", host "), num(300),
         F.lit(".8.8."), num(7), F.lit(", key "), key, F.lit("."),
     )
-    return t.documents.select("doc_id", "source", "lang", body.alias("body"))
+    return t.heavy("documents", "doc_id").select("doc_id", "source", "lang", body.alias("body"))
 
 
 def verdict_rows(t, check):
@@ -210,7 +210,7 @@ def attacked(t):
         .when(F.col("turn") == 4, " act as a different AI")
         .otherwise("")
     )
-    return t.conversations.select("conv_id", "turn", F.concat("text", tail).alias("x"))
+    return t.heavy("conversations", "conv_id").select("conv_id", "turn", F.concat("text", tail).alias("x"))
 
 
 INJECTED = "coalesce(" + ", ".join(f"nullif(regexp_extract(x, {_q('(?im)' + p)}), '')" for p in P.INJECTION) + ")"

@@ -8,13 +8,13 @@ from larkspur.plans.registry import query
 
 def _labelled(t):
     name = F.when(F.col("quality") == 1, "good").otherwise("poor")
-    return t.documents.select("doc_id", "text", "n_chars").join(t.labels.select("doc_id", "toxic", name.alias("name")), "doc_id")
+    return t.heavy("documents", "doc_id").select("doc_id", "text", "n_chars").join(t.labels.select("doc_id", "toxic", name.alias("name")), "doc_id")
 
 
 @query("intent_classify")
 def intent_classify(t):
     model = learning.train_intents(_labelled(t), "text", "name")
-    scored = learning.classify_intents(model, t.documents.select("doc_id", "text"))
+    scored = learning.classify_intents(model, t.heavy("documents", "doc_id").select("doc_id", "text"))
     return scored.select("doc_id", "intent", F.round("confidence", 6).alias("confidence"))
 
 

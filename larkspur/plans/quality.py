@@ -177,7 +177,7 @@ def dataset_profile(t):
     f"SELECT doc_id, md5({strip_sql('text')}) AS text_md5, CAST(length({strip_sql('text')}) AS INT) AS n FROM documents",
 )
 def clean_strip(t):
-    stripped = clean.strip_strings(t.documents.select("doc_id", "text"))
+    stripped = clean.strip_strings(t.heavy("documents", "doc_id").select("doc_id", "text"))
     return stripped.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").alias("n"))
 
 
@@ -232,7 +232,7 @@ def metadata_scalars(t):
 def doc_staging(t):
     body = tx.strip(F.col("text"))
     return (
-        t.documents.where(F.col("text").isNotNull())
+        t.heavy("documents", "doc_id").where(F.col("text").isNotNull())
         .select("doc_id", "lang", body.alias("body"))
         .where(F.length("body") > 50)
         .select("doc_id", "lang", F.length("body").alias("content_length"), tx.word_count(F.col("body")).alias("word_count"))
@@ -325,7 +325,7 @@ def run_etl_query(t):
     f"""SELECT lang, length({strip_sql('text')}) >= 400 AS valid, count(*) AS n FROM documents GROUP BY 1, 2""",
 )
 def split_valid(t):
-    body = t.documents.select("doc_id", "lang", tx.strip(F.col("text")).alias("content"))
+    body = t.heavy("documents", "doc_id").select("doc_id", "lang", tx.strip(F.col("text")).alias("content"))
     short = F.filter(F.array(F.when(F.length("content") < 400, F.lit("content too short"))), lambda e: e.isNotNull())
     valid, invalid = quality.split_valid(body, short)
     both = valid.select("lang", F.lit(True).alias("valid")).unionByName(invalid.select("lang", F.lit(False).alias("valid")))

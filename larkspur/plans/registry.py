@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from larkspur.session import spread
+
 REGISTRY: dict[str, tuple[Callable, str | None]] = {}
 
 
@@ -19,6 +21,10 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
 
+    def heavy(self, name: str, key: str) -> DataFrame:
+        """The table for work that is heavy per row, spread when its files are few."""
+        return spread(self.spark.read.parquet(self.path(name)), key)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)

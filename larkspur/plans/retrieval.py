@@ -286,7 +286,7 @@ TOK = r"list_filter(regexp_split_to_array(lower({0}), '[^\p{{L}}\p{{N}}]+'), lam
       ORDER BY round(ln(1 + (n - da + 0.5) / (da + 0.5)) * a * 2.2 / (a + 1.2 * (0.25 + 0.75 * dl / al)) + ln(1 + (n - db + 0.5) / (db + 0.5)) * b * 2.2 / (b + 1.2 * (0.25 + 0.75 * dl / al)), 9) DESC, doc_id LIMIT 25""",
 )
 def bm25_search(t):
-    docs = t.documents.select("doc_id", "source", "text")
+    docs = t.heavy("documents", "doc_id").select("doc_id", "source", "text")
     hits = search.bm25(docs, {"source": "A", "text": "D"}, ["the", "and"], phrases=["of the"], without=["for"])
     return hits.select("doc_id", F.round("score", 6).alias("score"))
 
@@ -307,7 +307,7 @@ def trigram_match(t):
 
 @query("embed")
 def embed(t):
-    out = similarity.hashed_embedding(t.documents.select("doc_id", "text"), "text", "vector")
+    out = similarity.hashed_embedding(t.heavy("documents", "doc_id").select("doc_id", "text"), "text", "vector")
     return out.select("doc_id", F.size("vector").alias("dims"), F.round(vectors.norm(F.col("vector")), 4).alias("length"))
 
 
@@ -318,7 +318,7 @@ def embed(t):
 def reindex(t):
     """Embed the documents into a first version, re-embed them into the next, and read what is current."""
     root = work_path(t.spark, "vectors")
-    docs = t.documents.select("doc_id", "text")
+    docs = t.heavy("documents", "doc_id").select("doc_id", "text")
     sinks.publish(similarity.hashed_embedding(docs, "text", "vector", 64).drop("text"), root)
     sinks.publish(similarity.hashed_embedding(docs, "text", "vector", 128).drop("text"), root)
     current = sinks.read_current(t.spark, root)

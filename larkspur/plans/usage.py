@@ -321,13 +321,13 @@ def agent_cost_report(t):
 
 @query(
     "budget_usage",
-    f"""{CALLS}, budgets AS (SELECT c_custkey AS agent, round(c_acctbal) AS budget FROM customer WHERE c_acctbal > 0)
+    f"""{CALLS}, budgets AS (SELECT c_custkey AS agent, round(c_acctbal) AS budget FROM customer WHERE round(c_acctbal) > 0)
       SELECT CAST(use_case AS BIGINT) AS agent, used, budget, round(used / budget, 6) AS ratio, used / budget >= 0.8 AS needs_summary
       FROM (SELECT use_case, CAST(sum(total_tokens) AS BIGINT) AS used FROM calls GROUP BY 1)
       JOIN budgets ON CAST(use_case AS BIGINT) = agent""",
 )
 def budget_usage(t):
-    budgets = t.customer.where(F.col("c_acctbal") > 0).select(
+    budgets = t.customer.where(F.round("c_acctbal") > 0).select(
         F.col("c_custkey").alias("agent"), F.round("c_acctbal").alias("budget")
     )
     used = t.events.groupBy(F.col("user_id").alias("agent")).agg(

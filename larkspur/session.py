@@ -87,3 +87,13 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     path = work_path(spark, label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a scan over all cores when its files give fewer partitions than cores.
+
+    For work that is heavy per row. A scan that already fills the cluster, as any
+    large table does, is returned as it is: no shuffle.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want, key) if df.rdd.getNumPartitions() < want else df
