@@ -101,7 +101,7 @@ def shortest_paths(edges: DataFrame, pairs: DataFrame, max_hops: int = 3) -> Dat
             ).select("start", "end", F.concat("path", F.array("end")).alias("path"), F.concat("ords", F.array("o_end")).alias("ords"))
         else:
             if hops > 2:
-                walks = _extend(walks, step)
+                walks = _extend(walks, step, hops > 3)
             ends = last.withColumnRenamed("end", "e")
             middle = walks.join(ends, F.col("end") == F.col("e")).join(
                 step, (F.col("at") == F.col("x")) & (F.col("near") == F.col("y"))
@@ -120,13 +120,14 @@ def shortest_paths(edges: DataFrame, pairs: DataFrame, max_hops: int = 3) -> Dat
     return done.select("start", "end", "path")
 
 
-def _extend(walks: DataFrame, step: DataFrame) -> DataFrame:
+def _extend(walks: DataFrame, step: DataFrame, meet: bool) -> DataFrame:
+    """Walks one edge longer. From the second step on several may meet in a node: the first in edge order stays."""
     longer = (
         walks.join(step, F.col("at") == F.col("x"))
         .where(~F.array_contains("path", F.col("y")))
         .select("start", "end", F.col("y").alias("at"), F.concat("path", F.array("y")).alias("path"), F.concat("ords", F.array("o")).alias("ords"))
     )
-    return first_n(longer, ["start", "end", "at"], [F.col("ords")], 1)
+    return first_n(longer, ["start", "end", "at"], [F.col("ords")], 1) if meet else longer
 
 
 SEED = 4

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions import patterns as P
 from larkspur.functions import text as tx
+from larkspur.functions.text import let
 
 
 def unicode(pattern: str, flags: str = "") -> str:
@@ -32,11 +33,6 @@ def unicode(pattern: str, flags: str = "") -> str:
 Check = Callable[[Column], Column]
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it several times in ``body``."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def verdict(safe: Column, text: Column, violation: Column) -> Column:
     return F.struct(safe.alias("safe"), text.alias("text"), violation.cast("string").alias("violation"))
 

@@ -47,25 +47,27 @@ def route(intent: Column, confidence: Column) -> Column:
 
 
 def train_intents(df: DataFrame, text: str, label: str) -> PipelineModel:
-    """TF-IDF over the 1 000 most frequent words, then multinomial naive Bayes; label names come from the data."""
+    """TF-IDF over the 1 000 most frequent words, then multinomial naive Bayes; label names come from the data.
+
+    The split texts are read by three fits, so they are kept while training.
+    """
     index = StringIndexer(inputCol=label, outputCol="__y", stringOrderType="alphabetAsc").fit(df)
-    stages = [
-        index,
-        RegexTokenizer(inputCol=text, outputCol="__words", pattern=r"(?U)\W+", minTokenLength=2),
-        CountVectorizer(inputCol="__words", outputCol="__counts", vocabSize=VOCABULARY),
-        IDF(inputCol="__counts", outputCol="__features"),
-        NaiveBayes(featuresCol="__features", labelCol="__y", probabilityCol="__p", predictionCol="__z"),
-        IndexToString(inputCol="__z", outputCol="intent", labels=index.labels),
-    ]
-    return Pipeline(stages=stages).fit(df)
+    splitter = RegexTokenizer(inputCol=text, outputCol="__words", pattern=r"(?U)\W+", minTokenLength=2)
+    words = splitter.transform(index.transform(df.select(text, label))).select("__y", "__words").persist()
+    counter = CountVectorizer(inputCol="__words", outputCol="__counts", vocabSize=VOCABULARY).fit(words)
+    counts = counter.transform(words)
+    weight = IDF(inputCol="__counts", outputCol="__features").fit(counts)
+    bayes = NaiveBayes(featuresCol="__features", labelCol="__y", probabilityCol="__p", predictionCol="__z")
+    model = bayes.fit(weight.transform(counts))
+    words.unpersist()
+    names = IndexToString(inputCol="__z", outputCol="intent", labels=index.labels)
+    return PipelineModel(stages=[splitter, counter, weight, model, names])
 
 
 def classify_intents(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Add ``intent`` and ``confidence`` (highest class probability)."""
-    index, *rest = model.stages
-    scored = PipelineModel(stages=rest).transform(df)
     best = F.array_max(vector_to_array("__p"))
-    return scored.withColumn("confidence", best).select(*df.columns, "intent", "confidence")
+    return model.transform(df).withColumn("confidence", best).select(*df.columns, "intent", "confidence")
 
 
 def score_batch(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larkspur.functions.text import let
+
 # Weight of field classes A to D.
 FIELD_WEIGHTS = {"A": 1.0, "B": 0.4, "C": 0.2, "D": 0.1}
 K1, B = 1.2, 0.75
@@ -16,10 +18,6 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def _all(tests: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, tests, F.lit(True))
-
-
 def bm25(
     df: DataFrame,
     fields: dict[str, str],
@@ -32,50 +30,54 @@ def bm25(
 ) -> DataFrame:
     """Rows holding all terms and phrases and no excluded word, ranked by weighted BM25.
 
-    ``fields`` maps a text column to its class A to D. The corpus statistics are
-    one aggregate over term counts, read back as a scalar; nothing is exploded.
+    ``fields`` maps a text column to its class A to D. Each text is split once per
+    pass, into counts of the asked terms only. The corpus statistics are one
+    aggregate, read back as a scalar; no posting list is built or shuffled.
     """
     terms = [t.lower() for t in terms]
-    words = {f: F.col(f"__t_{f}") for f in fields}
-    split = df
-    for f in fields:
-        split = split.withColumn(f"__t_{f}", tokens(F.coalesce(F.col(f), F.lit(""))))
-
-    def count(field: str, term: str) -> Column:
-        return F.size(F.filter(words[field], lambda w: w == term))
-
-    length = reduce(lambda a, b: a + b, [F.size(words[f]) for f in fields])
-    counted = split.withColumn("__len", length)
-    for i, term in enumerate(terms):
-        weighted = [count(f, term) * F.lit(FIELD_WEIGHTS[c]) for f, c in fields.items()]
-        counted = counted.withColumn(f"__tf{i}", reduce(lambda a, b: a + b, weighted))
-    stats = counted.agg(
+    needles = [" " + " ".join(p.lower().split()) + " " for p in phrases]
+
+    def facts(split: Column) -> Column:
+        """What the query needs to know of a row, from its split fields."""
+        lists = [split[f] for f in fields]
+
+        def anywhere(test) -> Column:
+            return reduce(lambda a, b: a | b, [test(words) for words in lists])
+
+        def frequency(term: str) -> Column:
+            hits = [F.size(F.filter(split[f], lambda w: w == term)) * F.lit(FIELD_WEIGHTS[c]) for f, c in fields.items()]
+            return reduce(lambda a, b: a + b, hits)
+
+        tests = [anywhere(lambda ws, n=n: F.concat(F.lit(" "), F.array_join(ws, " "), F.lit(" ")).contains(n)) for n in needles]
+        tests += [~anywhere(lambda ws, w=w: F.array_contains(ws, w.lower())) for w in without]
+        tests += [anywhere(lambda ws, t=t: F.array_contains(ws, t)) for t in terms]
+        return F.struct(
+            reduce(lambda a, b: a + b, [F.size(words) for words in lists]).alias("length"),
+            F.array(*[frequency(t) for t in terms]).alias("tf"),
+            reduce(lambda a, b: a & b, tests, F.lit(True)).alias("matches"),
+        )
+
+    split = F.struct(*[tokens(F.coalesce(F.col(f), F.lit(""))).alias(f) for f in fields])
+    row = let(split, facts)
+    stats = df.select(row.alias("m")).agg(
         F.struct(
             F.count(F.lit(1)).alias("n"),
-            F.avg("__len").alias("avg_len"),
-            *[F.count_if(F.col(f"__tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))],
+            F.avg("m.length").alias("avg_length"),
+            F.array(*[F.count_if(F.col("m.tf")[i] > 0) for i in range(len(terms))]).alias("seen"),
         )
-    ).scalar()
-
-    def contains_phrase(phrase: str) -> Column:
-        needle = " " + " ".join(phrase.lower().split()) + " "
-        joined = [F.concat(F.lit(" "), F.array_join(words[f], " "), F.lit(" ")) for f in fields]
-        return reduce(lambda a, b: a | b, [j.contains(needle) for j in joined])
-
-    def has(word: str) -> Column:
-        return reduce(lambda a, b: a | b, [F.array_contains(words[f], word.lower()) for f in fields])
-
-    matching = counted.where(
-        _all([F.col(f"__tf{i}") > 0 for i in range(len(terms))] + [contains_phrase(p) for p in phrases] + [~has(w) for w in without])
-    ).withColumn("__stats", stats)
+    )
+    # Exploding the filtered one-row array keeps the test from being pushed below and evaluated twice.
+    matching = df.select("*", F.explode(F.filter(F.array(row), lambda m: m["matches"])).alias("m"))
+    matching = matching.withColumn("s", stats.scalar())
     score = F.lit(0.0)
     for i in range(len(terms)):
-        tf, n, seen = F.col(f"__tf{i}"), F.col("__stats.n"), F.col(f"__stats.df{i}")
-        idf = F.log(1 + (n - seen + 0.5) / (seen + 0.5))
-        score = score + idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("__len") / F.col("__stats.avg_len")))
+        tf, seen = F.col("m.tf")[i], F.col("s.seen")[i]
+        idf = F.log(1 + (F.col("s.n") - seen + 0.5) / (seen + 0.5))
+        relative = 1 - B + B * F.col("m.length") / F.col("s.avg_length")
+        score = score + idf * tf * (K1 + 1) / (tf + K1 * relative)
     return (
         matching.withColumn("score", F.round(score, 9))
-        .select(key, *[f for f in fields if f != key], "score")
+        .select(*df.columns, "score")
         .orderBy(F.desc("score"), key)
         .offset((page - 1) * page_size)
         .limit(page_size)
