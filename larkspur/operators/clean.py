@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur.functions.text import strip
-from larkspur.operators.ordered import keep_first
+from larkspur.operators.ordered import keep_first, numbered
 
 
 def strip_strings(df: DataFrame) -> DataFrame:
@@ -55,15 +55,12 @@ def scalar_metadata(variant: str) -> Column:
 def build_features(df: DataFrame, text: str, ts: str, category: str) -> DataFrame:
     """Text length, word count, hour, ISO weekday (1 = Monday) and a dense category code.
 
-    Codes come from the distinct categories, a small frame, so the rows themselves
-    are not sorted.
+    Codes are positions among the distinct categories, counted in buckets of their
+    first letters; the rows themselves are not sorted.
     """
-    from pyspark.sql import Window
-
-    codes = (
-        df.select(F.col(category).alias("__cat"))
-        .distinct()
-        .withColumn("category_code", F.row_number().over(Window.partitionBy().orderBy("__cat")) - 1)
+    distinct = df.select(F.lit(1).alias("__one"), F.col(category).alias("__cat")).distinct()
+    codes = numbered(distinct, ["__one"], [F.col("__cat")], F.substring("__cat", 1, 3), "__code").select(
+        "__cat", (F.col("__code") - 1).cast("int").alias("category_code")
     )
     return (
         df.join(codes, F.col(category).eqNullSafe(F.col("__cat")))

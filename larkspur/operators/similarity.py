@@ -300,11 +300,11 @@ def cache_lookup(best: DataFrame, answers: DataFrame, as_of: Column, ttl: Column
     ``best``: query_id, doc_id, score. ``answers``: doc_id, answer, created_at.
     """
     live = answers.where(F.col("created_at") >= as_of - ttl)
-    close = F.when(F.col("score") >= at_least, F.col("doc_id"))
-    asked = best.select("query_id", "score", close.alias("doc_id"))
-    return asked.join(live, "doc_id", "left").select(
-        "query_id", F.col("answer").isNotNull().alias("hit"), "answer", "score"
-    )
+    close = F.coalesce(F.col("score") >= at_least, F.lit(False))
+    # Misses by score have nothing to look up; leaving them out of the join keeps their null key from piling up.
+    looked = best.where(close).join(live, "doc_id", "left").select("query_id", "answer", "score")
+    missed = best.where(~close).select("query_id", F.lit(None).cast("string").alias("answer"), "score")
+    return looked.unionByName(missed).withColumn("hit", F.col("answer").isNotNull())
 
 
 def cache_stats(lookups: DataFrame, saved_per_hit: float = 0.0001) -> DataFrame:
@@ -330,8 +330,10 @@ def exact_cache_lookup(requests: DataFrame, cached: DataFrame, as_of: Column, tt
     live = cached.where(F.col("created_at") >= as_of - ttl).groupBy("key").agg(
         F.max_by("response", "created_at").alias("response")
     )
-    key = F.when(F.coalesce(F.col("temperature"), F.lit(0.0)) == 0, F.col("key"))
-    return requests.withColumn("key", key).join(live, "key", "left").withColumn("hit", F.col("response").isNotNull())
+    fixed = F.coalesce(F.col("temperature"), F.lit(0.0)) == 0
+    looked = requests.where(fixed).join(live, "key", "left").select(*requests.columns, "response")
+    others = requests.where(~fixed).withColumn("response", F.lit(None).cast("string"))
+    return looked.unionByName(others).withColumn("hit", F.col("response").isNotNull())
 
 
 def answer_sources(hits: DataFrame, sources: DataFrame) -> DataFrame:

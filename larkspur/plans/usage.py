@@ -565,7 +565,7 @@ def event_replay(t):
         t.events.select("user_id", "event_id", "ts", "value"),
         ["user_id"],
         [F.col("ts"), F.col("event_id")],
-        F.unix_date(F.col("ts").cast("date")),
+        F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 60),
         "version",
     )
     state = usage.usd(F.sum(usage.money(F.col("value")))).alias("state_value")
