@@ -8,7 +8,10 @@ blocks is one task, so nothing grows with the data but the number of tasks.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -362,9 +365,6 @@ def hashed_embedding(df: DataFrame, text: str, out: str, dims: int = 64) -> Data
 
 def embed_with(df: DataFrame, text: str, out: str, load) -> DataFrame:
     """Embed with a model that ``load()`` builds once per Python worker; texts arrive in Arrow batches."""
-    from collections.abc import Iterator
-
-    import pandas as pd
 
     @F.pandas_udf("array<float>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -72,7 +72,10 @@ MAX_FILE_BYTES = 5 * 1024 * 1024
 
 
 def file_admission(files: DataFrame, admitted: dict = ADMITTED, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
-    """Mark ``binaryFile`` rows with the first reason to reject them, or null.
+    """Mark rows of (path, length, content) with the first reason to reject them, or null.
+
+    A ``binaryFile`` scan gives such rows, but leaves out empty files; rows from
+    elsewhere may hold them.
 
     Only the first bytes of a file take part in the type check; a type without a
     known beginning is text and must not hold a NUL byte there.

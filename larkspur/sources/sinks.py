@@ -95,17 +95,14 @@ def gold_publish(df: DataFrame, path: str, cluster_by: list[str], partition_by:
     return write_table(laid_out, path, "parquet", "overwrite", partition_by)
 
 
-def _fs(spark: SparkSession, root: str):
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+def exists(spark: SparkSession, path: str) -> bool:
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     """The published version of a versioned table, or None before the first one."""
-    _, fs = _fs(spark, root)
-    pointer = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_current")
-    if not fs.exists(pointer):
+    if not exists(spark, f"{root}/_current"):
         return None
     version = spark.read.text(f"{root}/_current").first()[0]
     return spark.read.parquet(f"{root}/{version}")

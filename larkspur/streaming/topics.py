@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from larkspur.session import cut_lineage
+from larkspur.sources.sinks import exists
+
 
 def kafka_options(servers: str, topic: str, group: str | None = None, from_start: bool = True) -> dict[str, str]:
     options = {
@@ -108,14 +111,12 @@ def relay(spark: SparkSession, outbox: DataFrame, topics: str, ledger: str, cycl
     """
     published = 0
     schema = T.StructType([T.StructField("id", outbox.schema["id"].dataType)])
-    for cycle in range(cycles):
-        sent = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(ledger) if cycle else spark.createDataFrame([], schema)
+    for _ in range(cycles):
+        sent = spark.read.schema(schema).parquet(ledger) if exists(spark, ledger) else spark.createDataFrame([], schema)
         # The picked rows are stored first: the write and the ledger must agree on them.
-        picked_path = f"{topics}-picked/cycle={cycle}"
-        relay_once(outbox, sent, limit).write.mode("overwrite").parquet(picked_path)
-        picked = spark.read.parquet(picked_path)
+        picked = cut_lineage(relay_once(outbox, sent, limit), "picked")
         publish_files(messages_of(picked, F.col("aggregate_type"), F.col("event_type"), "id", F.col("payload")), topics)
-        picked.select("id").write.mode("overwrite").parquet(f"{ledger}/cycle={cycle}")
+        picked.select("id").write.mode("append").parquet(ledger)
         count = picked.count()
         published += count
         if count < limit:

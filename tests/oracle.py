@@ -42,6 +42,23 @@ def rows_of(columns, rows):
     return [columns[i] for i in place], sorted(tuple(plain(r[i]) for i in place) for r in rows)
 
 
+KINDS = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+}
+
+
+def type_differences(df, con, sql) -> str:
+    """Columns whose types do not correspond."""
+    want = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    got = {c: KINDS.get(t, t) for c, t in df.dtypes}
+    return ", ".join(f"{c}: {got[c]} vs {want.get(c)}" for c in got if got[c] != want.get(c))
+
+
 def differences(df, con, sql) -> str:
     """Empty when both give the same columns and the same bag of rows."""
     got_cols, got = rows_of(df.columns, [tuple(r) for r in df.collect()])
