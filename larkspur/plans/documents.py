@@ -252,7 +252,7 @@ QUESTION, SYSTEM = "What is new?", "Answer from the documents below."
     f"""{PACK} SELECT source, doc_id, rank, is_cut, CAST(greatest(1, length(piece) // 4) AS INT) AS tokens, md5(piece) AS piece_md5 FROM k""",
 )
 def pack_context(t):
-    return _packed(t).select("source", "doc_id", "rank", "is_cut", "tokens", F.md5("piece").alias("piece_md5"))
+    return _packed(t).select("source", "doc_id", F.col("rank").cast("bigint").alias("rank"), "is_cut", "tokens", F.md5("piece").alias("piece_md5"))
 
 
 def _packed(t):
@@ -334,7 +334,7 @@ def conversation_history(t):
     pages = context.conversation_history(t.conversations, "conv_id", "turn", page_size=4)
     lines = F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["text"]))
     return pages.select(
-        "conv_id", "page", F.size("messages").alias("n"), F.md5(F.array_join(lines, "\n")).alias("text_md5")
+        "conv_id", "page", F.size("messages").cast("bigint").alias("n"), F.md5(F.array_join(lines, "\n")).alias("text_md5")
     )
 
 

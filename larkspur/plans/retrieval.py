@@ -214,7 +214,7 @@ def semantic_cache_lookup(t):
 @query(
     "cache_stats",
     f"""{CACHE} SELECT count(answer) AS hits, count(*) - count(answer) AS misses, round(count(answer) / count(*), 6) AS hit_rate,
-      round(count(answer) * 0.0001, 6) AS cost_saved FROM look""",
+      round(count(answer) * 0.0001::DOUBLE, 6) AS cost_saved FROM look""",
 )
 def cache_stats(t):
     return similarity.cache_stats(_lookups(t))

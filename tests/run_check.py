@@ -26,8 +26,7 @@ for name, fn in queries.items():
     try:
         df = fn(spark, sf)
         if name in sqls:
-            note = oracle.differences(df, con, sqls[name])
-            n = "" if note else f"{df.count()} rows"
+            note, n = oracle.differences(df, con, sqls[name]) or oracle.type_differences(df, con, sqls[name]), ""
         else:
             note, n = "", f"{df.count()} rows (no SQL)"
     except Exception as e:  # noqa: BLE001

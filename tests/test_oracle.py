@@ -15,7 +15,9 @@ def con(small_dir):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, con, small_dir, name):
-    assert oracle.differences(QUERIES[name](spark, small_dir), con, SQL[name]) == ""
+    df = QUERIES[name](spark, small_dir)
+    assert oracle.type_differences(df, con, SQL[name]) == ""
+    assert oracle.differences(df, con, SQL[name]) == ""
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
