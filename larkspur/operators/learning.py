@@ -10,6 +10,7 @@ from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, IndexToString, RegexTokenizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,17 +88,46 @@ def score_external(df: DataFrame, features: list[str], load: Callable[[], Callab
     return df.withColumn(out, run(F.struct(*features)))
 
 
+def holdout(df: DataFrame, share: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(train, test) by a hash of the row: the same rows on every pass, whatever the partitioning."""
+    held = F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(10_000)) < int(share * 10_000)
+    return df.where(~held), df.where(held)
+
+
+def classification_scores(scored: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
+    """Accuracy and support-weighted F1 as (metric, value) rows from the counts of (label, prediction)."""
+    pairs = scored.groupBy(F.col(label).alias("y"), F.col(prediction).alias("z")).agg(F.count(F.lit(1)).alias("n"))
+    actual = pairs.groupBy("y").agg(F.sum("n").alias("support"), F.sum(F.when(F.col("y") == F.col("z"), F.col("n")).otherwise(0)).alias("right"))
+    guessed = pairs.groupBy(F.col("z").alias("g")).agg(F.sum("n").alias("predicted"))
+    per_class = actual.join(guessed, F.col("y") == F.col("g"), "left").withColumn(
+        "f1", 2 * F.col("right") / (F.col("support") + F.coalesce("predicted", F.lit(0)))
+    )
+    totals = per_class.agg(
+        F.try_divide(F.sum("right"), F.sum("support")).alias("accuracy"),
+        F.try_divide(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("f1"),
+    )
+    return totals.select(F.expr("stack(2, 'accuracy', accuracy, 'f1', f1) as (metric, value)"))
+
+
 def train_eval(df: DataFrame, features: list[str], label: str, seed: int = 42, trees: int = 20) -> tuple[DataFrame, PipelineModel]:
     """80/20 split, random forest, accuracy and F1 plus feature importance as (metric, value) rows."""
-    train, test = df.randomSplit([0.8, 0.2], seed)
+    train, test = holdout(df, 0.2, seed)
     assemble = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
     forest = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, seed=seed)
     model = Pipeline(stages=[assemble, forest]).fit(train)
-    scored = model.transform(test)
-    rows = [
-        (m, float(MulticlassClassificationEvaluator(labelCol=label, metricName=m).evaluate(scored)))
-        for m in ("accuracy", "f1")
-    ]
     weights = model.stages[-1].featureImportances
-    rows += [(f"importance:{name}", float(weights[i])) for i, name in enumerate(features)]
-    return df.sparkSession.createDataFrame(rows, "metric string, value double"), model
+    importance = df.sparkSession.createDataFrame(
+        [(f"importance:{name}", float(weights[i])) for i, name in enumerate(features)], "metric string, value double"
+    )
+    return classification_scores(model.transform(test), label).unionByName(importance), model
+
+
+def cross_validate(df: DataFrame, features: list[str], label: str, depths=(3, 5), folds: int = 3, seed: int = 42):
+    """The best forest over tree depths by cross-validated F1, and the mean F1 per depth."""
+    assemble = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
+    forest = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=10, seed=seed)
+    grid = ParamGridBuilder().addGrid(forest.maxDepth, list(depths)).build()
+    judge = MulticlassClassificationEvaluator(labelCol=label, metricName="f1")
+    search = CrossValidator(estimator=forest, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, seed=seed)
+    fitted = search.fit(assemble.transform(df))
+    return fitted.bestModel, dict(zip(depths, fitted.avgMetrics))

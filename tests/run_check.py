@@ -30,7 +30,7 @@ for name, fn in queries.items():
         else:
             note, n = "", f"{df.count()} rows (no SQL)"
     except Exception as e:  # noqa: BLE001
-        note, n = f"{type(e).__name__}: {str(e)[:600]}", ""
+        note, n = f"{type(e).__name__}: {" ".join(str(e).split())[:1500]}", ""
     failed += bool(note)
     print(f"{'FAIL' if note else 'ok  '} {name} {time.time() - start:.2f}s {n}{note}", flush=True)
 print("failed:", failed)

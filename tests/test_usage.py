@@ -204,3 +204,20 @@ def test_routes(spark):
     df = spark.createDataFrame([("billing", 0.9), ("billing", 0.75), ("technical", 0.99), ("escalate", 0.9), ("escalate", 0.1)], "i string, c double")
     got = [r[0] for r in df.select(learning.route(F.col("i"), F.col("c"))).collect()]
     assert got == ["template", "llm", "llm", "escalate", "llm"]
+
+
+def test_scores_match_the_evaluator(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    rows = [(float(i % 3), float((i * 7 // 5) % 2 + (i % 4 == 0))) for i in range(60)]
+    df = spark.createDataFrame(rows, "y double, prediction double")
+    got = {r.metric: r.value for r in learning.classification_scores(df, "y").collect()}
+    for metric, value in got.items():
+        assert value == pytest.approx(MulticlassClassificationEvaluator(labelCol="y", metricName=metric).evaluate(df))
+
+
+def test_holdout_is_a_stable_split(spark):
+    df = spark.range(2000)
+    train, test = learning.holdout(df)
+    assert train.count() + test.count() == 2000 and 300 < test.count() < 500
+    assert test.join(learning.holdout(df.repartition(9))[1], "id").count() == test.count()
