@@ -14,6 +14,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larkspur.session import cut_lineage, work_path
+
 VOCABULARY = 1000
 
 # System prompt by intent, and the one for any other intent.
@@ -114,12 +116,16 @@ def train_eval(df: DataFrame, features: list[str], label: str, seed: int = 42, t
     train, test = holdout(df, 0.2, seed)
     assemble = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
     forest = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, seed=seed)
-    model = Pipeline(stages=[assemble, forest]).fit(train)
+    # Scored with the model as saved: it carries no training state into the tasks.
+    path = work_path(df.sparkSession, "forest")
+    Pipeline(stages=[assemble, forest]).fit(train).write().save(path)
+    model = PipelineModel.load(path)
+    scored = cut_lineage(model.transform(test).select(label, "prediction"), "scored")
     weights = model.stages[-1].featureImportances
     importance = df.sparkSession.createDataFrame(
         [(f"importance:{name}", float(weights[i])) for i, name in enumerate(features)], "metric string, value double"
     )
-    return classification_scores(model.transform(test), label).unionByName(importance), model
+    return classification_scores(scored, label).unionByName(importance), model
 
 
 def cross_validate(df: DataFrame, features: list[str], label: str, depths=(3, 5), folds: int = 3, seed: int = 42):
