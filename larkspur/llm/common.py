@@ -35,6 +35,15 @@ def learnable(doc_id: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds != fold, F.lit(False))
 
 
+def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """About ``rows`` rows, 2 * ``rows`` at most, by a hash of the key: for fitting a model, nothing else.
+
+    The hash is compared with a share of its range, so nothing is sorted and equal tables give equal rows.
+    """
+    share = min(1.0, rows / max(df.count(), 1))
+    return df.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30))).limit(2 * rows)
+
+
 def passes(texts: pa.Array, limit: int = PASS_BYTES) -> Iterator[list[bytes]]:
     """The texts in order as UTF-8 (null: empty), in lists of about ``limit`` bytes; no text is cut."""
     batch: list[bytes] = []

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import decontaminate, mixing, quality_rules, simhash
+from larkspur.llm import decontaminate, html_blocks, language, mixing, quality_crf, quality_rules, secret_scan, simhash, toxicity, urls
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -29,6 +29,61 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), distance=3, shingle=3)
 
 
+@query("op2_secret_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.find(_table(spark, sf_dir, "documents")))
+
+
+@query("op3_html_extraction")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(_table(spark, sf_dir, "pages"))
+
+
+#: Host, path and verdict of the rules of op4.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+@query(
+    "op4_url_filter",
+    r"""
+    WITH rest AS (
+      SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+    ), split AS (
+      SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+      FROM rest
+    ), rules(rule_host, rule_path, rule_verdict) AS (
+      VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+    ), fits AS (
+      SELECT page_id, host, path, rule_host || rule_path AS rule, rule_verdict
+      FROM split LEFT JOIN rules
+        ON (host = rule_host OR host LIKE '%.' || rule_host) AND starts_with(path, rule_path)
+      QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC NULLS LAST) = 1
+    )
+    SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FROM fits
+    """,
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge(_table(spark, sf_dir, "pages"), rules)
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query("op6_quality_classifier")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_crf.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @query("op7_benchmark_decontamination")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminations(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -64,3 +119,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_quality_rules")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
+
+
+@query("op10_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents"))
