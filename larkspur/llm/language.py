@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from larkspur.llm.common import bounded_sample, held_out, learnable
 
-SAMPLE_ROWS, SAMPLE_CHARS = 3000, 20_000
+SAMPLE_ROWS, SAMPLE_CHARS = 2000, 20_000
 FOLDS, HELD_OUT_FOLD = 5, 0
 DIMS = 1 << 13
 CENTROIDS = 4
@@ -125,13 +125,13 @@ def _clusters(x: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
 
 def fit(rows: list[tuple[str, str]], centroids: int = CENTROIDS) -> Model:
     """A model from (text, language) rows. Equal rows in equal order give equal models."""
-    found = [(n, lang) for text, lang in rows if (n := counts(text.lower())) is not None]
+    found = [(np.log1p(n, dtype=np.float32), lang) for text, lang in rows if (n := counts(text.lower())) is not None]
     languages = tuple(sorted({lang for _, lang in found}))
     if not found:
         return Model((), np.zeros(DIMS), np.zeros((0, DIMS)), np.zeros(0, np.int64), np.zeros(0))
-    n = np.stack([f[0] for f in found])
-    idf = np.log((1 + len(n)) / (1 + (n > 0).sum(0))) + 0.1
-    x = np.log1p(n) * idf
+    x = np.stack([f[0] for f in found])
+    idf = (np.log((1 + len(x)) / (1 + (x > 0).sum(0))) + 0.1).astype(np.float32)
+    x *= idf
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
     y = np.array([languages.index(lang) for _, lang in found])
     parts = [_clusters(x[y == k], centroids) for k in range(len(languages))]
