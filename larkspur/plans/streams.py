@@ -55,10 +55,10 @@ def stream_dedupe(t):
 @query(
     "outbox_relay",
     """SELECT event_type || '.' || CASE WHEN value > 100 THEN 'large' ELSE 'small' END AS topic, CAST(event_id AS VARCHAR) AS key, props AS value FROM (
-      SELECT * FROM events WHERE event_type <> 'view' ORDER BY ts, event_id LIMIT 200)""",
+      SELECT * FROM events WHERE event_type <> 'view')""",
 )
 def outbox_relay(t):
-    """Two cycles of one hundred over an outbox in which views are already published."""
+    """One pass over an outbox in which views are already published."""
     base = work_path(t.spark, "outbox")
     outbox = t.events.select(
         F.col("event_id").alias("id"),
@@ -68,7 +68,7 @@ def outbox_relay(t):
         F.col("ts").alias("created_at"),
         F.when(F.col("event_type") == "view", F.col("ts")).alias("published_at"),
     )
-    topics.relay(t.spark, outbox, f"{base}/topics", f"{base}/ledger", cycles=2)
+    topics.relay(t.spark, outbox, f"{base}/topics", f"{base}/ledger")
     return t.spark.read.parquet(f"{base}/topics").select("topic", "key", "value")
 
 
@@ -81,34 +81,32 @@ def stream_ingest(t):
     base = work_path(t.spark, "index")
     docs = stream_of(t, "documents").select("doc_id", "source", "text")
     tables.ingest_stream(docs, "text", "source", "doc_id", f"{base}/chunks", f"{base}/rejects", f"{base}/checkpoint")
-    return tables.current(t.spark, f"{base}/chunks").select("chunk_id", "doc_id", "chunk_index")
+    return tables.current_chunks(t.spark, f"{base}/chunks", "doc_id").select("chunk_id", "doc_id", "chunk_index")
 
 
 @query(
     "stream_rate_alerts",
     """WITH w AS (SELECT time_bucket(INTERVAL 10 SECOND, ts) - to_seconds(10 * o) AS s, user_id FROM events, (SELECT unnest(generate_series(0, 5)) AS o))
-      SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, user_id, count(*) AS requests FROM w
-      WHERE s + INTERVAL 1 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events) GROUP BY 1, 2 HAVING count(*) > 1""",
+      SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, user_id, count(*) AS requests FROM w GROUP BY 1, 2 HAVING count(*) > 1""",
 )
 def stream_rate_alerts(t):
     base = work_path(t.spark, "rates")
-    over = tables.rate_windows(stream_of(t, "events").select("ts", "user_id"), "user_id").where(F.col("requests") > 1)
-    topics.run_to_end(over, topics.batch_writer(f"{base}/out"), f"{base}/checkpoint")
-    out = t.spark.read.schema("window_start timestamp, user_id bigint, requests bigint").parquet(f"{base}/out")
+    windows = tables.rate_windows(stream_of(t, "events").select("ts", "user_id"), "user_id", delay="40 days")
+    tables.window_table_stream(windows, ["window_start", "user_id"], f"{base}/table", f"{base}/checkpoint")
+    out = tables.current(t.spark, f"{base}/table").where(F.col("requests") > 1)
     return out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "user_id", "requests")
 
 
 @query(
     "stream_error_alerts",
     """WITH w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS s, event_type = 'error' AS e FROM events)
-      SELECT strftime(s, '%Y-%m-%d %H:%M') AS window_start, count(*) AS requests, count(*) FILTER (WHERE e) AS errors FROM w
-      WHERE s + INTERVAL 5 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events) GROUP BY 1 HAVING count(*) FILTER (WHERE e) * 100.0 / count(*) > 5""",
+      SELECT strftime(s, '%Y-%m-%d %H:%M') AS window_start, count(*) AS requests, count(*) FILTER (WHERE e) AS errors FROM w GROUP BY 1 HAVING count(*) FILTER (WHERE e) * 100.0 / count(*) > 5""",
 )
 def stream_error_alerts(t):
     base = work_path(t.spark, "errors")
     log = stream_of(t, "events").select("ts", (F.col("event_type") == "error").alias("is_error"))
-    topics.run_to_end(tables.error_windows(log), topics.batch_writer(f"{base}/out"), f"{base}/checkpoint")
-    out = t.spark.read.schema("window_start timestamp, requests bigint, errors bigint").parquet(f"{base}/out")
+    tables.window_table_stream(tables.error_windows(log, delay="40 days"), ["window_start"], f"{base}/table", f"{base}/checkpoint")
+    out = tables.over_error_limit(tables.current(t.spark, f"{base}/table"))
     return out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start"), "requests", "errors")
 
 
@@ -139,3 +137,42 @@ def stream_memory(t):
     messages = stream_of(t, "conversations")
     tables.memory_stream(messages, "conv_id", "turn", f"{base}/table", f"{base}/checkpoint", n=4)
     return tables.current(t.spark, f"{base}/table").select("conv_id", "turn", "role")
+
+
+@query(
+    "stream_ingest_changes",
+    """WITH d AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'new ' || text ELSE text END AS text FROM documents WHERE doc_id % 5 <> 1),
+      ch AS (SELECT doc_id, i, substr(text, i * 800 + 1, 1000) AS chunk FROM d, unnest(generate_series(0, (length(text) - 1) // 800)) AS g(i) WHERE length(text) > 0)
+      SELECT substr(sha256(chunk), 1, 16) AS chunk_id, doc_id, CAST(i AS INT) AS chunk_index FROM ch""",
+)
+def stream_ingest_changes(t):
+    """All documents, then two newer versions of every fifth in one batch and a null text for the next one, each delivered twice."""
+    base = work_path(t.spark, "changes")
+    docs = t.documents.select("doc_id", "source", "text")
+    first = docs.withColumn("version", F.lit(1))
+    later = (
+        docs.where("doc_id % 5 = 0").withColumn("text", F.concat(F.lit("old "), "text")).withColumn("version", F.lit(2))
+        .unionAll(docs.where("doc_id % 5 = 0").withColumn("text", F.concat(F.lit("new "), "text")).withColumn("version", F.lit(3)))
+        .unionAll(docs.where("doc_id % 5 = 1").withColumn("text", F.lit(None).cast("string")).withColumn("version", F.lit(2)))
+    )
+    for rows in (first, later, later):
+        rows.write.mode("append").parquet(f"{base}/in")
+        stream = topics.read_files(t.spark, f"{base}/in", first.schema)
+        tables.ingest_stream(stream, "text", "source", "doc_id", f"{base}/chunks", f"{base}/rejects", f"{base}/checkpoint", "version")
+    return tables.current(t.spark, f"{base}/chunks").select("chunk_id", "doc_id", "chunk_index")
+
+
+@query(
+    "stream_memory_repeated",
+    "SELECT conv_id, turn, role FROM (SELECT DISTINCT conv_id, turn, role FROM conversations) QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) <= 3",
+)
+def stream_memory_repeated(t):
+    """Every message delivered twice in one batch and once more in the next."""
+    base = work_path(t.spark, "again")
+    rows = t.conversations
+    for copies in (2, 1):
+        for _ in range(copies):
+            rows.write.mode("append").parquet(f"{base}/in")
+        stream = topics.read_files(t.spark, f"{base}/in", rows.schema)
+        tables.memory_stream(stream, "conv_id", "turn", f"{base}/table", f"{base}/checkpoint", n=3)
+    return tables.current(t.spark, f"{base}/table").select("conv_id", "turn", "role")

@@ -51,9 +51,9 @@ class JdbcRead:
 
     def options(self, lower: object | None = None, upper: object | None = None) -> dict[str, str]:
         out = self.base_options()
-        if self.column:
-            lo = self.lower if self.lower is not None else lower
-            hi = self.upper if self.upper is not None else upper
+        lo = self.lower if self.lower is not None else lower
+        hi = self.upper if self.upper is not None else upper
+        if self.column and lo is not None and hi is not None:  # an empty table has no bounds
             out |= {
                 "partitionColumn": self.column,
                 "numPartitions": str(self.partitions),

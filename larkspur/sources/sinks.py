@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larkspur.operators.ordered import keep_first
+from larkspur.session import cut_lineage
 from larkspur.sources.files import format_of
 
 
@@ -69,11 +73,22 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
-def silver_merge(spark: SparkSession, df: DataFrame, root: str, key: str, order: list[Column]) -> DataFrame:
-    """Create the table, or upsert by key into a new version of it."""
-    current = read_current(spark, root)
-    merged = last_write_wins(df, key, order) if current is None else upsert_by_key(current, df, key, order)
-    return publish(merged, root)
+def silver_merge(
+    spark: SparkSession, df: DataFrame, root: str, key: str, order: list[Column], buckets: int = 64
+) -> DataFrame:
+    """Create the table, or upsert by key into a new version of it.
+
+    The table lies in hash buckets of its key. Only the buckets that an incoming
+    key falls into are read and written again; the new version links the others.
+    """
+    return rewrite_buckets(
+        spark,
+        root,
+        key,
+        df,
+        lambda old, new: last_write_wins(new, key, order) if old is None else upsert_by_key(old, new, key, order),
+        buckets,
+    )
 
 
 def merge_into_table(df: DataFrame, table: str, key: str) -> None:
@@ -100,25 +115,121 @@ def exists(spark: SparkSession, path: str) -> bool:
     return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
 
 
-def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    """The published version of a versioned table, or None before the first one."""
-    if not exists(spark, f"{root}/_current"):
-        return None
-    version = spark.read.text(f"{root}/_current").first()[0]
-    return spark.read.parquet(f"{root}/{version}")
+def _children(spark: SparkSession, path: str) -> list[str]:
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = there.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in system.listStatus(there)) if system.exists(there) else []
+
+
+def _newest(spark: SparkSession, root: str) -> tuple[int, dict] | None:
+    """Number and content of the newest complete version file; None before the first publish.
+
+    Version files have rising names and are never overwritten, so a crash at any
+    point leaves the one before it in force. Data without any complete version
+    file means that something was lost: that is an error, not an empty table.
+    """
+    names = _children(spark, f"{root}/_versions")
+    for name in reversed(names):
+        if exists(spark, f"{root}/_versions/{name}/_SUCCESS"):
+            return int(name), json.loads(spark.read.text(f"{root}/_versions/{name}").first()[0])
+    if names:
+        raise RuntimeError(f"{root} has data but no complete version file")
+    return None
 
 
-def publish(df: DataFrame, root: str) -> DataFrame:
+def _read(spark: SparkSession, root: str, version: dict) -> DataFrame:
+    schema = T.StructType.fromJson(version["schema"])
+    paths = [f"{root}/{p}" for p in version["parts"].values()]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def _point(spark: SparkSession, root: str, number: int, version: dict, keep: int) -> None:
+    """Write the version file, then remove data that none of the last ``keep`` versions links.
+
+    A second writer that started from the same version finds the name taken and fails.
+    """
+    line = spark.range(1).select(F.lit(json.dumps(version)).alias("value")).coalesce(1)
+    line.write.mode("errorifexists").text(f"{root}/_versions/{number:010d}")
+    names = _children(spark, f"{root}/_versions")
+    linked = set()
+    for name in names[-keep:]:
+        if exists(spark, f"{root}/_versions/{name}/_SUCCESS"):
+            held = json.loads(spark.read.text(f"{root}/_versions/{name}").first()[0])
+            linked |= {p.split("/")[0] for p in held["parts"].values()}
+    old = [f"_versions/{n}" for n in names[:-keep]]
+    if len(names) >= keep:
+        # Folders made after the newest version file may belong to a writer that is still at work.
+        old += [c for c in version["replaced"] if c not in linked]
+    for name in old:
+        there = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
+def read_current(spark: SparkSession, root: str) -> DataFrame | None:
+    """The published version of a versioned table, or None before the first one."""
+    newest = _newest(spark, root)
+    return None if newest is None else _read(spark, root, newest[1])
+
+
+def rewrite_buckets(
+    spark: SparkSession,
+    root: str,
+    key: str,
+    incoming: DataFrame,
+    merge: Callable[[DataFrame | None, DataFrame], DataFrame],
+    buckets: int = 64,
+    keep: int = 2,
+) -> DataFrame:
+    """Publish a version in which the buckets that incoming keys fall into hold ``merge(their rows, incoming)``.
+
+    ``merge`` gets None for a table that does not exist yet. The incoming rows are
+    stored once, so they are computed once however often they are read.
+    """
+    newest = _newest(spark, root)
+    number, version = newest if newest else (0, None)
+    count = version["buckets"] if version and version["buckets"] else buckets
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(count))
+    incoming = cut_lineage(incoming, "incoming")
+    touched = {str(r[0]) for r in incoming.select(bucket(key)).distinct().collect()}  # at most one row per bucket
+    parts = dict(version["parts"]) if version else {}
+    if version and not version["buckets"]:  # published as a whole: every row meets its bucket now
+        old, touched = _read(spark, root, version), {str(b) for b in range(count)}
+    elif version:
+        old = _read(spark, root, version | {"parts": {b: p for b, p in parts.items() if b in touched}})
+    else:
+        old = None
+    name = f"v-{uuid.uuid4().hex}"
+    merged = merge(old, incoming)
+    merged.withColumn("__bucket", bucket(key)).repartition("__bucket").write.partitionBy("__bucket").parquet(f"{root}/{name}")
+    made = {c.split("=")[1]: f"{name}/{c}" for c in _children(spark, f"{root}/{name}") if c.startswith("__bucket=")}
+    linked = {b: p for b, p in parts.items() if b not in touched and version["buckets"]}
+    now = {"schema": merged.schema.jsonValue(), "buckets": count, "parts": linked | made}
+    _point(spark, root, number + 1, now | {"replaced": _folders(version, now)}, keep)
+    return _read(spark, root, now)
+
+
+def _folders(version: dict | None, now: dict) -> list[str]:
+    """Folders that earlier versions linked and this one does not."""
+    if version is None:
+        return []
+    before = {p.split("/")[0] for p in version["parts"].values()} | set(version["replaced"])
+    return sorted(before - {p.split("/")[0] for p in now["parts"].values()})
+
+
+def publish(df: DataFrame, root: str, keep: int = 2) -> DataFrame:
     """Write a new version beside the old one, then point readers at it.
 
     A job that fails half-way leaves the published version untouched; readers of
-    the old version keep their files.
+    the version before keep their files. Older ones are removed.
     """
     spark = df.sparkSession
-    version = f"v-{uuid.uuid4().hex}"
-    df.write.parquet(f"{root}/{version}")
-    spark.range(1).select(F.lit(version).alias("value")).coalesce(1).write.mode("overwrite").text(f"{root}/_current")
-    return spark.read.parquet(f"{root}/{version}")
+    newest = _newest(spark, root)
+    name = f"v-{uuid.uuid4().hex}"
+    df.write.parquet(f"{root}/{name}")
+    now = {"schema": df.schema.jsonValue(), "buckets": 0, "parts": {"all": name}}
+    version = now | {"replaced": _folders(newest[1] if newest else None, now)}
+    _point(spark, root, (newest[0] if newest else 0) + 1, version, keep)
+    return _read(spark, root, version)
 
 
 def export(df: DataFrame, uri: str, fmt: str = "csv", rows_per_file: int = 500_000) -> int:

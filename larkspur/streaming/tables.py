@@ -2,40 +2,67 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from larkspur.operators import chunks
-from larkspur.operators.ordered import first_n
+from larkspur.operators.ordered import first_n, keep_first
+from larkspur.session import cut_lineage
 from larkspur.sources import sinks
 from larkspur.streaming.topics import run_to_end
 
 
-def ingest_stream(docs: DataFrame, text: str, source: str, key: str, root: str, rejects: str, checkpoint: str) -> StreamingQuery:
-    """Documents to chunks to a versioned chunk table keyed by chunk id; null texts go to ``rejects``.
-
-    A changed document arrives again under its key: its old chunks are removed
-    and its new ones upserted, so the index follows. Failed tasks are retried by
+def ingest_stream(
+    docs: DataFrame,
+    text: str,
+    source: str,
+    key: str,
+    root: str,
+    rejects: str,
+    checkpoint: str,
+    version: str | None = None,
+    embed: Callable[[DataFrame], DataFrame] | None = None,
+) -> StreamingQuery:
+    """Documents to chunks to a versioned table of (document, chunk) rows in buckets of ``key``.
+
+    A document that arrives again under its key replaces all its chunks, also when
+    its text is null now. Of several versions in one batch the one with the largest
+    ``version`` counts. A chunk that two documents share has a row for each, so it
+    stays while one of them holds it; ``current_chunks`` gives one row per chunk.
+    ``embed`` adds a column ``vector`` to the chunks. Null texts, and chunks whose
+    vector is null, go to ``rejects`` with a reason. Failed tasks are retried by
     Spark, and a repeated batch gives the same table.
     """
 
     def index(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.where(F.col(text).isNull()).write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
-        good = batch.where(F.col(text).isNotNull())
-        fresh = chunks.ingest(good, text, source)
-        order = [F.desc(key), F.desc("chunk_index")]
-        current = sinks.read_current(spark, root)
-        if current is None:
-            sinks.publish(sinks.last_write_wins(fresh, "chunk_id", order), root)
-        else:
-            kept = sinks.delete_by_key(current, good, key)
-            sinks.publish(sinks.upsert_by_key(kept, fresh, "chunk_id", order), root)
+        order = [F.desc(version)] if version else []
+        batch = cut_lineage(keep_first(batch, [key], [*order, F.desc_nulls_last(text)]), "batch")
+        fresh = chunks.ingest(batch.where(F.col(text).isNotNull()), text, source)
+        failed = batch.where(F.col(text).isNull()).select(F.col(key).cast("string").alias("key"), F.lit("no text").alias("reason"))
+        if embed:
+            fresh = cut_lineage(embed(fresh), "embedded")
+            failed = failed.unionAll(
+                fresh.where(F.col("vector").isNull()).select(F.col(key).cast("string"), F.lit("no vector")).distinct()
+            )
+            fresh = fresh.where(F.col("vector").isNotNull())
+        failed.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+
+        def replace(stored: DataFrame | None, keys: DataFrame) -> DataFrame:
+            return fresh if stored is None else sinks.delete_by_key(stored, keys, key).select(*fresh.columns).unionByName(fresh)
+
+        sinks.rewrite_buckets(batch.sparkSession, root, key, batch.select(key), replace)
 
     return run_to_end(docs, index, checkpoint)
 
 
+def current_chunks(spark: SparkSession, root: str, key: str) -> DataFrame:
+    """One row per chunk: that of the document with the largest key."""
+    return keep_first(current(spark, root), ["chunk_id"], [F.desc(key), F.desc("chunk_index")])
+
+
 def daily_cost_stream(usage: DataFrame, root: str, checkpoint: str, delay: str = "1 day") -> StreamingQuery:
     """Running cost per day and model; each batch upserts the days it changed.
 
@@ -57,7 +84,7 @@ def daily_cost_stream(usage: DataFrame, root: str, checkpoint: str, delay: str =
 
 
 def rate_windows(log: DataFrame, client: str, ts: str = "ts", size: str = "1 minute", slide: str = "10 seconds", delay: str = "10 minutes") -> DataFrame:
-    """Requests per client in sliding windows; a window is emitted once it is past the watermark."""
+    """Requests per client in sliding windows."""
     return (
         log.withColumn(ts, F.col(ts).cast("timestamp"))
         .withWatermark(ts, delay)
@@ -67,31 +94,59 @@ def rate_windows(log: DataFrame, client: str, ts: str = "ts", size: str = "1 min
     )
 
 
-def error_windows(log: DataFrame, ts: str = "ts", size: str = "5 minutes", delay: str = "10 minutes", error_pct: float = 5.0) -> DataFrame:
-    """Tumbling windows whose error share is over the limit. Columns: ts, is_error."""
+def error_windows(log: DataFrame, ts: str = "ts", size: str = "5 minutes", delay: str = "10 minutes") -> DataFrame:
+    """Requests and errors in tumbling windows. Columns: ts, is_error."""
     return (
         log.withColumn(ts, F.col(ts).cast("timestamp"))
         .withWatermark(ts, delay)
         .groupBy(F.window(ts, size))
         .agg(F.count(F.lit(1)).alias("requests"), F.count_if("is_error").alias("errors"))
-        .where(F.col("errors") * 100.0 / F.col("requests") > error_pct)
         .select(F.col("window.start").alias("window_start"), "requests", "errors")
     )
 
 
+def over_error_limit(windows: DataFrame, error_pct: float = 5.0) -> DataFrame:
+    """The windows whose error share is over the limit."""
+    return windows.where(F.col("errors") * 100.0 / F.col("requests") > error_pct)
+
+
+def window_table_stream(windows: DataFrame, keys: list[str], root: str, checkpoint: str) -> StreamingQuery:
+    """Windows kept as a table: each batch upserts those it changed, the newest ones included.
+
+    Nothing waits for the watermark, which only bounds the state; alerts are read
+    from the table, as a window may fall below a limit again. Counts only grow.
+    """
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        named = batch.withColumn("key", F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in keys]))
+        sinks.silver_merge(batch.sparkSession, named, root, "key", [F.desc("requests")])
+
+    return run_to_end(windows, keep, checkpoint, "update")
+
+
 def memory_stream(messages: DataFrame, conversation: str, turn: str, root: str, checkpoint: str, n: int = 10) -> StreamingQuery:
     """The last n messages per conversation as a versioned table.
 
-    A batch is cut to n per conversation in the map tasks before it meets the
-    stored rows, so one busy conversation stays small.
+    A repeated delivery of a turn is one row (the stored one stays). A batch is cut
+    to n per conversation in the map tasks before it meets the stored rows, so one
+    busy conversation stays small, and only the buckets of its conversations are
+    written again.
     """
 
+    def last(rows: DataFrame) -> DataFrame:
+        return first_n(rows, [conversation], [F.desc(turn)], n)
+
     def keep(batch: DataFrame, batch_id: int) -> None:
-        newest = first_n(batch, [conversation], [F.desc(turn)], n)
-        current = sinks.read_current(batch.sparkSession, root)
-        if current is not None:
-            newest = first_n(newest.unionByName(current).dropDuplicates([conversation, turn]), [conversation], [F.desc(turn)], n)
-        sinks.publish(newest, root)
+        rest = [c for c in batch.columns if c not in (conversation, turn)]
+        once = keep_first(batch, [conversation, turn], [F.xxhash64(*rest)] if rest else [F.col(turn)])
+
+        def merge(stored: DataFrame | None, new: DataFrame) -> DataFrame:
+            if stored is None:
+                return new
+            both = stored.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)))
+            return last(keep_first(both, [conversation, turn], [F.col("__new")]).drop("__new"))
+
+        sinks.rewrite_buckets(batch.sparkSession, root, conversation, last(once), merge)
 
     return run_to_end(messages, keep, checkpoint)
 

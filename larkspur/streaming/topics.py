@@ -97,28 +97,30 @@ def publish_files(messages: DataFrame, path: str) -> None:
     messages.write.mode("append").partitionBy("topic").parquet(path)
 
 
-def relay_once(outbox: DataFrame, sent: DataFrame, limit: int = 100) -> DataFrame:
-    """The oldest unpublished outbox rows not in the ``sent`` ledger, at most ``limit``."""
+def relay_once(outbox: DataFrame, sent: DataFrame, limit: int | None = None) -> DataFrame:
+    """Unpublished outbox rows not in the ``sent`` ledger: all of them, or the oldest ``limit``."""
     waiting = outbox.where(F.col("published_at").isNull()).join(sent.select("id"), "id", "left_anti")
-    return waiting.orderBy("created_at", "id").limit(limit)
+    return waiting.orderBy("created_at", "id").limit(limit) if limit else waiting
 
 
-def relay(spark: SparkSession, outbox: DataFrame, topics: str, ledger: str, cycles: int, limit: int = 100) -> int:
-    """Publish in cycles and write down what went out; a failed cycle leaves its rows for the next.
+def relay(spark: SparkSession, outbox: DataFrame, topics: str, ledger: str, cycles: int = 1, limit: int | None = None) -> int:
+    """Publish what waits and write down what went out; a failed cycle leaves its rows for the next.
 
-    A row is put into the ledger only after its write; a crash between the two
-    sends it again (at least once), as the receiver's id check expects.
+    Without ``limit`` one pass drains the outbox: rows of one key go out in order
+    of creation, and keys are spread. A row is put into the ledger only after its
+    write; a crash between the two sends it again (at least once), as the
+    receiver's id check expects.
     """
     published = 0
     schema = T.StructType([T.StructField("id", outbox.schema["id"].dataType)])
     for _ in range(cycles):
         sent = spark.read.schema(schema).parquet(ledger) if exists(spark, ledger) else spark.createDataFrame([], schema)
         # The picked rows are stored first: the write and the ledger must agree on them.
-        picked = cut_lineage(relay_once(outbox, sent, limit), "picked")
+        picked = cut_lineage(relay_once(outbox, sent, limit).repartition("id").sortWithinPartitions("created_at", "id"), "picked")
         publish_files(messages_of(picked, F.col("aggregate_type"), F.col("event_type"), "id", F.col("payload")), topics)
         picked.select("id").write.mode("append").parquet(ledger)
         count = picked.count()
         published += count
-        if count < limit:
+        if limit is None or count < limit:
             break
     return published
