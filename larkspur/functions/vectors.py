@@ -24,8 +24,9 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def mean_vectors(df: DataFrame, key: str, vector: str, out: str) -> DataFrame:
-    """Component-wise mean per key. Partial sums are (key, position) pairs, however many vectors a key has."""
-    parts = df.select(key, F.posexplode(vector).alias("__i", "__x"))
-    means = parts.groupBy(key, "__i").agg(F.avg(F.col("__x").cast("double")).alias("__m"))
-    packed = means.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("__i", "__m"))).alias("__p"))
-    return packed.select(key, F.col("__p.__m").alias(out))
+    """Component-wise mean per key: one partial vector per key and map task, however many vectors a key has."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    whole = df.where(F.col(vector).isNotNull()).select(key, array_to_vector(F.col(vector).cast("array<double>")).alias("__v"))
+    return whole.groupBy(key).agg(Summarizer.mean(F.col("__v")).alias("__m")).select(key, vector_to_array("__m").alias(out))

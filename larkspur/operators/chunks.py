@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html import unescape
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,10 +20,20 @@ def chunk_fixed(df: DataFrame, text: str, max_length: int = 1000, overlap: int =
     if overlap >= max_length:
         raise ValueError("overlap must be smaller than max_length")
     step = max_length - overlap
-    last = F.length(text) - 1
-    starts = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(step)))
-    return df.select("*", F.posexplode(starts).alias("chunk_index", "chunk_start")).withColumn(
-        "chunk", F.substring(F.col(text), F.col("chunk_start") + 1, F.lit(max_length))
+
+    def joined(blocks: Column) -> Column:
+        """Each block with what follows it, up to ``max_length``: linear in the text, which is cut once."""
+        return F.transform(
+            blocks,
+            lambda b, i: F.substring(
+                F.concat(b, *[F.coalesce(F.get(blocks, i + k), F.lit("")) for k in range(1, -(-max_length // step))]), 1, max_length
+            ),
+        )
+
+    blocks = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{step}}}"), 0)
+    cut = df.select("*", tx.let(blocks, joined).alias("__pieces"))
+    return cut.select(*df.columns, F.posexplode("__pieces").alias("chunk_index", "chunk")).select(
+        *df.columns, "chunk_index", (F.col("chunk_index") * step).alias("chunk_start"), "chunk"
     )
 
 
@@ -149,6 +161,16 @@ def ingest(
     return chunks.withColumn("chunk_id", tx.content_id(F.col("chunk"), salt)).drop(text)
 
 
+def decode_references(text: Column) -> Column:
+    """All numeric character references and all named ones of HTML; a no-break space becomes a blank."""
+
+    @F.pandas_udf("string")
+    def decode(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else unescape(t).replace("\xa0", " "))
+
+    return decode(text)
+
+
 def page_text(html: Column) -> Column:
     """Visible text of the ``article`` element, or of the body when there is none."""
     article = F.regexp_extract(html, r"(?is)<article\b[^>]*>(.*?)</article>", 1)
@@ -157,6 +179,5 @@ def page_text(html: Column) -> Column:
     inner = F.regexp_replace(inner, r"(?is)<(script|style)\b[^>]*>.*?</(script|style)>|<!--.*?-->", "")
     inner = F.regexp_replace(inner, r"(?i)<br\s*/?>|</?(p|div|h[1-6]|li|ul|ol|tr|table|section)\b[^>]*>", "\n")
     inner = F.regexp_replace(inner, r"<[^>]*>", "")
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        inner = F.replace(inner, F.lit(entity), F.lit(char))
+    inner = decode_references(inner)
     return tx.strip(F.regexp_replace(F.regexp_replace(inner, r"[ \t]+", " "), r"\s*\n\s*", "\n"))

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from larkspur.functions.text import strip
 from larkspur.operators.ordered import keep_first, numbered
+from larkspur.session import cut_lineage
 
 
 def strip_strings(df: DataFrame) -> DataFrame:
@@ -47,19 +48,23 @@ def clean(
 
 
 def scalar_metadata(variant: str) -> Column:
-    """Names of the top-level scalar entries of a JSON object column, as a map of texts."""
+    """Names of the top-level scalar entries of a JSON object column, as a map of texts; the type decides, not the text."""
     entries = F.from_json(F.col(variant), T.MapType(T.StringType(), T.StringType()))
-    return F.map_filter(entries, lambda _, v: v.isNotNull() & ~v.rlike(r"^\s*[\[{]"))
+    typed = F.from_json(F.col(variant), T.MapType(T.StringType(), T.VariantType()))
+    return F.map_filter(
+        entries, lambda k, v: v.isNotNull() & ~F.schema_of_variant(F.element_at(typed, k)).rlike("^(ARRAY|OBJECT)")
+    )
 
 
 def build_features(df: DataFrame, text: str, ts: str, category: str) -> DataFrame:
     """Text length, word count, hour, ISO weekday (1 = Monday) and a dense category code.
 
-    Codes are positions among the distinct categories, counted in buckets of their
-    first letters; the rows themselves are not sorted.
+    Codes are positions among the distinct categories. These are range-partitioned and
+    counted per partition, whatever their names look like; the rows themselves are not sorted.
     """
-    distinct = df.select(F.lit(1).alias("__one"), F.col(category).alias("__cat")).distinct()
-    codes = numbered(distinct, ["__one"], [F.col("__cat")], F.substring("__cat", 1, 3), "__code").select(
+    distinct = df.select(F.col(category).alias("__cat")).distinct().repartitionByRange("__cat")
+    distinct = cut_lineage(distinct.select(F.lit(1).alias("__one"), "__cat", F.spark_partition_id().alias("__range")), "categories")
+    codes = numbered(distinct, ["__one"], [F.col("__cat")], F.col("__range"), "__code").select(
         "__cat", (F.col("__code") - 1).cast("int").alias("category_code")
     )
     return (

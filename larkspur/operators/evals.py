@@ -128,10 +128,10 @@ def majority_answer(
         F.count(F.lit(1)).alias("__n"), F.min(F.struct(*order)).alias("__seen")
     )
     # Count, then earliest: as one maximum, by what share is still unseen.
-    totals = counted.groupBy(prompt).agg(F.sum("__n").alias("__all"))
+    totals = counted.groupBy(F.col(prompt).alias("__p")).agg(F.sum("__n").alias("__all"))
     top = first_n(counted, [prompt], [F.desc("__n"), F.col("__seen")], 1)
     agreement = F.col("__n") / F.col("__all")
-    return top.join(totals, prompt).select(
+    return top.join(totals, F.col(prompt).eqNullSafe(F.col("__p"))).select(
         prompt,
         F.when(agreement >= threshold, F.col(answer)).alias("majority"),
         agreement.alias("agreement"),

@@ -94,6 +94,22 @@ def replay(events: DataFrame, aggregate: str, version: str, event: str, *state:
     )
 
 
+def append_audit(records: DataFrame, path: str, as_of: Column | None = None) -> int:
+    """Append audit records (action, actor, resource, details, tenant_id, and id and timestamp where known).
+
+    A missing timestamp is ``as_of``; a missing id is the hash of the record, so the
+    same record sent again can be told. Records are only ever added, by day.
+    """
+    from larkspur.sources.sinks import bronze_append
+
+    when = F.coalesce(F.col("timestamp"), as_of if as_of is not None else F.current_timestamp())
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("action", "actor", "resource", "details", "tenant_id")]
+    stamped = records.withColumn("timestamp", when).withColumn(
+        "id", F.coalesce(F.col("id"), F.sha2(F.to_json(F.array(*fields, F.col("timestamp").cast("string"))), 256))
+    )
+    return bronze_append(stamped.withColumn("day", F.to_date("timestamp")), path, ["day"])
+
+
 def tenant_view(rows: DataFrame, tenant_col: str, tenant: object) -> DataFrame:
     """Rows of one tenant; on a table partitioned by tenant this prunes directories."""
     return rows.where(F.col(tenant_col) == tenant)

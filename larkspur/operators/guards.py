@@ -65,11 +65,19 @@ def _regex_check(pattern: str, mark: str, message: str, needle: str | None = Non
     """Redact a pattern. Every match holds ``needle``, so looking for it first is cheap and exact."""
     java = unicode(pattern)
 
-    def hit(text: Column) -> Column:
-        found = F.regexp_like(text, F.lit(java))
-        return text.contains(needle) & found if needle else found
+    def replaced(text: Column) -> Column:
+        done = F.regexp_replace(text, java, mark)
+        return F.when(text.contains(needle), done).otherwise(text) if needle else done
 
-    return lambda text: _judge(text, hit, lambda t: F.regexp_replace(t, java, mark), message)
+    def judge(text: Column) -> Column:
+        """One pass: no match equals its mark, so a text changes exactly if something matched."""
+        both = F.struct(text.alias("old"), replaced(text).alias("new"))
+        return let(
+            both,
+            lambda s: verdict(s["old"] == s["new"], s["new"], F.when(s["old"] != s["new"], F.lit(message))),
+        )
+
+    return judge
 
 
 def _in_turn(text: Column, steps: list[Check], separator: str, prefix: str = "") -> Column:

@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 
 from larkspur.session import cut_lineage, work_path
 
-VOCABULARY = 1000
-
 # System prompt by intent, and the one for any other intent.
 INTENT_PROMPTS = {
     "refund": "You are a billing support agent. Be empathetic but strict about policy.",
@@ -49,15 +47,16 @@ def route(intent: Column, confidence: Column) -> Column:
     )
 
 
-def train_intents(df: DataFrame, text: str, label: str) -> PipelineModel:
-    """TF-IDF over the 1 000 most frequent words, then multinomial naive Bayes; label names come from the data.
+def train_intents(df: DataFrame, text: str, label: str, vocabulary: int | None = None) -> PipelineModel:
+    """TF-IDF over the words, then multinomial naive Bayes; label names come from the data.
 
+    ``vocabulary`` keeps that many of the most frequent words; without it all words count.
     The split texts are read by three fits, so they are kept while training.
     """
     index = StringIndexer(inputCol=label, outputCol="__y", stringOrderType="alphabetAsc").fit(df)
     splitter = RegexTokenizer(inputCol=text, outputCol="__words", pattern=r"(?U)\W+", minTokenLength=2)
     words = splitter.transform(index.transform(df.select(text, label))).select("__y", "__words").persist()
-    counter = CountVectorizer(inputCol="__words", outputCol="__counts", vocabSize=VOCABULARY).fit(words)
+    counter = CountVectorizer(inputCol="__words", outputCol="__counts", vocabSize=vocabulary or (1 << 31) - 1).fit(words)
     counts = counter.transform(words)
     weight = IDF(inputCol="__counts", outputCol="__features").fit(counts)
     bayes = NaiveBayes(featuresCol="__features", labelCol="__y", probabilityCol="__p", predictionCol="__z")

@@ -20,10 +20,11 @@ from pyspark.sql import types as T
 from larkspur.functions.vectors import SCORE_DIGITS
 from larkspur.operators.ordered import first_n
 
-# Most vectors one side may have to be shipped to every task (100 MB at 1 536 dimensions).
-SHIP_LIMIT = 8_192
-QUERY_BLOCK = 4_096
-CORPUS_BLOCK = 65_536
+# Bytes of vectors (rows x dimensions x 8) that one side may have to be shipped to every task,
+# and that a block of queries or of the corpus holds where neither side is that small.
+SHIP_BYTES = 100 << 20
+QUERY_BLOCK_BYTES = 32 << 20
+CORPUS_BLOCK_BYTES = 64 << 20
 CELLS = 4_000_000
 
 
@@ -90,10 +91,14 @@ def _vectors(df: DataFrame, id_col: str, vec_col: str, id_as: str, vec_as: str)
     )
 
 
-def _small(df: DataFrame) -> pa.Table | None:
-    """The frame as a local table if it has at most ``SHIP_LIMIT`` rows, else None; never fetches more."""
-    fetched = df.limit(SHIP_LIMIT + 1).toArrow()
-    return fetched if len(fetched) <= SHIP_LIMIT else None
+def _bytes(df: DataFrame, vec_col: str) -> int:
+    """Bytes of the vectors as doubles, counted without fetching any."""
+    return 8 * (df.agg(F.sum(F.size(vec_col).cast("bigint")).alias("n")).first()["n"] or 0)
+
+
+def _small(df: DataFrame, vec_col: str) -> pa.Table | None:
+    """The frame as a local table if its vectors are within ``SHIP_BYTES``, else None."""
+    return df.toArrow() if _bytes(df, vec_col) <= SHIP_BYTES else None
 
 
 def _out_schema(queries: DataFrame, corpus: DataFrame) -> T.StructType:
@@ -137,7 +142,7 @@ def top_k(
     spark = corpus.sparkSession
     ranked = [F.desc("score"), F.col("doc_id")]
 
-    local = _small(q)
+    local = _small(q, "query_vec")
     if local is not None:
         shipped = spark.sparkContext.broadcast((local["query_id"].to_numpy(), _matrix(local["query_vec"])))
 
@@ -151,7 +156,7 @@ def top_k(
 
         found = c.mapInArrow(scan_corpus, out)
     else:
-        local = _small(c)
+        local = _small(c, "doc_vec")
         if local is not None:
             shipped = spark.sparkContext.broadcast((local["doc_id"].to_numpy(), _matrix(local["doc_vec"])))
 
@@ -175,8 +180,8 @@ def top_k(
 
 def _grid(c: DataFrame, q: DataFrame, k: int, metric: str, at_least, out: T.StructType, arrow: pa.Schema) -> DataFrame:
     """Blocks of queries against blocks of the corpus, one task per pair."""
-    q_blocks = -(-q.count() // QUERY_BLOCK)
-    c_blocks = -(-c.count() // CORPUS_BLOCK)
+    q_blocks = -(-_bytes(q, "query_vec") // QUERY_BLOCK_BYTES)
+    c_blocks = -(-_bytes(c, "doc_vec") // CORPUS_BLOCK_BYTES)
 
     def spread(df, id_col, own, own_n, other, other_n):
         block = F.pmod(F.xxhash64(id_col), F.lit(own_n)).cast("int")
@@ -210,14 +215,25 @@ def top_k_approx(
     """Cosine top-k looking only into the ``probes`` cells nearest each query.
 
     A task multiplies the rows of a cell with the queries that probe it, so a hot
-    cell is spread over as many tasks as its files.
+    cell is spread over as many tasks as its files. Any number of queries: they are
+    shipped in blocks within ``SHIP_BYTES``, each with a scan of the cells it probes.
     """
+    q = _vectors(queries, "query_id", "query_vec", "query_id", "query_vec")
+    # Twice the blocks that would do, as a hash does not deal them out evenly.
+    blocks = -(-2 * _bytes(q, "query_vec") // SHIP_BYTES) if _bytes(q, "query_vec") > SHIP_BYTES else 1
+    found = None
+    for b in range(blocks):
+        part = q.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b) if blocks > 1 else q
+        hits = _probe(corpus, centres, part, k, probes, id_col, vec_col)
+        found = hits if found is None else found.unionByName(hits)
+    return first_n(found, ["query_id"], [F.desc("score"), F.col("doc_id")], k, rank="rank")
+
+
+def _probe(corpus: DataFrame, centres: np.ndarray, q: DataFrame, k: int, probes: int, id_col: str, vec_col: str) -> DataFrame:
+    """The k best of every batch of a cell for each query of one block."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    q = _vectors(queries, "query_id", "query_vec", "query_id", "query_vec")
-    local = _small(q)
-    if local is None:
-        raise ValueError(f"more than {SHIP_LIMIT} queries: use top_k")
+    local = q.toArrow()
     vectors = _matrix(local["query_vec"])
     near = np.argsort(-_scores(vectors, centres, "l2sq"), axis=1, kind="stable")[:, :probes]
     shipped = corpus.sparkSession.sparkContext.broadcast((local["query_id"].to_numpy(), vectors, near))
@@ -240,7 +256,7 @@ def top_k_approx(
                     _scan(best, asked[who], vecs[here], ids[here], "cosine")
                     yield _result(query_ids[who], best, arrow)
 
-    return first_n(rows.mapInArrow(scan, out), ["query_id"], [F.desc("score"), F.col("doc_id")], k, rank="rank")
+    return rows.mapInArrow(scan, out)
 
 
 def rerank(candidates: DataFrame, scores: DataFrame, k: int, keys=("query_id", "doc_id")) -> DataFrame:
@@ -304,10 +320,9 @@ def cache_lookup(best: DataFrame, answers: DataFrame, as_of: Column, ttl: Column
     """
     live = answers.where(F.col("created_at") >= as_of - ttl)
     close = F.coalesce(F.col("score") >= at_least, F.lit(False))
-    # Misses by score have nothing to look up; leaving them out of the join keeps their null key from piling up.
-    looked = best.where(close).join(live, "doc_id", "left").select("query_id", "answer", "score")
-    missed = best.where(~close).select("query_id", F.lit(None).cast("string").alias("answer"), "score")
-    return looked.unionByName(missed).withColumn("hit", F.col("answer").isNotNull())
+    # One pass: misses by score stay in the join under their own key, where the condition finds them nothing.
+    looked = best.join(live.withColumnRenamed("doc_id", "__doc"), (F.col("doc_id") == F.col("__doc")) & close, "left")
+    return looked.select("query_id", "answer", "score").withColumn("hit", F.col("answer").isNotNull())
 
 
 def cache_stats(lookups: DataFrame, saved_per_hit: float = 0.0001) -> DataFrame:

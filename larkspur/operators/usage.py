@@ -224,14 +224,37 @@ def daily_budget(log: DataFrame, tenant: str, day: str, order: list[str], tokens
         return rows[keep]
 
     admitted = candidates.groupBy(tenant, day).applyInPandas(admit, candidates.schema)
-    # Requests of no size always fit.
-    return admitted.unionByName(log.where(F.col(tokens) == 0))
+    # Requests of no or unknown size use nothing and always fit.
+    return admitted.unionByName(log.where(F.coalesce(F.col(tokens), F.lit(0)) <= 0))
 
 
 def json_number(col: str, path: str, kind: str = "bigint") -> Column:
     return F.get_json_object(F.col(col), path).try_cast(kind)
 
 
+def over_share(rows: DataFrame, used: Column, limit: Column, pct: float) -> DataFrame:
+    """Rows whose use is above a share of its limit, with ``used_pct``. Serves budgets and rate limits."""
+    return rows.withColumn("used_pct", F.round(used * 100.0 / limit, 6)).where(F.col("used_pct") > pct)
+
+
+def budget_alerts(costs: DataFrame, keys: list[str], cost: str, limit: float, pct: float = 90.0) -> DataFrame:
+    """Keys whose summed cost is above ``pct`` percent of the budget."""
+    spent = costs.groupBy(*keys).agg(usd(F.sum(money(F.col(cost)))).alias("spent"))
+    return over_share(spent, F.col("spent"), F.lit(limit), pct)
+
+
+def step_alerts(steps: DataFrame, task: list[str], limit: int = 50) -> DataFrame:
+    """Tasks with more steps than the limit."""
+    return steps.groupBy(*task).agg(F.count(F.lit(1)).alias("steps")).where(F.col("steps") > limit)
+
+
+def rate_limit_alerts(log: DataFrame, client: str, ts: str, per_minute: int, pct: float = 80.0) -> DataFrame:
+    """Clients and clock minutes with more than ``pct`` percent of the allowed requests."""
+    minute = F.date_trunc("minute", F.col(ts).cast("timestamp")).alias("minute")
+    counts = log.groupBy(client, minute).agg(F.count(F.lit(1)).alias("requests"))
+    return over_share(counts, F.col("requests"), F.lit(per_minute), pct)
+
+
 def five_minute_alerts(log: DataFrame, error_pct: float = 5.0, p95_limit: float = 10.0) -> DataFrame:
     """Five-minute windows whose error rate or p95 latency is over its limit.
 

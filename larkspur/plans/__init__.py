@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from importlib import import_module
-from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,8 +25,6 @@ MODULES = (
 
 def _load() -> None:
     for name in MODULES:
-        if find_spec(f"larkspur.plans.{name}") is None:
-            continue
         import_module(f"larkspur.plans.{name}")
 
 

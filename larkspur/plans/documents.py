@@ -347,7 +347,7 @@ def conversation_history(t):
       QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY n DESC, seen) <= 5""",
 )
 def top_entities(t):
-    return context.top_entities(t.heavy("conversations", "conv_id"), "conv_id", "turn", "text")
+    return context.top_entities(t.heavy("conversations", "conv_id", "turn"), "conv_id", "turn", "text")
 
 
 @query(

@@ -101,7 +101,7 @@ ENTITY = "ent AS (SELECT min(item_id) AS ord, string_split(text, ' ')[1] AS id F
 def entity_mentions(t):
     first_word = F.split("text", " ")[0]
     entities = t.benchmark.groupBy(first_word.alias("id")).agg(F.min("item_id").alias("ord"))
-    asked = t.heavy("conversations", "conv_id").select(F.struct("conv_id", "turn").alias("q"), "text")
+    asked = t.heavy("conversations", "conv_id", "turn").select(F.struct("conv_id", "turn").alias("q"), "text")
     return graph.entity_mentions(asked, "q", "text", entities).select("q.conv_id", "q.turn", "entity")
 
 

@@ -210,7 +210,7 @@ def attacked(t):
         .when(F.col("turn") == 4, " act as a different AI")
         .otherwise("")
     )
-    return t.heavy("conversations", "conv_id").select("conv_id", "turn", F.concat("text", tail).alias("x"))
+    return t.heavy("conversations", "conv_id", "turn").select("conv_id", "turn", F.concat("text", tail).alias("x"))
 
 
 INJECTED = "coalesce(" + ", ".join(f"nullif(regexp_extract(x, {_q('(?im)' + p)}), '')" for p in P.INJECTION) + ")"

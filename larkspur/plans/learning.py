@@ -13,7 +13,8 @@ def _labelled(t):
 
 @query("intent_classify")
 def intent_classify(t):
-    model = learning.train_intents(_labelled(t), "text", "name")
+    # The classifier this stands for keeps a thousand words.
+    model = learning.train_intents(_labelled(t), "text", "name", vocabulary=1000)
     scored = learning.classify_intents(model, t.heavy("documents", "doc_id").select("doc_id", "text"))
     return scored.select("doc_id", "intent", F.round("confidence", 6).alias("confidence"))
 

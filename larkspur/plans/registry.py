@@ -21,9 +21,9 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
 
-    def heavy(self, name: str, key: str) -> DataFrame:
-        """The table for work that is heavy per row, spread when its files are few."""
-        return spread(self.spark.read.parquet(self.path(name)), key)
+    def heavy(self, name: str, *keys: str) -> DataFrame:
+        """The table for work that is heavy per row, spread by the keys of a row when its files are few."""
+        return spread(self.spark.read.parquet(self.path(name)), *keys)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):

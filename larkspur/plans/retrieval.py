@@ -102,9 +102,9 @@ RERANKED = f"""ranked AS (SELECT *, {RANK_COS} AS was FROM sims QUALIFY {RANK_CO
   ext AS (SELECT r.query_id, r.doc_id, was, coalesce(quality + toxic * 0.5, 0.0) AS score FROM ranked r LEFT JOIN labels l ON l.doc_id = r.doc_id)"""
 
 
-def _external(t, hits):
-    scores = t.labels.select("doc_id", (F.col("quality") + F.col("toxic") * 0.5).alias("score"))
-    return hits.select("query_id", "doc_id").join(scores, "doc_id")
+def _external(t):
+    """Scores by document; the hits are joined to them in one pass."""
+    return t.labels.select("doc_id", (F.col("quality") + F.col("toxic") * 0.5).alias("score"))
 
 
 @query(
@@ -114,7 +114,7 @@ def _external(t, hits):
 )
 def rerank(t):
     hits = similarity.top_k(t.embeddings, centroids(t), 10)
-    return similarity.rerank(hits, _external(t, hits), 5).select("query_id", "doc_id", "score", "rank")
+    return similarity.rerank(hits, _external(t), 5, ("doc_id",)).select("query_id", "doc_id", "score", "rank")
 
 
 @query(
@@ -125,7 +125,7 @@ def rerank(t):
 def retrieve_rerank(t):
     k = 4
     hits = similarity.top_k(t.embeddings, centroids(t), 2 * k)
-    return similarity.rerank(hits, _external(t, hits), k).select("query_id", "doc_id", "score", "rank")
+    return similarity.rerank(hits, _external(t), k, ("doc_id",)).select("query_id", "doc_id", "score", "rank")
 
 
 VARIANTS = f"""{CENTROIDS}, one AS (SELECT label AS question, 2 AS ord, arg_min(e, vec_id) AS qv FROM v GROUP BY 1

@@ -632,3 +632,77 @@ def page_keyset(t):
     newest_first = [F.desc("o_orderdate"), F.desc("o_orderkey")]
     cursor = rows.orderBy(*newest_first).offset(99).limit(1)
     return governance.keyset_page(rows, ["o_orderdate", "o_orderkey"], cursor, size=25).drop("o_orderdate")
+
+
+@query(
+    "budget_alerts",
+    """SELECT user_id, round(CAST(sum(CAST(value AS DECIMAL(18,6))) AS DOUBLE), 6) AS spent,
+      round(round(CAST(sum(CAST(value AS DECIMAL(18,6))) AS DOUBLE), 6) * 100.0 / 2000, 6) AS used_pct FROM events GROUP BY 1 HAVING used_pct > 90""",
+)
+def budget_alerts(t):
+    return usage.budget_alerts(t.events, ["user_id"], "value", 2000.0)
+
+
+@query(
+    "step_alerts",
+    "SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, count(*) AS steps FROM events GROUP BY 1, 2 HAVING count(*) > 50",
+)
+def step_alerts(t):
+    days = t.events.select("event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    return usage.step_alerts(days, ["event_type", "day"])
+
+
+@query(
+    "rate_limit_alerts",
+    """SELECT event_type, strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M') AS minute, count(*) AS requests, round(count(*) * 100.0 / 3, 6) AS used_pct
+      FROM events GROUP BY 1, 2 HAVING count(*) * 100.0 / 3 > 80""",
+)
+def rate_limit_alerts(t):
+    found = usage.rate_limit_alerts(t.events, "event_type", "ts", 3)
+    return found.withColumn("minute", F.date_format("minute", "yyyy-MM-dd HH:mm"))
+
+
+@query(
+    "blended_cost",
+    "SELECT event_id, round(user_id / 2 * 0.01 / 1000 + user_id / 2 * 0.03 / 1000, 9) AS per_1k, round(user_id / 2 * 2.5 / 1000000 + user_id / 2 * 10 / 1000000, 9) AS per_1m FROM events",
+)
+def blended_cost(t):
+    tokens = F.col("user_id").cast("double")
+    return t.events.select(
+        "event_id",
+        F.round(usage.blended_cost(tokens, F.lit(0.01), F.lit(0.03)), 9).alias("per_1k"),
+        F.round(usage.blended_cost(tokens, F.lit(2.5), F.lit(10.0), 1_000_000), 9).alias("per_1m"),
+    )
+
+
+@query(
+    "audit_append",
+    """SELECT event_type AS action, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, count(DISTINCT event_id) AS ids FROM events GROUP BY 1, 2""",
+)
+def audit_append(t):
+    """The events as audit records, appended in two parts."""
+    from larkspur.session import work_path
+
+    path = work_path(t.spark, "audit")
+    records = t.events.select(
+        F.col("event_type").alias("action"), F.col("user_id").cast("string").alias("actor"), F.lit("event").alias("resource"),
+        F.col("props").alias("details"), F.lit("t").alias("tenant_id"), F.col("event_id").cast("string").alias("id"), F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+    for part in ("id % 2 = 0", "id % 2 = 1"):
+        governance.append_audit(records.where(part), path)
+    back = t.spark.read.parquet(path)
+    return back.groupBy("action", F.date_format("day", "yyyy-MM-dd").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids")
+    )
+
+
+@query("export_csv", "SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY 1")
+def export_csv(t):
+    """All events exported to CSV files of at most a thousand rows and read back."""
+    from larkspur.session import work_path
+    from larkspur.sources import sinks
+
+    path = work_path(t.spark, "export")
+    sinks.export(t.events.select("event_id", "event_type"), path, "csv", 1000)
+    back = t.spark.read.option("header", True).schema("event_id bigint, event_type string").csv(path)
+    return back.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))

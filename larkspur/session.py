@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -64,17 +66,32 @@ def shared_dir(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
+    given = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if given.isDefined():
+        return given.get()
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     global _LOCAL_DIR
     if _LOCAL_DIR is None:
         _LOCAL_DIR = tempfile.mkdtemp(prefix="larkspur-")
+        atexit.register(shutil.rmtree, _LOCAL_DIR, ignore_errors=True)
     return _LOCAL_DIR
 
 
+def work_dir(spark: SparkSession) -> str:
+    """The folder of this application below the shared one."""
+    return f"{shared_dir(spark).rstrip('/')}/larkspur/{spark.sparkContext.applicationId}"
+
+
 def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh path for one run, below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/larkspur/{label}-{uuid.uuid4().hex}"
+    """A fresh path for one run."""
+    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_work(spark: SparkSession) -> None:
+    """Remove what the application has written as intermediate data, once no result that reads it is needed."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
 
 
 def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
@@ -89,11 +106,11 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Rows of a scan over all cores when its files give fewer partitions than cores.
 
     For work that is heavy per row. A scan that already fills the cluster, as any
     large table does, is returned as it is: no shuffle.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want, key) if df.rdd.getNumPartitions() < want else df
+    return df.repartition(want, *keys) if df.rdd.getNumPartitions() < want else df

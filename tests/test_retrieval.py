@@ -40,9 +40,9 @@ def test_top_k_paths_agree_with_brute_force(spark, monkeypatch, metric, path):
     corpus[100] = 0
     if path == "ship corpus":
         corpus, queries = queries, corpus
-    monkeypatch.setattr(similarity, "SHIP_LIMIT", {"ship queries": 100, "ship corpus": 100, "blocks": 5}[path])
-    monkeypatch.setattr(similarity, "QUERY_BLOCK", 8)
-    monkeypatch.setattr(similarity, "CORPUS_BLOCK", 50)
+    monkeypatch.setattr(similarity, "SHIP_BYTES", {"ship queries": 100, "ship corpus": 100, "blocks": 5}[path] * DIMS * 8)
+    monkeypatch.setattr(similarity, "QUERY_BLOCK_BYTES", 8 * DIMS * 8)
+    monkeypatch.setattr(similarity, "CORPUS_BLOCK_BYTES", 50 * DIMS * 8)
     monkeypatch.setattr(similarity, "CELLS", 700)
     got = similarity.top_k(frame(spark, corpus, "vec_id", "embedding"), frame(spark, queries, "query_id", "query_vec"), 7, metric).collect()
     assert {(r.query_id, r.doc_id, r["rank"]) for r in got} == brute(corpus, queries, 7, metric)
