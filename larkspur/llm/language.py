@@ -95,7 +95,7 @@ class Model(NamedTuple):
     floor: np.ndarray
 
     def vector(self, n: np.ndarray) -> np.ndarray:
-        v = np.log1p(n) * self.idf
+        v = n * self.idf
         return v / max(np.linalg.norm(v), 1e-12)
 
     def best(self, n: np.ndarray) -> tuple[int, float, float]:
@@ -125,12 +125,12 @@ def _clusters(x: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
 
 def fit(rows: list[tuple[str, str]], centroids: int = CENTROIDS) -> Model:
     """A model from (text, language) rows. Equal rows in equal order give equal models."""
-    found = [(np.log1p(n, dtype=np.float32), lang) for text, lang in rows if (n := counts(text.lower())) is not None]
+    found = [(n.astype(np.float32), lang) for text, lang in rows if (n := counts(text.lower())) is not None]
     languages = tuple(sorted({lang for _, lang in found}))
     if not found:
         return Model((), np.zeros(DIMS), np.zeros((0, DIMS)), np.zeros(0, np.int64), np.zeros(0))
     x = np.stack([f[0] for f in found])
-    idf = (np.log((1 + len(x)) / (1 + (x > 0).sum(0))) + 0.1).astype(np.float32)
+    idf = (np.log((1 + len(x)) / (1 + (x > 0).sum(0))) + 1).astype(np.float32)
     x *= idf
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
     y = np.array([languages.index(lang) for _, lang in found])
