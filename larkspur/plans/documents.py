@@ -69,6 +69,14 @@ def chunk_sentence(t):
     return out.select("doc_id", "chunk_index", "chunk_start", F.md5("chunk").alias("chunk_md5"))
 
 
+@query("chunk_recursive_rebuilt", "SELECT doc_id, md5(text) AS text_md5 FROM documents WHERE length(text) > 0")
+def chunk_recursive_rebuilt(t):
+    """Without overlap the chunks put together are the text."""
+    out = chunks.chunk_recursive(t.heavy("documents", "doc_id").select("doc_id", "text"), "text", F.lit("faq"))
+    parts = F.array_sort(F.collect_list(F.struct("chunk_index", "chunk")))
+    return out.groupBy("doc_id").agg(F.md5(F.array_join(F.transform(parts, lambda p: p["chunk"]), "")).alias("text_md5"))
+
+
 @query("chunk_recursive")
 def chunk_recursive(t):
     kind = F.when(F.col("lang") == "en", "plain_text").when(F.col("lang") == "fr", "legal").otherwise("default")

@@ -129,6 +129,27 @@ def read_corpus(t):
     return good.groupBy(lang.alias("lang")).agg(F.sum(F.octet_length("text")).alias("n_bytes"))
 
 
+@query(
+    "file_admission_reasons",
+    """WITH f AS (SELECT page_id % 6 AS k, octet_length(encode(html)) AS n FROM pages),
+      r AS (SELECT CASE k WHEN 1 THEN NULL WHEN 2 THEN 'exe' WHEN 4 THEN 'pdf' WHEN 5 THEN 'png' ELSE 'txt' END AS extension,
+        CASE k WHEN 1 THEN 'no extension' WHEN 2 THEN 'extension not allowed'
+          ELSE CASE WHEN k <> 3 AND n + CASE WHEN k = 5 THEN 8 ELSE 0 END > 3000 THEN 'too large' WHEN k = 3 THEN 'empty' WHEN k = 4 THEN 'type does not match extension' END
+        END AS reject_reason FROM f)
+      SELECT extension, reject_reason, count(*) AS files FROM r GROUP BY 1, 2""",
+)
+def file_admission_reasons(t):
+    """Uploads made from the pages: right, without or with a wrong extension, empty, mislabelled and with a PNG beginning."""
+    k = F.pmod("page_id", F.lit(6))
+    name = F.element_at(F.array(*[F.lit(n) for n in ("a.txt", "b", "c.exe", "d.txt", "e.pdf", "f.PNG")]), (k + 1).cast("int"))
+    body = F.encode("html", "UTF-8")
+    content = F.when(k == 3, F.encode(F.lit(""), "UTF-8")).when(k == 5, F.concat(F.unhex(F.lit("89504E470D0A1A0A")), body)).otherwise(body)
+    uploads = t.pages.select(F.concat(F.lit("up/"), name).alias("path"), content.alias("content"))
+    uploads = uploads.withColumn("length", F.octet_length("content").cast("bigint"))
+    found = files.file_admission(uploads, files.ADMITTED | {"txt": ("text/plain", "")}, 3000)
+    return found.groupBy("extension", "reject_reason").agg(F.count(F.lit(1)).alias("files"))
+
+
 @query("file_admission")
 def file_admission(t):
     path = work_path(t.spark, "uploads")
@@ -163,6 +184,16 @@ def schema_diff(t):
     return quality.schema_diff(quality.infer_schema(t.supplier), quality.infer_schema(after))
 
 
+@query(
+    "schema_diff_nullability",
+    """SELECT 's_name' AS name, 'nullability' AS change, 'str' AS old_type, 'str' AS new_type
+      WHERE (SELECT count(*) FROM supplier WHERE s_suppkey % 10 = 0) > 0 AND (SELECT count(*) FROM supplier WHERE s_name IS NULL) = 0""",
+)
+def schema_diff_nullability(t):
+    after = t.supplier.withColumn("s_name", F.when(F.col("s_suppkey") % 10 != 0, F.col("s_name")))
+    return quality.schema_diff(quality.infer_schema(t.supplier), quality.infer_schema(after))
+
+
 @query(
     "dataset_profile",
     """SELECT count(*) AS record_count, 6 AS field_count, 'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority' AS fields

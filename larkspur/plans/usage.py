@@ -558,9 +558,10 @@ def latest_per_key(t):
     """WITH v AS (SELECT user_id, event_id, ts, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS version FROM events)
       SELECT user_id, count(*) AS versions, max(version) AS last_version, max_by(event_id, version) AS last_event,
         max(version) - count(*) AS gaps, round(CAST(sum(CAST(value AS DECIMAL(18,6))) AS DOUBLE), 6) AS state_value
-      FROM v GROUP BY 1""",
+      FROM v WHERE event_id % 7 <> 3 GROUP BY 1""",
 )
 def event_replay(t):
+    """Versions are numbered over all events; the log then lacks one in seven, so there are gaps to find."""
     versioned = ordered.numbered(
         t.events.select("user_id", "event_id", "ts", "value"),
         ["user_id"],
@@ -569,7 +570,7 @@ def event_replay(t):
         "version",
     )
     state = usage.usd(F.sum(usage.money(F.col("value")))).alias("state_value")
-    return governance.replay(versioned, "user_id", "version", "event_id", state)
+    return governance.replay(versioned.where("event_id % 7 <> 3"), "user_id", "version", "event_id", state)
 
 
 @query(
