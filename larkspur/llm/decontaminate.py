@@ -38,14 +38,15 @@ from pyspark.sql import functions as F
 from larkspur.llm.common import counted, fresh, passes, pieces
 
 SIMILARITY = 0.8
-#: Words a key samples, random walks, and the share of steps at which a walk over a match at the
-#: distance limit writes the item's word (measured in tests/llm).
-SAMPLED, WALKS, AGREEMENT, RECALL = 3, 6, 0.45, 0.99
+#: Words a key samples, random walks, and the least share of steps at which a walk over a match
+#: should write the item's word; tests/llm measures the recall that follows.
+SAMPLED, WALKS, AGREEMENT, RECALL = 3, 4, 0.5, 0.99
 #: Characters of items that travel with one pass over the texts.
 BLOCK_CHARS = 16 << 20
 
 _WORDS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_BINS = 1024
 
 
 def tables(recall: float = RECALL, agreement: float = AGREEMENT, sampled: int = SAMPLED) -> int:
@@ -63,10 +64,10 @@ def allowed(length: int, similarity: float) -> int:
 
 
 def _bits(step: int, symbols: np.ndarray) -> np.ndarray:
-    """The random bit of (step, word) for each word number."""
-    x = (symbols.astype(np.uint64) + np.uint64(1)) * _ODD + np.uint64((step + 1) * 0xD1B54A32D192ED03 & (1 << 64) - 1)
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (x >> np.uint64(63)).astype(np.int64)
+    """The random bit of (step, word) for each word number (multiply and shift)."""
+    odd = (step * 0x9E3779B1 + 0x85EBCA6B) & 0xFFFFFFFF | 1
+    add = (step * 0xC2B2AE35 + 0x27D4EB2F) & 0xFFFFFFFF
+    return (symbols.view(np.uint32) * np.uint32(odd) + np.uint32(add)) >> np.uint32(31)
 
 
 class _Class(NamedTuple):
@@ -76,6 +77,8 @@ class _Class(NamedTuple):
     longest: int
     samples: list[np.ndarray]
     keyed: list[dict[int, list[int]]]
+    #: per table, for every low end of a key whether some item has it
+    known: list[np.ndarray]
 
 
 class Index:
@@ -91,26 +94,33 @@ class Index:
         for i, item in enumerate(self.items):
             if len(item):
                 by_class[int(math.log(len(item)) / math.log(1.15))].append(i)
+        # For every item which hashed words it has: a bound on what a run can share with it.
+        self.has = np.zeros((max(len(self.items), 1), _BINS), bool)
+        for i, item in enumerate(self.items):
+            self.has[i, item % _BINS] = True
+        # Words that no item has stand between texts, so that no walk runs from one into the next.
+        self.gap = 2 * max(map(len, self.items), default=0) + 1
         rng = np.random.default_rng(seed)
         self.classes = []
-        for members in by_class.values():
+        for _, members in sorted(by_class.items()):
             lengths = [len(self.items[i]) for i in members]
             low, high = min(lengths), max(lengths)
-            steps = 2 * low
-            samples = [np.sort(rng.choice(steps, min(SAMPLED, steps), replace=False)) for _ in range(tables(recall))]
-            longest = np.full((len(members), high), self.unknown, np.int64)
+            samples = [np.sort(rng.choice(low, min(SAMPLED, low), replace=False)) for _ in range(tables(recall))]
+            padded = np.full((len(members), high + self.gap), self.unknown, np.int32)
             for row, i in enumerate(members):
-                longest[row, : len(self.items[i])] = self.items[i]
-            keyed: list[dict[int, list[int]]] = []
-            for table, keys in enumerate(self._keys(longest.ravel(), np.arange(len(members)) * high, np.arange(1, len(members) + 1) * high, samples)):
+                padded[row, : len(self.items[i])] = self.items[i]
+            keyed, known = [], []
+            for keys in self._keys(padded.ravel(), np.arange(len(members)) * padded.shape[1], samples):
                 entry: dict[int, list[int]] = defaultdict(list)
                 for row, i in enumerate(members):
                     entry[int(keys[row])].append(i)
                 keyed.append(dict(entry))
-            self.classes.append(_Class(low, high, samples, keyed))
+                known.append(np.zeros(1 << 16, bool))
+                known[-1][(keys & np.uint64(0xFFFF)).astype(np.int64)] = True
+            self.classes.append(_Class(low, high, samples, keyed, known))
 
-    def _keys(self, symbols: np.ndarray, at: np.ndarray, ends: np.ndarray, samples: list[np.ndarray]) -> list[np.ndarray]:
-        """The key of every window in every table: the sampled steps of its CGK walk. Past its end a text has no known word."""
+    def _keys(self, symbols: np.ndarray, at: np.ndarray, samples: list[np.ndarray]) -> list[np.ndarray]:
+        """The key of every window in every table: the sampled steps of its CGK walk."""
         keys = [np.zeros(len(at), np.uint64) for _ in samples]
         for walk in range(WALKS):
             wanted: dict[int, list[int]] = defaultdict(list)
@@ -119,9 +129,10 @@ class Index:
                     wanted[int(step)].append(table)
             place = at.copy()
             for step in range(max(wanted, default=-1) + 1):
-                here = np.where(place < ends, symbols[np.minimum(place, len(symbols) - 1)], self.unknown)
+                here = symbols[place]
                 for table in wanted.get(step, ()):
-                    keys[table] = (keys[table] ^ (here.astype(np.uint64) + np.uint64(step << 40))) * _ODD
+                    keys[table] ^= here.astype(np.uint64) + np.uint64(step << 40)
+                    keys[table] *= _ODD
                     keys[table] ^= keys[table] >> np.uint64(29)
                 place += _bits(step * WALKS + walk, here)
         return keys
@@ -136,32 +147,33 @@ class Index:
         """For every text its matches: item -> (distance, first word, word after the last)."""
         each = [self.numbers(raw) for raw in batch]
         found: list[dict[int, tuple[int, int, int]]] = [{} for _ in batch]
-        symbols = np.concatenate(each) if each else np.zeros(0, np.int32)
-        if not len(symbols):
+        lengths = np.array([len(e) for e in each], np.int64)
+        if not lengths.sum():
             return found
-        ends = np.cumsum([len(e) for e in each])
+        gap = np.full(self.gap, self.unknown, np.int32)
+        symbols = np.concatenate([x for e in each for x in (e, gap)])
+        begins = np.cumsum(lengths + self.gap) - lengths - self.gap
+        ends = begins + lengths
         foreign = counted(symbols == self.unknown)
         doc, item, at = [], [], []
         for group in self.classes:
             least, most = group.shortest - allowed(group.shortest, self.similarity), allowed(group.longest, self.similarity)
-            if len(symbols) < least:
-                continue
             starts = np.flatnonzero(foreign[least:] - foreign[: len(foreign) - least] <= most)
-            owner = np.searchsorted(ends, starts, side="right")
+            owner = np.searchsorted(begins, starts, side="right") - 1
             fits = starts + least <= ends[owner]
             starts, owner = starts[fits], owner[fits]
-            for low in range(0, len(starts), 1 << 18):
-                s, o = starts[low : low + (1 << 18)], owner[low : low + (1 << 18)]
-                pairs = set()
-                for keys, entry in zip(self._keys(symbols, s, ends[o], group.samples), group.keyed):
-                    known = np.fromiter(entry, np.uint64, len(entry))
-                    for w in np.flatnonzero(np.isin(keys, known)):
-                        pairs.update((int(w), i) for i in entry[int(keys[w])])
-                for w, i in pairs:
-                    doc.append(int(o[w]))
-                    item.append(i)
-                    at.append(int(s[w]))
-        begins = ends - [len(e) for e in each]
+            for low in range(0, len(starts), 1 << 16):
+                s, o = starts[low : low + (1 << 16)], owner[low : low + (1 << 16)]
+                pairs = []
+                for keys, entry, known in zip(self._keys(symbols, s, group.samples), group.keyed, group.known):
+                    for w in np.flatnonzero(known[(keys & np.uint64(0xFFFF)).astype(np.int64)]).tolist():
+                        pairs += [(w, i) for i in entry.get(int(keys[w]), ())]
+                if pairs:
+                    w, i = np.unique(np.array(pairs), axis=0).T
+                    w, i = self._near(symbols, s, w, i)
+                    doc += o[w].tolist()
+                    item += i.tolist()
+                    at += s[w].tolist()
         for low in range(0, len(doc), 4096):
             part = slice(low, low + 4096)
             for d, i, hit in zip(doc[part], item[part], self._verify(symbols, begins, ends, doc[part], item[part], at[part])):
@@ -169,6 +181,24 @@ class Index:
                     found[d][i] = hit
         return found
 
+    def _near(self, symbols: np.ndarray, starts: np.ndarray, w: np.ndarray, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The candidates that can match: a run of at most L + k words beside the window must have L - k words of the item."""
+        sizes = np.array([len(self.items[x]) for x in i.tolist()])
+        slack = np.array([allowed(n, self.similarity) for n in sizes.tolist()])
+        width = int((sizes + 3 * slack).max())
+        kept = np.zeros(len(w), bool)
+        for low in range(0, len(w), 1 << 14):
+            part = slice(low, low + (1 << 14))
+            places = np.clip((starts[w[part]] - slack[part])[:, None] + np.arange(width), 0, len(symbols) - 1)
+            words = symbols[places]
+            shared = self.has[i[part, None], words % _BINS] & (words != self.unknown)
+            sums = np.zeros((len(words), width + 1), np.int32)
+            np.cumsum(shared, axis=1, out=sums[:, 1:])
+            run = np.minimum(sizes[part] + slack[part], width)[:, None]
+            ends = np.minimum(np.arange(width + 1) + run, width)
+            kept[part] = (np.take_along_axis(sums, ends, 1) - sums).max(1) >= sizes[part] - slack[part]
+        return w[kept], i[kept]
+
     def _verify(self, symbols, begins, ends, doc, item, at) -> list[tuple[int, int, int] | None]:
         """The closest run to the item near each candidate window, where it is close enough (Sellers' recurrence)."""
         lengths = np.array([len(self.items[i]) for i in item])
@@ -181,24 +211,32 @@ class Index:
         words = np.full((m, depth), -2, np.int64)
         for row, i in enumerate(item):
             words[row, : lengths[row]] = self.items[i]
-        # Cost and start of the best run that ends before column j, packed as cost * 2^20 + start so that minima keep both.
-        unit = 1 << 20
-        columns = np.arange(width + 1, dtype=np.int64)
+        # Cost and start of the best run that ends before column j, packed in one number so that minima keep both.
+        kind, shift = (np.int32, 15) if depth + width < 1 << 15 else (np.int64, 31)
+        unit = kind(1 << shift)
+        columns = np.arange(width + 1, dtype=kind)
+        rise = columns * unit
+        text, words = text.astype(kind), words.astype(kind)
         now = np.broadcast_to(columns, (m, width + 1)).copy()
         last = np.zeros_like(now)
         for k in range(depth):
             nxt = np.empty_like(now)
             nxt[:, 0] = (k + 1) * unit
-            nxt[:, 1:] = np.minimum(now[:, :-1] + (text != words[:, k : k + 1]) * unit, now[:, 1:] + unit)
-            nxt = np.minimum.accumulate(nxt - columns * unit, axis=1) + columns * unit
+            np.add(now[:, :-1], (text != words[:, k : k + 1]) * unit, out=nxt[:, 1:])
+            now += unit
+            np.minimum(nxt[:, 1:], now[:, 1:], out=nxt[:, 1:])
+            nxt -= rise
+            np.minimum.accumulate(nxt, axis=1, out=nxt)
+            nxt += rise
             now = nxt
             done = lengths == k + 1
-            last[done] = now[done]
-        last[:, 1:][places >= high[:, None]] = np.iinfo(np.int64).max
+            if done.any():
+                last[done] = now[done]
+        last[:, 1:][places >= high[:, None]] = np.iinfo(kind).max
         best = last.argmin(1)
         out: list[tuple[int, int, int] | None] = []
         for row in range(m):
-            cost, start = divmod(int(last[row, best[row]]), unit)
+            cost, start = divmod(int(last[row, best[row]]), 1 << shift)
             base = int(low[row] - begins[doc[row]])
             out.append((cost, base + start, base + int(best[row])) if cost <= slack[row] else None)
         return out
