@@ -6,9 +6,9 @@ from a Poisson distribution with that mean, by inverting its distribution functi
 [0, 1) that is hashed from the seed and the document id: repeated runs, lost executors and any
 partitioning give the same mix. Copies then move to a place that is hashed from seed, id and copy.
 
-Native column functions only. Texts are moved once, by the final shuffle. The table of rates has one
-row per source and is joined by whatever strategy its measured size allows; a hot source is not
-gathered, since its sum is aggregated before the shuffle and its rows join where they lie or are split.
+Native column functions only. Texts are moved once, by the final shuffle: the table of rates, one row per
+source, is written, its size is checked, and up to ``SENT_STEPS`` numbers it is sent to the texts. A larger
+one is joined by shuffle, where adaptive execution splits a hot source.
 
 * null source: a source of its own. Null text: size 0, yet replicated at its source's rate.
 * a source whose texts are all empty has no size to reach; its rate is 1.
@@ -23,6 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.common import fresh
+from larkspur.session import cut_lineage
+
+#: Most numbers (8 bytes each) in the table of rates for it to be sent to every executor.
+SENT_STEPS = 1 << 20
 
 
 def _uniform(*parts: Column) -> Column:
@@ -71,6 +75,9 @@ def mix(
     source, steps, times = (fresh(docs, n) for n in ("_rate_source", "_rate_steps", "_times"))
     copy, key = fresh(docs, "copy"), fresh(docs, "mix_key")
     rates = source_rates(docs, weights, temperature, epochs).select(F.col("source").alias(source), poisson_steps(F.col("rate")).alias(steps))
+    rates = cut_lineage(rates, "mixing-rates")
+    if (rates.agg(F.sum(F.size(steps)).alias("n")).first()["n"] or 0) <= SENT_STEPS:
+        rates = F.broadcast(rates)
     doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     drawn = docs.join(rates, F.col("source").eqNullSafe(F.col(source))).withColumn(
         times, F.size(F.filter(F.col(steps), lambda c: c <= _uniform(F.lit(seed), doc_id)))
