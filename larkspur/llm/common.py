@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: UTF-8 bytes of text that one numpy pass works on; bounds a worker's memory whatever a batch holds.
-PASS_BYTES = 4 << 20
+PASS_BYTES = 2 << 20
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
