@@ -177,7 +177,7 @@ def allocate(total: int, both: np.ndarray, distance: int, row_cost: float = 8.0)
         for bits in parts:
             near = _within(bits, distance, pair, single)
             keys = [len(list(combinations(range(len(bits)), t))) for t in range(distance + 1)]
-            costs.append([0.0] + [row_cost * total * keys[t] + total * (total - 1) / 2 * near[t] for t in range(distance + 1)])
+            costs.append([0.0] + [row_cost * max(total, 1) * keys[t] + total * (total - 1) / 2 * near[t] for t in range(distance + 1)])
         # table[j][s]: least cost of the first j partitions whose thresholds sum to s - j
         goal = distance - m + 1
         table: dict[int, tuple[float, tuple[int, ...]]] = {0: (0.0, ())}
