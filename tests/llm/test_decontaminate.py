@@ -75,6 +75,43 @@ def test_recall_at_the_distance_limit(spark):
     assert clean == {d for d, _ in texts} - {d for d, _ in found}
 
 
+def edited_at(rng, item, places):
+    out = list(item)
+    for at in sorted(places, reverse=True):
+        kind = rng.randrange(3)
+        if kind == 0:
+            out[at] = f"new{rng.randrange(999)}"
+        elif kind == 1:
+            del out[at]
+        else:
+            out.insert(at, f"more{rng.randrange(999)}")
+    return out
+
+
+def test_recall_at_exactly_the_limit_wherever_the_edits_are():
+    """Exactly 20 % edits at the head, in the first half, at the tail and spread: 99 of 100 are found for each."""
+    rng = random.Random(3)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    layouts = {
+        "head": lambda n, k: range(k),
+        "first half": lambda n, k: rng.sample(range(n // 2), k),
+        "tail": lambda n, k: range(n - k, n),
+        "spread": lambda n, k: rng.sample(range(n), k),
+    }
+    found = dict.fromkeys(layouts, 0)
+    for length in (10, 15, 30, 50, 100):
+        items = [rng.choices(vocabulary, k=length) for _ in range(200)]
+        index = decontaminate.Index([" ".join(x).encode() for x in items])
+        for layout, places in layouts.items():
+            texts = []
+            for item in items:
+                around = rng.choices(vocabulary[:1500] + [f"o{i}" for i in range(3000)], k=100)
+                run = edited_at(rng, item, places(length, length // 5))
+                texts.append(" ".join(around[:50] + run + around[50:]).encode())
+            found[layout] += sum(i in hits for i, hits in enumerate(index.search(texts)))
+    assert min(found.values()) >= 0.99 * 1000, found
+
+
 def test_case_punctuation_and_long_texts(spark):
     item = "Which of these nine planets is closest to the bright yellow sun?"
     texts = [(1, "x " + item.upper().replace(" ", ",  ") + " y"), (2, long_text() + " " + item), (3, item[:30])]
