@@ -11,6 +11,8 @@ label of every block is known. Pages themselves are read whole, where they lie,
 
 * null or empty html, or a page without main blocks: empty text, 0 characters. Broken markup is read like
   a browser would as far as blocks need it: unclosed elements end with their parent.
+* scripts, styles, text areas and titles run to their end tag. What stands in an element that is no text of the page
+  (a button, a select, svg) is left out; one without an end tag takes only what comes before the next block-level tag.
 * null page_id or url and repeated rows: each row on its own. An empty table gives an empty result.
 * a very long page is one sequence; memory in proportion to its size. Columns go by name.
 """
@@ -41,10 +43,17 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _PART = re.compile(r"[a-z]+")
 _INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math annotation annotation-xml maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle "
+    "msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_HIDDEN = frozenset("script style noscript template textarea select option button svg math iframe object title head".split())
+#: Raw text: nothing inside counts up to the end tag, whatever it looks like.
+_RAW = frozenset("script style textarea title".split())
+_HIDDEN = frozenset("noscript template select option button svg iframe object".split())
+_FLOW = frozenset(
+    "address article aside blockquote center dd details dialog div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hgroup li main nav ol p pre section table ul".split()
+)
 _CLOSES_ITSELF = frozenset("p li dt dd tr td th option".split())
 
 
@@ -58,6 +67,9 @@ def blocks(page: str) -> list[Block]:
     """The leaf blocks with text, in page order: references decoded, white space single, trimmed."""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    # Of every open hidden element: its place on the stack, the blocks before it, those before a block-level tag inside, and the open links.
+    hidden: list[list[int]] = []
+    left_out: set[int] = set()
     parts: list[str] = []
     linked = links = 0
 
@@ -69,10 +81,21 @@ def blocks(page: str) -> list[Block]:
                 text = entities.unescape(text)
             text = " ".join(text.split())
             if text:
-                out.append(Block(text, tuple(x for name, own in stack for x in (name, *own)), linked))
+                out.append(Block(text, tuple(x for name, own in stack if name not in _HIDDEN for x in (name, *own)), linked))
             parts.clear()
         linked = 0
 
+    def pop(k: int, ended: bool) -> None:
+        """Ends the elements from place k on; ``ended`` says that the one at k has its own end."""
+        nonlocal links
+        while hidden and hidden[-1][0] >= k:
+            place, before, until, links_before = hidden.pop()
+            whole = ended and place == k
+            left_out.update(range(before, len(out) if whole or until < 0 else until))
+            if whole:
+                links = links_before
+        del stack[k:]
+
     at, size = 0, len(page)
     while at < size:
         m = _TOKEN.match(page, at)
@@ -96,32 +119,38 @@ def blocks(page: str) -> list[Block]:
                 links = max(links - 1, 0)
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
-                    del stack[k:]
+                    pop(k, True)
                     break
                 if inline and stack[k][0] not in _INLINE:
                     break
-        elif name in _HIDDEN and name != "head":
-            if not m[3].endswith("/"):  # nothing inside counts, whatever it looks like
+        elif name in _RAW:
+            if not m[3].endswith("/"):
                 end = re.compile(rf"</{re.escape(name)}[^>]*>", re.IGNORECASE).search(page, at)
                 at = end.end() if end else size
-        elif name not in _VOID:
+        elif name not in _VOID and not (name in _HIDDEN and m[3].endswith("/")):
             if name in _CLOSES_ITSELF:
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == name:
-                        del stack[k:]
+                        pop(k, True)
                         break
                     if stack[k][0] not in _INLINE:
                         break
             if name == "a":
                 links += 1
-            if not inline:
+            if name in _HIDDEN:
+                hidden.append([len(stack), len(out), -1, links])
+            elif not inline:
                 links = 0
+            if name in _FLOW:
+                for h in hidden:
+                    h[2] = len(out) if h[2] < 0 else h[2]
             own: tuple[str, ...] = ()
             if m[3] and ("=" in m[3]):
                 own = tuple(f".{w}" for a, b, c in _NAMES.findall(m[3]) for w in _PART.findall((a or b or c).lower()))
             stack.append((name, own))
     close()
-    return out
+    pop(0, False)
+    return [b for k, b in enumerate(out) if k not in left_out] if left_out else out
 
 
 # ---- features -------------------------------------------------------------------------------------

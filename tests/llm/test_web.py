@@ -119,6 +119,32 @@ def test_one_page(net):
     assert html_blocks.main_texts([PAGE], net) == [want]
 
 
+TEXT = "<article><p>The first paragraph of the article has enough words to look like one.</p><p>So has the second, which follows it.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "before",
+    [
+        "<datalist id=d><option value=a><option value=b></datalist>", "<datalist id=d><option value=a>One<option value=b>Two</datalist>", "<div><button>Menu</div>", "<button>Menu",
+        "<div><noscript>Turn it on</div>", "<object data=x>", "<div><svg><path d=x/><text>Logo</text></div>", "<svg><g>", "<select><option>A<option>B</select>", "<iframe src=x></iframe>",
+        "<button><div>Menu</div></button>", "<div><select><option>A</div><button>B</button>", "<template><p>A card that is shown nowhere.</p></template>", "<svg/>",
+    ],
+)
+def test_hidden_elements_take_nothing_else(before):
+    """Hidden elements, closed or not, leave out their own text and no more."""
+    page = "<html><body>{}" + TEXT + "<footer>All rights <button>Up</button></footer></body></html>"
+    want = [*re.findall("<p>(.*?)</p>", TEXT), "All rights"]
+    assert [b.text for b in html_blocks.blocks(page.format(before))] == want
+
+
+def test_math_text_stays_and_raw_text_goes(net):
+    page = "<article><p>Here we show that <math><mi>x</mi><mo>=</mo><msup><mn>2</mn><mi>k</mi></msup></math> holds for every number of the row.</p></article>"
+    assert [b.text for b in html_blocks.blocks(page)] == ["Here we show that x=2k holds for every number of the row."]
+    assert html_blocks.main_texts(["<button>Menu" + TEXT], net) == [" ".join(re.findall("<p>(.*?)</p>", TEXT))]
+    raw = "<p>a</p><script>'</p><p>b'</script><textarea><p>c</textarea><style><p></style><p>d</p>"
+    assert [b.text for b in html_blocks.blocks(raw)] == ["a", "d"]
+
+
 def test_odd_pages(spark, net):
     rows = [(1, None, None), (2, "u", ""), (None, "u", "no markup at all"), (3, "u", "<"), (4, "u", "<script>never closed <p>x"), (5, "u", "<p" * 500), (6, "u", "</div></p><!-- open"), (6, "u", "<article></article>")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' text", "7 n_chars")
