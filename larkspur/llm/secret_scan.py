@@ -2,8 +2,8 @@
 
 Tokens of every line are tagged as secret begin, inside or outside. Scores come from the shape of the
 token, the words and signs beside it (across line breaks too) and features of the whole file; the best
-tags of a line are found by Viterbi. The base patterns are always reported; the tagger adds the spans
-that overlap none of them, under the kind ``crf``.
+tags of a line are found by Viterbi. The base patterns are always reported; the tagger adds its spans,
+less what lies in a base span, under the kind ``crf``.
 
 The tagger is fitted when a scan is built, from a bounded sample of the documents (``SAMPLE_DOCS``
 rows of at most ``SAMPLE_CHARS`` characters, chosen by a hash of the id), whose base spans serve as
@@ -41,6 +41,8 @@ _ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\
 _ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _ASSIGN_LEAST, _ACCESS_LEAST, _HEX_LEAST = 6, 20, 24
+#: What may stand between a base span and an added one of the same value.
+_UNBROKEN = re.compile(rb"""[^\s"'`,;&<>(){}\[\]|]{0,64}""")
 
 #: Words that announce a secret, and beginnings of well-known key formats.
 KEYWORDS = (*_ASSIGN_WORDS, b"pwd", b"credential", b"private_key", b"access_key", b"bearer", b"auth")
@@ -236,6 +238,24 @@ def base_spans(raw: bytes, keyed: bool = True, access: bool = True) -> list[tupl
     return out
 
 
+def outside(raw: bytes, begin: int, end: int, base: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
+    """The parts of a span that lie in no base span and hold a token, without white space at their ends.
+
+    A part that nothing breaks off from the base span before it begins where that one ends.
+    """
+    parts, at = [], begin
+    back = max((s[2] for s in base if s[2] <= begin), default=begin)
+    if _UNBROKEN.fullmatch(raw, back, begin):
+        at = back
+    for a, b in sorted([(s[1], s[2]) for s in base if s[1] < end and begin < s[2]]) + [(end, end)]:
+        if at < a:
+            part = raw[at:a]
+            if _IN_TOKEN[np.frombuffer(part, np.uint8)].any():
+                parts.append((a - len(part.lstrip()), at + len(part.rstrip())))
+        at = max(at, b)
+    return parts
+
+
 def scan(batch: list[bytes], tagger: Tagger | None) -> tuple[list[list[tuple[int, int, int, int]]], Tokens, np.ndarray]:
     """Spans of every text (kind, start, end, start of the secret; bytes), the tokens and where the texts begin."""
     data, doc_starts, lengths = joined(batch)
@@ -257,15 +277,14 @@ def scan(batch: list[bytes], tagger: Tagger | None) -> tuple[list[list[tuple[int
         tags = tagger.tag(t)
         first = np.flatnonzero(tags == BEGIN)
         if len(first):
-            outside = np.flatnonzero(tags != INSIDE)
-            following = np.searchsorted(outside, first, side="right")
-            last = np.append(outside, len(tags))[following] - 1
+            others = np.flatnonzero(tags != INSIDE)
+            following = np.searchsorted(others, first, side="right")
+            last = np.append(others, len(tags))[following] - 1
             docs = np.searchsorted(doc_starts, t.starts[first], side="right") - 1
             for d, a, b in zip(docs.tolist(), t.starts[first].tolist(), t.ends[last].tolist()):
                 at = int(doc_starts[d])
-                span = (3, a - at, min(b, int(doc_ends[d])) - at, a - at)
-                if all(span[2] <= s[1] or s[2] <= span[1] for s in found[d] if s[0] != 3):
-                    found[d].append(span)
+                base = [s for s in found[d] if s[0] != 3]
+                found[d] += [(3, x, y, x) for x, y in outside(batch[d], a - at, min(b, int(doc_ends[d])) - at, base)]
     for spans in found:
         spans.sort(key=lambda s: (s[1], s[0]))
     return found, t, doc_starts
@@ -420,11 +439,13 @@ def redact(docs: DataFrame, tagger: Tagger | None = None) -> DataFrame:
     def masked(texts: pa.Array, found: pa.Array) -> pa.Array:
         out = []
         for text, marks in zip(texts, found):
-            text, parts, at = text.as_py(), [], 0
+            text, parts, at, kind = text.as_py(), [], 0, ""
             for s in sorted(marks.as_py(), key=lambda s: s["secret_start"]):
-                if s["secret_start"] >= at:
+                # what the tagger adds right beside a span is of the same secret
+                if s["secret_start"] > at or s["secret_start"] == at and not (parts and "crf" in (kind, s["kind"])):
                     parts += [text[at : s["secret_start"]], MASK]
-                at = max(at, s["end"])
+                if s["end"] >= at:
+                    at, kind = s["end"], s["kind"]
             out.append("".join(parts) + text[at:])
         return pa.array(out, pa.string())
 

@@ -85,6 +85,30 @@ def test_spans_that_no_pattern_knows(spark, tagger):
     assert hit >= 180 and false == 0
 
 
+def test_values_with_signs_are_masked_whole(spark, tagger):
+    """What the tagger finds beyond a base span is masked too; base spans stay as they are."""
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    rows, want = [(0, "we set password=abc123!Rest$OfSecret99 for the house")], ["we set password=[SECRET] for the house"]
+    for i in range(1, 200):
+        value = "".join(rng.choices(letters, k=rng.choice((12, 16, 20, 32, 40))))
+        value = value[: len(value) // 2] + rng.choice("!$%@#*") + value[len(value) // 2 :]
+        form = rng.choice(('red house password = "{}"', "the secret={}", "x api_key: {}", "export TOKEN='{}'", "the house password={} of the garden"))
+        rows.append((i, form.replace("{}", value)))
+        want.append(form.replace("{}", "[SECRET]"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in secret_scan.redact(df, tagger).collect()}
+    assert got[0] == want[0] and sum(got[i] == w for i, w in enumerate(want)) >= 0.95 * len(want)
+    check_rows([r.asDict() | {"i": r.doc_id} for r in secret_scan.digest(secret_scan.find(df, tagger)).collect()], dict(rows))
+
+
+def test_parts_outside_base_spans():
+    raw = b"ab12 token=xyz123 cd34 , 99"
+    base = [(0, 5, 17, 11)]
+    assert secret_scan.outside(raw, 0, len(raw), base) == [(0, 4), (18, 27)]
+    assert secret_scan.outside(raw, 5, 17, base) == [] and secret_scan.outside(raw, 18, 22, base) == [(18, 22)]
+
+
 def test_clean_tables_get_few_added_spans(spark, small_dir, tagger):
     docs = spark.read.parquet(f"{small_dir}/documents.parquet")
     added = [r.n_crf for r in secret_scan.digest(secret_scan.find(docs, tagger)).collect()]
