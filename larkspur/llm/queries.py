@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import decontaminate, html_blocks, language, mixing, quality_crf, quality_rules, secret_scan, simhash, toxicity, urls
+from larkspur.llm import collocations, decontaminate, html_blocks, language, mixing, quality_crf, quality_rules, secret_scan, simhash, toxicity, urls
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -124,3 +124,45 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_language_id")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op11_phrase_collocations",
+    r"""
+    WITH pieces AS (
+      SELECT coalesce(lang, 'und') AS lang,
+             unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+      FROM documents
+    ), words AS (
+      SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+    ), grams AS (
+      SELECT lang, m, unnest([array_to_string(w[i:i + m - 1], ' ') FOR i IN range(1, len(w) - m + 2)]) AS phrase
+      FROM words, (SELECT unnest(range(1, 6)) AS m)
+    ), counts AS (
+      SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL
+    ), sizes AS (
+      SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE m = 1 GROUP BY lang
+    ), candidates AS (
+      SELECT lang, m, phrase, f, string_split(phrase, ' ') AS w FROM counts WHERE m > 1 AND f >= 100
+    ), kept AS (
+      SELECT * FROM candidates c
+      WHERE NOT EXISTS (
+        SELECT 1 FROM candidates b
+        WHERE b.lang = c.lang AND b.m > c.m AND 100 * b.f >= 100 * c.f AND contains(' ' || b.phrase || ' ', ' ' || c.phrase || ' ')
+      )
+    ), cut AS (
+      SELECT c.lang, c.phrase, c.f AS a, k, x.f AS l, y.f AS r, s.n,
+             CAST(1000::HUGEINT * c.f * s.n // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+      FROM kept c, LATERAL (SELECT unnest(range(1, c.m)) AS k)
+      JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+      JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')
+      JOIN sizes s ON s.lang = c.lang
+    ), weakest AS (
+      SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+    )
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM weakest QUALIFY rank <= 2000
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
