@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import collocations, decontaminate, html_blocks, language, mixing, quality_crf, quality_rules, secret_scan, simhash, toxicity, urls
+from larkspur.llm import collocations, decontaminate, divergence, html_blocks, language, mixing, quality_crf, quality_rules, secret_scan, simhash, toxicity, urls
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -166,3 +166,48 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(_table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
+
+
+@query(
+    "op12_source_divergence",
+    r"""
+    WITH docs AS (
+      SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+      FROM documents
+    ), terms AS (
+      SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+    ), kept AS (
+      SELECT lang, term, count(*) AS total FROM terms GROUP BY lang, term HAVING count(DISTINCT id) >= 10
+    ), langs AS (
+      SELECT lang, count(*) AS kinds, sum(total) AS size FROM kept GROUP BY lang
+    ), counts AS (
+      SELECT lang, source, term, count(*) AS n FROM terms JOIN kept USING (lang, term) GROUP BY ALL
+    ), groups AS (
+      SELECT g.lang, g.source, coalesce(sum(n), 0) AS size
+      FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source
+      GROUP BY ALL
+    ), shares AS (
+      SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+             1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (g.size + 2 * l.kinds) AS p,
+             1 + 1000000000::HUGEINT * (k.total + 2) // (l.size + 2 * l.kinds) AS q
+      FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang)
+      LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+    ), sums AS (
+      SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+      FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+      GROUP BY ALL
+    ), found AS (
+      SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+      FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+      UNION ALL
+      SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q
+    )
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+           CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+    FROM found QUALIFY part = 'pair' OR rank <= 10
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"), least_docs=10, top=10)
