@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import collocations, decontaminate, divergence, html_blocks, language, mixing, quality_crf, quality_rules, secret_scan, simhash, toxicity, urls
+from larkspur.llm import (
+    collocations,
+    decontaminate,
+    divergence,
+    html_blocks,
+    language,
+    mixing,
+    pii,
+    quality_crf,
+    quality_rules,
+    secret_scan,
+    simhash,
+    toxicity,
+    urls,
+)
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -211,3 +225,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"), least_docs=10, top=10)
+
+
+@query("op13_pii")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(_table(spark, sf_dir, "documents")))
