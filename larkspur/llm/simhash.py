@@ -209,15 +209,16 @@ def masks(parts: list[Part]) -> list[int]:
 
 
 def _forest(values: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """Links (tree root, member) that connect whatever is linked among the values, by exact distances."""
+    """Links (the value it was reached from, value) that connect whatever is linked among the values, by exact distances."""
     links, waiting = [], values
     while len(waiting):
-        root, queue, waiting = waiting[0], [waiting[0]], waiting[1:]
+        queue, waiting = [waiting[0]], waiting[1:]
         while queue and len(waiting):
-            near = np.bitwise_count(waiting ^ queue.pop()) <= distance
+            here = queue.pop()
+            near = np.bitwise_count(waiting ^ here) <= distance
             if near.any():
                 found = waiting[near]
-                links += [(root, x) for x in found]
+                links += [(here, x) for x in found]
                 queue += list(found)
                 waiting = waiting[~near]
     return links
@@ -249,7 +250,8 @@ def _link_udf(distance: int):
 def links(prints: DataFrame, column: str, distance: int, block: int = BLOCK) -> DataFrame:
     """A spanning forest (a, b) of all links between the distinct fingerprints of the frame.
 
-    The frame should be cheap to read twice (a written table).
+    The frame should be cheap to read twice (a written table). A bucket of n fingerprints is cut into n / ``block``
+    blocks and each pair of blocks is a unit, so its rows repeat n / ``block`` times: exact, and bounded per task.
     """
     total, both = bit_counts(prints, column)
     kinds = masks(allocate(total, both, distance))
