@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import counted, joined, passes
+from larkspur.llm.common import counted, join_small, joined, passes
 from larkspur.session import cut_lineage
 
 #: The largest sieve, and the bits of it per frequent phrase as long as it is smaller.
@@ -276,7 +276,7 @@ def mine(docs: DataFrame, least: int = 100, longest: int = 5, top: int = 2000, s
         longer = extensions(streams, by_first).hint("merge")
         phrases = phrases.join(longer, ["lang", "phrase"], "left").where(F.coalesce(100 * F.col("longer") < share * F.col("a"), F.lit(True))).drop("longer")
     sizes = streams.where(F.col("phrase").isNull()).select("lang", "n")
-    scored = cuts(streams, phrases).join(sizes, "lang").withColumn("score", F.expr(SCORE))
+    scored = join_small(cuts(streams, phrases), sizes, ["lang"], "phrase").withColumn("score", F.expr(SCORE))
     weakest = scored.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     return (

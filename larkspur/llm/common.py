@@ -44,6 +44,18 @@ def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30))).limit(2 * rows)
 
 
+def join_small(big: DataFrame, small: DataFrame, keys: list[str], by: str, parts: int = 64) -> DataFrame:
+    """Inner join with a table of few rows, whose keys repeat without bound in the large one.
+
+    Where the small side is not broadcast by its measured size, a key's rows are dealt into parts by a hash of
+    the column ``by``, and each part meets a copy of the small table's row; no key lands in one task.
+    """
+    part = fresh(big, "_part")
+    dealt = big.withColumn(part, F.pmod(F.xxhash64(by), F.lit(parts)).cast("int"))
+    copies = small.withColumn(part, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return dealt.join(copies, [*keys, part]).drop(part)
+
+
 def passes(texts: pa.Array, limit: int = PASS_BYTES) -> Iterator[list[bytes]]:
     """The texts in order as UTF-8 (null: empty), in lists of about ``limit`` bytes; no text is cut."""
     batch: list[bytes] = []

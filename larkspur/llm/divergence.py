@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import joined, passes
+from larkspur.llm.common import join_small, joined, passes
 from larkspur.session import cut_lineage
 
 #: Columns and rows of a block of the matrix; entries of a product are at most ROWS, which float32 holds exactly.
@@ -122,7 +122,7 @@ class Audit:
         self.groups = cut_lineage(groups.withColumn("none", share("0L", "size", "kinds")), "groups")
         #: lang, term, total, source, n, p and p of an absent term
         self.levels = (
-            flat.join(self.groups, ["lang", "source"])
+            join_small(flat, self.groups, ["lang", "source"], "term")
             .withColumn("p", share("n", "size", "kinds"))
             .select("lang", "term", "total", "source", "n", "p", "none", "kinds", "lang_size")
         )
@@ -149,7 +149,7 @@ class Audit:
         margins = blocks.where("source_a = source_b").select("lang", F.col("source_a").alias("x"), "p_a", "terms")
         other = self.groups.select("lang", F.col("source").alias("y"), F.col("none").alias("none_y"))
         alone = (
-            margins.join(other, "lang")
+            join_small(margins, other, ["lang"], "p_a")
             .where("x <> y")
             .groupBy("lang", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
             .agg(F.sum(F.col("terms") * price("p_a", "none_y")).alias("alone"))
@@ -159,7 +159,7 @@ class Audit:
             for c in ("x", "y")
         )
         absent = F.expr("kinds - present_x - present_y") * price("none_x", "none_y")
-        both = one.join(two.drop("kinds"), "lang").where("x < y").join(inner, ["lang", "x", "y"], "left").join(alone, ["lang", "x", "y"], "left")
+        both = join_small(one, two.drop("kinds"), ["lang"], "x").where("x < y").join(inner, ["lang", "x", "y"], "left").join(alone, ["lang", "x", "y"], "left")
         value = F.coalesce(absent, F.lit(0)) + F.coalesce("inner", F.lit(0)) + F.coalesce("alone", F.lit(0))
         ways = F.array(F.struct(F.col("x").alias("source"), F.col("y").alias("item")), F.struct(F.col("y").alias("source"), F.col("x").alias("item")))
         return both.select("lang", F.inline(ways), value.alias("value"))
