@@ -6,8 +6,8 @@ few counts. A bidirectional LSTM in numpy reads the sequence, so every block is
 around it, and labels each block as main text or not.
 
 Fitted when an extraction is built, on a bounded sample of pages (``SAMPLE_PAGES``): as they are, with
-labels from plain rules over tags and class names, and laid out anew in random templates in which the
-label of every block is known. Pages themselves are read whole, where they lie, without a shuffle.
+labels from plain rules over tags and class names, and laid out anew in random templates (paragraphs, lists,
+tables, glossaries, with what pages put beside them) in which the label of every block is known. Pages themselves are read whole, where they lie, without a shuffle.
 
 * null or empty html, or a page without main blocks: empty text, 0 characters. Broken markup is read like
   a browser would as far as blocks need it: unclosed elements end with their parent.
@@ -24,6 +24,7 @@ import random
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -33,13 +34,17 @@ from pyspark.sql import functions as F
 
 from larkspur.llm.common import bounded_sample, sigmoid
 
-SAMPLE_PAGES, SAMPLE_CHARS, MADE_PAGES = 300, 30_000, 700
+SAMPLE_PAGES, SAMPLE_CHARS, MADE_PAGES = 300, 30_000, 900
 HIDDEN = 16
 PATH_DIMS, WORD_DIMS = 96, 48
 #: Blocks that one pass of the network holds.
 PASS_BLOCKS = 20_000
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>|[^<]+|<", re.DOTALL)
+# A tag up to its ``>``; quotes count only where a value begins with one that is closed.
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)*+)>""")
+_TAG_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+# References to numbers far beyond Unicode, whose digits a parser of numbers may refuse.
+_HUGE = re.compile(r"&#(?:0*[1-9][0-9]{8,}|[xX]0*[1-9a-fA-F][0-9a-fA-F]{7,});?")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _PART = re.compile(r"[a-z]+")
 _INLINE = frozenset(
@@ -57,120 +62,239 @@ _FLOW = frozenset(
 _CLOSES_ITSELF = frozenset("p li dt dd tr td th option".split())
 
 
+#: Names of elements, classes, ids and roles that hold the article, and of what stands beside it.
+_MAIN = frozenset("article main .article .main .content .post .entry .story .body".split())
+_ASIDE = frozenset(
+    "nav header footer aside form .nav .navbar .menu .sidebar .header .footer .ad .ads .advert .advertisement .sponsored .promo .banner .cookie .consent "
+    ".notice .newsletter .subscribe .share .social .related .comment .comments .reply .breadcrumb .login .search .widget .pagination .popup .modal "
+    ".commentlist .disqus .respond .responses .navigation .complementary .contentinfo".split()
+)
+
+
+class Path:
+    """Open elements from the root to a place, as a pointer to the place above.
+
+    Places with the same names are one object, so what is computed for one serves all blocks and pages.
+    """
+
+    __slots__ = ("above", "parts", "main", "beside", "seen", "below", "vector")
+
+    def __init__(self, above: "Path | None", parts: tuple[str, ...]):
+        self.above, self.parts, self.below, self.vector = above, parts, {}, None
+        self.main = above is not None and above.main or not _MAIN.isdisjoint(parts)
+        self.beside = above is not None and above.beside or not _ASIDE.isdisjoint(parts)
+        #: one bit per hashed name anywhere on the path
+        self.seen = above.seen if above is not None else 0
+        for part in parts:
+            self.seen |= 1 << zlib.crc32(part.encode()) % PATH_DIMS
+
+
 class Block(NamedTuple):
     text: str
-    path: tuple[str, ...]
+    path: Path
     linked: int
 
 
-def blocks(page: str) -> list[Block]:
-    """The leaf blocks with text, in page order: references decoded, white space single, trimmed."""
-    out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    # Of every open hidden element: its place on the stack, the blocks before it, those before a block-level tag inside, and the open links.
-    hidden: list[list[int]] = []
-    left_out: set[int] = set()
-    parts: list[str] = []
-    linked = links = 0
-
-    def close() -> None:
-        nonlocal linked
-        if parts:
-            text = "".join(parts)
+class _Places:
+    """The places in use, from the root; begun anew when there are many."""
+
+    def __init__(self, most: int = 20_000):
+        self.most = most
+        self.root, self.size = Path(None, ()), 0
+
+    def __reduce__(self):
+        return _Places, (self.most,)  # tasks begin with none
+
+    def start(self) -> Path:
+        if self.size > self.most:
+            self.root, self.size = Path(None, ()), 0
+        return self.root
+
+    def below(self, path: Path, parts: tuple[str, ...]) -> Path:
+        found = path.below.get(parts)
+        if found is None:
+            found = path.below[parts] = Path(path, parts)
+            self.size += 1
+        return found
+
+
+_places = _Places()
+
+
+class _Page:
+    """Reads a page once, left to right; every step costs the same however much is open."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.out: list[Block] = []
+        self.names: list[str] = []
+        self.paths = [_places.start()]
+        #: places on the stack of the open elements by name, and of those that are not inline
+        self.by_name: dict[str, list[int]] = {}
+        self.walls: list[int] = []
+        #: of every open hidden element: its place, the blocks before it, those before a block-level tag inside (or -1), the open links;
+        #: in the first ``met`` of them such a tag was met
+        self.hidden: list[list[int]] = []
+        self.met = 0
+        self.left_out: list[tuple[int, int]] = []
+        self.parts: list[str] = []
+        self.linked = self.links = 0
+
+    def close(self) -> None:
+        """Ends the block."""
+        if self.parts:
+            text = "".join(self.parts)
             if "&" in text:
-                text = entities.unescape(text)
+                text = entities.unescape(_HUGE.sub("\ufffd", text))
             text = " ".join(text.split())
             if text:
-                out.append(Block(text, tuple(x for name, own in stack if name not in _HIDDEN for x in (name, *own)), linked))
-            parts.clear()
-        linked = 0
-
-    def pop(k: int, ended: bool) -> None:
-        """Ends the elements from place k on; ``ended`` says that the one at k has its own end."""
-        nonlocal links
-        while hidden and hidden[-1][0] >= k:
-            place, before, until, links_before = hidden.pop()
-            whole = ended and place == k
-            left_out.update(range(before, len(out) if whole or until < 0 else until))
+                self.out.append(Block(text, self.paths[-1], self.linked))
+            self.parts.clear()
+        self.linked = 0
+
+    def pop(self, place: int, ended: bool) -> None:
+        """Ends the elements from this place on; ``ended`` says that the one there has its own end."""
+        while self.hidden and self.hidden[-1][0] >= place:
+            at, before, until, links = self.hidden.pop()
+            whole = ended and at == place
+            self.left_out.append((before, len(self.out) if whole or until < 0 else until))
             if whole:
-                links = links_before
-        del stack[k:]
-
-    at, size = 0, len(page)
-    while at < size:
-        m = _TOKEN.match(page, at)
-        at = m.end()
-        name = m[2]
-        if name is None:
-            if page[m.start()] != "<" or m[0] == "<":
-                parts.append(m[0])
-                if links:
-                    linked += len(m[0])
-            continue
-        name = name.lower()
-        if name == "br":
-            parts.append(" ")
-            continue
+                self.links = links
+        self.met = min(self.met, len(self.hidden))
+        while len(self.names) > place:
+            self.by_name[self.names.pop()].pop()
+            self.paths.pop()
+        while self.walls and self.walls[-1] >= place:
+            self.walls.pop()
+
+    def text(self, a: int, b: int) -> None:
+        self.parts.append(self.page[a:b])
+        if self.links:
+            self.linked += b - a
+
+    def end_tag(self, name: str) -> None:
+        inline = name in _INLINE
+        if not inline:
+            self.close()
+        if name == "a":
+            self.links = max(self.links - 1, 0)
+        places = self.by_name.get(name)
+        # an inline element is not closed from outside of the block-level one it stands in
+        if places and not (inline and self.walls and self.walls[-1] > places[-1]):
+            self.pop(places[-1], True)
+
+    def start_tag(self, name: str, attributes: str) -> None:
         inline = name in _INLINE
         if not inline:
-            close()
-        if m[1]:
-            if name == "a":
-                links = max(links - 1, 0)
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    pop(k, True)
-                    break
-                if inline and stack[k][0] not in _INLINE:
-                    break
-        elif name in _RAW:
-            if not m[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}[^>]*>", re.IGNORECASE).search(page, at)
-                at = end.end() if end else size
-        elif name not in _VOID and not (name in _HIDDEN and m[3].endswith("/")):
-            if name in _CLOSES_ITSELF:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        pop(k, True)
-                        break
-                    if stack[k][0] not in _INLINE:
-                        break
-            if name == "a":
-                links += 1
-            if name in _HIDDEN:
-                hidden.append([len(stack), len(out), -1, links])
-            elif not inline:
-                links = 0
-            if name in _FLOW:
-                for h in hidden:
-                    h[2] = len(out) if h[2] < 0 else h[2]
+            self.close()
+        if name in _VOID or name in _HIDDEN and attributes.endswith("/"):
+            return
+        if name in _CLOSES_ITSELF and self.walls and self.names[self.walls[-1]] == name:
+            self.pop(self.walls[-1], True)
+        if name == "a":
+            self.links += 1
+        if name in _HIDDEN:
+            self.hidden.append([len(self.names), len(self.out), -1, self.links])
+        elif not inline:
+            self.links = 0
+        if name in _FLOW:
+            for h in self.hidden[self.met :]:
+                h[2] = len(self.out)
+            self.met = len(self.hidden)
+        here = self.paths[-1]
+        if name not in _HIDDEN:
             own: tuple[str, ...] = ()
-            if m[3] and ("=" in m[3]):
-                own = tuple(f".{w}" for a, b, c in _NAMES.findall(m[3]) for w in _PART.findall((a or b or c).lower()))
-            stack.append((name, own))
-    close()
-    pop(0, False)
-    return [b for k, b in enumerate(out) if k not in left_out] if left_out else out
+            if "=" in attributes:
+                own = tuple(f".{w}" for a, b, c in _NAMES.findall(attributes) for w in _PART.findall((a or b or c).lower()))
+            here = _places.below(here, (name, *own))
+        self.by_name.setdefault(name, []).append(len(self.names))
+        if not inline:
+            self.walls.append(len(self.names))
+        self.names.append(name)
+        self.paths.append(here)
+
+    def read(self) -> list[Block]:
+        page, size, last = self.page, len(self.page), self.page.rfind(">")
+        at, quotes = 0, True
+        while at < size:
+            sign = page.find("<", at)
+            if sign < 0 or sign > last:  # no tag ends any more: the rest is text
+                sign = size
+            if sign > at:
+                self.text(at, sign)
+                at = sign
+                continue
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 2)
+                at = end + 3 if end >= 0 else size
+                continue
+            if page.startswith(("<!", "<?"), at):
+                at = page.find(">", at) + 1
+                continue
+            m = _TAG.match(page, at) if quotes else None
+            if m is None:
+                m = _TAG_NAME.match(page, at)
+                if m is None:
+                    self.text(at, at + 1)
+                    at += 1
+                    continue
+                quotes = False  # a quote swallows the rest of the page: from here on a tag ends at the next ``>``
+                end = page.find(">", m.end())
+                attributes, at = page[m.end() : end], end + 1
+            else:
+                attributes, at = m[3], m.end()
+            name = m[2].lower()
+            if name == "br":
+                self.parts.append(" ")
+            elif m[1]:
+                self.end_tag(name)
+            elif name in _RAW:
+                self.close()
+                if not attributes.endswith("/"):
+                    end = _raw_end(name).search(page, at, last + 1) if at <= last else None
+                    at = end.end() if end else size
+            else:
+                self.start_tag(name, attributes)
+        self.close()
+        self.pop(0, False)
+        if not self.left_out:
+            return self.out
+        inside = np.zeros(len(self.out) + 1, np.int64)
+        for a, b in self.left_out:
+            inside[a] += 1
+            inside[max(a, b)] -= 1
+        return [b for b, n in zip(self.out, np.cumsum(inside).tolist()) if n == 0]
+
+
+@lru_cache
+def _raw_end(name: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*+>", re.IGNORECASE)
+
+
+def blocks(page: str) -> list[Block]:
+    """The leaf blocks with text, in page order: references decoded, white space single, trimmed. Linear in the page."""
+    return _Page(page).read()
 
 
 # ---- features -------------------------------------------------------------------------------------
 
-_COUNTS = 12
+_COUNTS = 14
 DIMS = PATH_DIMS + WORD_DIMS + _COUNTS
-_path_cache: dict[tuple[str, ...], np.ndarray] = {}
+#: The nearest names of a path that count one by one; farther ones count as there or not.
+NEAREST = 8
 
 
-def _path_vector(path: tuple[str, ...]) -> np.ndarray:
-    found = _path_cache.get(path)
-    if found is None:
-        found = np.zeros(PATH_DIMS, np.float32)
-        for k, part in enumerate(reversed(path)):
-            found[zlib.crc32(part.encode()) % PATH_DIMS] += 1.0 if k < 8 else 0.5
-        found = np.minimum(found, 1.5)
-        if len(_path_cache) > 50_000:
-            _path_cache.clear()
-        _path_cache[path] = found
-    return found
+def _path_vector(path: Path) -> np.ndarray:
+    if path.vector is None:
+        found, taken, at = np.zeros(PATH_DIMS, np.float32), 0, path
+        while at.above is not None and taken < NEAREST:
+            for part in at.parts:
+                found[zlib.crc32(part.encode()) % PATH_DIMS] += 1.0
+            taken += len(at.parts)
+            at = at.above
+        far = np.frombuffer(at.seen.to_bytes(PATH_DIMS // 8, "little"), np.uint8)
+        path.vector = np.minimum(found + 0.5 * np.unpackbits(far, bitorder="little"), 1.5)
+    return path.vector
 
 
 def features(page: list[Block]) -> np.ndarray:
@@ -185,7 +309,7 @@ def features(page: list[Block]) -> np.ndarray:
         size = len(block.text)
         x[k, PATH_DIMS + WORD_DIMS :] = (
             np.log1p(size) / 5, size < 25, size > 100, size > 400, min(block.linked / size, 1), len(words) / 50 if len(words) < 50 else 1,
-            block.text[-1] in ".!?\"'", "©" in block.text, k / len(page), k == 0, k == len(page) - 1, 1,
+            block.text[-1] in ".!?\"'", "©" in block.text or "opyright" in block.text, k / len(page), k == 0, k == len(page) - 1, block.path.main, block.path.beside, 1,
         )
     return x
 
@@ -311,18 +435,10 @@ def train(pages: list[tuple[np.ndarray, np.ndarray]], epochs: int = 6, batch: in
 
 # ---- what it learns from --------------------------------------------------------------------------
 
-_MAIN = frozenset("article main .article .main .content .post .entry .story .body".split())
-_ASIDE = frozenset(
-    "nav header footer aside form .nav .navbar .menu .sidebar .header .footer .ad .ads .advert .advertisement .sponsored .promo .banner .cookie .consent "
-    ".notice .newsletter .subscribe .share .social .related .comment .comments .reply .breadcrumb .login .search .widget .pagination .popup .modal".split()
-)
-
-
 def rule_labels(page: list[Block]) -> np.ndarray:
     """Labels by plain rules: inside an article or main part and nothing that stands beside it."""
-    sets = [frozenset(b.path) for b in page]
-    beside = np.array([bool(s & _ASIDE) for s in sets])
-    main = np.array([bool(s & _MAIN) for s in sets])
+    beside = np.array([b.path.beside for b in page])
+    main = np.array([b.path.main for b in page])
     if not (main & ~beside).any():
         main = np.array([len(b.text.split()) >= 15 and b.linked * 3 < len(b.text) for b in page])
     return (main & ~beside).astype(float)
@@ -332,6 +448,7 @@ _MARK = "\ue000"
 _MAIN_FORMS = (
     "<article>{}</article>", "<main>{}</main>", '<main><article class="post">{}</article></main>', '<div class="content">{}</div>', '<div id="main-content"><div class="entry">{}</div></div>',
     '<section class="story-body">{}</section>', '<div class="article-text">{}</div>', '<div class="page"><div class="post-body">{}</div></div>', "<div>{}</div>", "<table><tr><td>{}</td></tr></table>",
+    '<div role="main">{}</div>', '<div id="wrap"><div id="inner">{}</div></div>', "<section>{}</section>", '<div class="container"><div class="row"><div class="column">{}</div></div></div>', "{}",
 )
 _SIDE_FORMS = (
     '<nav><ul>{l}</ul></nav>', '<div class="menu"><ul>{l}</ul></div>', '<header><a href="/">{s}</a><p>{s}</p></header>', '<div class="header">{s}</div>', "<footer>&copy; {s}</footer>",
@@ -340,6 +457,21 @@ _SIDE_FORMS = (
     '<form action="/q"><label>{w}</label><p>{s}</p></form>', '<div class="newsletter"><p>{p}</p></div>', '<ul class="related">{l}</ul>', '<div class="share"><a href="#">{w}</a> <a href="#">{w}</a></div>',
     '<section id="comments"><h2>{w}</h2><div class="comment"><p>{p}</p></div><div class="comment"><p>{p}</p></div></section>', '<div class="comments"><ol><li><b>{w}</b> {p}</li><li>{p}</li></ol></div>',
     '<div class="breadcrumb"><a href="/">{w}</a> &gt; <a href="/x">{w}</a></div>', '<div class="social">{w}</div>', '<div class="popup"><p>{s}</p></div>', "<div><a href='#'>{w}</a> | <a href='#'>{w}</a></div>",
+    '<div id="disqus_thread"><ul><li><p>{p}</p></li><li><p>{p}</p></li></ul></div>', '<div id="respond"><h3>{b}</h3><p>{s}</p></div>', '<ol class="commentlist"><li><b>{w}</b><p>{p}</p></li><li><p>{p}</p></li></ol>',
+    '<section class="responses"><h3>{w}</h3><div><b>{w}</b><p>{p}</p></div></section>', "<div>&copy; 2024 {w}. {b}</div>", "<div>&copy; {w}. {b}</div>", "<div>{b} &copy; {w}</div>", "<p>&copy; 2019 {w} {b}</p>", "<div>{w}. {b}</div>", "<div>Copyright 2020 {w}. {b}</div>", "<div><p>{b}</p></div>", "<div>{b}</div>", "<p>{b}</p>", '<div class="site-info">{b} {w}</div>',
+    '<div role="navigation"><ul>{l}</ul></div>', '<div role="complementary"><p>{p}</p></div>', '<div role="contentinfo">{s}</div>', '<div role="banner"><h1>{w}</h1></div>', '<table class="nav"><tr><td><a href="/">{w}</a></td><td><a href="/x">{w}</a></td></tr></table>',
+    '<div><p><a href="/">{b}</a> <a href="/x">{b}</a></p></div>', "<ul>{l}</ul>",
+    '<div class="advert"><p>{p}</p></div>', '<div class="advertisement">{s}</div>', '<div class="promo-box"><p>{p}</p></div>',
+)
+#: What pages say beside their text.
+_BESIDE = (
+    "All rights reserved.", "Privacy policy", "Terms of use", "Contact us", "Sign up for our newsletter", "We use cookies to improve this site.", "Leave a reply", "Log in to comment",
+    "Share this", "Back to top", "Imprint", "Powered by a small shop", "Copyright 2023 by the publisher. All rights reserved.", "Alle Rechte vorbehalten", "Impressum", "Datenschutz",
+    "Mentions légales", "Tous droits réservés", "Aviso legal", "Todos los derechos reservados", "Subscribe now", "Follow us", "Advertisement", "Read more", "Accept all", "Site map",
+)
+_PART_FORMS = (
+    *("<p>{}</p>",) * 6, "<p><b>{}<br>", "<p>{}", "<div>{}</div>", "<blockquote>{}</blockquote>", "<p><a href='#'>x</a> {}</p>", "<pre>{}</pre>", "<h2>{}</h2>", "<h3>{}</h3>",
+    "<figure><img src=x><figcaption>{}</figcaption></figure>", "<section><h3>{}</h3><p>{}</p></section>", "<div><p>{}</p><p>{}</p></div>", "<blockquote><p>{}</p></blockquote>",
 )
 
 
@@ -351,6 +483,9 @@ def made_page(rng: random.Random, texts: list[str]) -> tuple[list[Block], np.nda
         at = rng.randrange(len(pool))
         return entities.escape(" ".join((pool[at:] + pool)[: rng.randrange(low, high)]))
 
+    def own(low: int, high: int) -> str:
+        return _MARK + words(low, high)
+
     def side() -> str:
         form = rng.choice(_SIDE_FORMS)
         fill = {
@@ -358,20 +493,37 @@ def made_page(rng: random.Random, texts: list[str]) -> tuple[list[Block], np.nda
             "{s}": lambda: words(3, 12),
             "{w}": lambda: words(1, 4),
             "{p}": lambda: words(10, 70),
+            "{b}": lambda: rng.choice(_BESIDE),
         }
-        return re.sub(r"\{[lswp]\}", lambda m: fill[m[0]](), form)
-
-    def paragraph() -> str:
-        text = _MARK + words(2, 120)
-        form = rng.choice(("<p>{}</p>",) * 6 + ("<p><b>{}<br>", "<p>{}", "<div>{}</div>", "<li>{}</li>", "<blockquote>{}</blockquote>", "<p><a href='#'>x</a> {}</p>", "<pre>{}</pre>", "<h2>{}</h2>"))
-        return form.format(text)
+        return re.sub(r"\{[lswpb]\}", lambda m: fill[m[0]](), form)
+
+    def listing() -> str:
+        """A list, a table with headers or a glossary of the article, of short or long entries."""
+        high = rng.choice((4, 12, 60))
+        entry = rng.choice(("<li>{}</li>", "<li>{}", "<li><p>{}</p></li>"))
+        kind = rng.choice("ulldt")
+        if kind == "t":
+            width = rng.randrange(1, 5)
+            head = "".join(f"<th>{own(1, 4)}</th>" for _ in range(width))
+            rows = "".join("<tr>" + "".join(f"<td>{own(1, 6)}</td>" for _ in range(width)) + "</tr>" for _ in range(rng.randrange(1, 5)))
+            return f"<table><tr>{head}</tr>{rows}</table>"
+        if kind == "d":
+            return "<dl>" + "".join(f"<dt>{own(1, 4)}</dt><dd>{own(2, high + 2)}</dd>" for _ in range(rng.randrange(1, 5))) + "</dl>"
+        entries = "".join(entry.format(own(1, high)) for _ in range(rng.randrange(1, 8)))
+        return f"<{kind}l>{entries}</{kind}l>" if kind == "u" else f"<ol>{entries}</ol>"
+
+    def part() -> str:
+        if rng.random() < 0.2:
+            return listing()
+        form = rng.choice(_PART_FORMS)
+        return form.format(*(own(1, 10) if form.startswith(("<h", "<fig")) else own(2, 120) for _ in range(form.count("{}"))))
 
     body = ""
     if rng.random() < 0.8:
-        body += f"<h1>{_MARK}{words(3, 12)}</h1>"
+        body += f"<h1>{own(3, 12)}</h1>"
     for _ in range(rng.randrange(1, 12)):
-        body += paragraph()
-        if rng.random() < 0.06:
+        body += part()
+        if rng.random() < 0.12:
             body += side()
     page = "".join(side() for _ in range(rng.randrange(0, 4))) + rng.choice(_MAIN_FORMS).format(body) + "".join(side() for _ in range(rng.randrange(0, 4)))
     found = blocks(f"<html><body>{page}</body></html>")
