@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -41,6 +42,8 @@ _ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\
 _ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _ASSIGN_LEAST, _ACCESS_LEAST, _HEX_LEAST = 6, 20, 24
+#: For fitting only: the plain lines taken beside those with secrets, their bytes, the lines asked for words, and the templates.
+PLAIN_LINES, LINE_BYTES, WORD_LINES, TEMPLATES = 1500, 2000, 300, 1500
 #: What may stand between a base span and an added one of the same value.
 _UNBROKEN = re.compile(rb"""[^\s"'`,;&<>(){}\[\]|]{0,64}""")
 
@@ -238,21 +241,37 @@ def base_spans(raw: bytes, keyed: bool = True, access: bool = True) -> list[tupl
     return out
 
 
-def outside(raw: bytes, begin: int, end: int, base: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
+def united(base: list[tuple[int, int, int, int]]) -> tuple[list[int], list[int]]:
+    """Where the united base spans of a text begin and end, in order."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for _, a, b, _ in sorted(base, key=lambda s: s[1]):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
+def outside(raw: bytes, begin: int, end: int, base: list[tuple[int, int, int, int]] | tuple[list[int], list[int]]) -> list[tuple[int, int]]:
     """The parts of a span that lie in no base span and hold a token, without white space at their ends.
 
-    A part that nothing breaks off from the base span before it begins where that one ends.
+    A part that nothing breaks off from the base span before it begins where that one ends. ``base`` may be united.
     """
+    starts, ends = united(base) if isinstance(base, list) else base
+    k = bisect_right(ends, begin)  # the first span that ends after the beginning
     parts, at = [], begin
-    back = max((s[2] for s in base if s[2] <= begin), default=begin)
-    if _UNBROKEN.fullmatch(raw, back, begin):
-        at = back
-    for a, b in sorted([(s[1], s[2]) for s in base if s[1] < end and begin < s[2]]) + [(end, end)]:
+    if _UNBROKEN.fullmatch(raw, ends[k - 1] if k else begin, begin):
+        at = ends[k - 1] if k else begin
+    while at < end:
+        a = min(starts[k], end) if k < len(starts) else end
         if at < a:
             part = raw[at:a]
             if _IN_TOKEN[np.frombuffer(part, np.uint8)].any():
                 parts.append((a - len(part.lstrip()), at + len(part.rstrip())))
-        at = max(at, b)
+        at = max(at, ends[k]) if a < end else end
+        k += 1
     return parts
 
 
@@ -281,9 +300,11 @@ def scan(batch: list[bytes], tagger: Tagger | None) -> tuple[list[list[tuple[int
             following = np.searchsorted(others, first, side="right")
             last = np.append(others, len(tags))[following] - 1
             docs = np.searchsorted(doc_starts, t.starts[first], side="right") - 1
+            base, of = ([], []), -1
             for d, a, b in zip(docs.tolist(), t.starts[first].tolist(), t.ends[last].tolist()):
+                if d != of:  # spans come text by text
+                    base, of = united(found[d]), d
                 at = int(doc_starts[d])
-                base = [s for s in found[d] if s[0] != 3]
                 found[d] += [(3, x, y, x) for x, y in outside(batch[d], a - at, min(b, int(doc_ends[d])) - at, base)]
     for spans in found:
         spans.sort(key=lambda s: (s[1], s[0]))
@@ -363,9 +384,9 @@ def fit(texts: list[str], seed: int = 5) -> Tagger:
                 plain.append(line)
             at += len(line) + 1
     rng.shuffle(plain)
-    plain = [x[:2000] for x in plain[: 1500 + 2 * len(lines)]]
-    words = sorted({w for x in plain[:300] for w in x.decode(errors="ignore").split()})[:2000] or ["the", "of", "and", "in", "to", "was"]
-    made, made_spans = _templates(rng, words, 1500)
+    plain = [x[:LINE_BYTES] for x in plain[: PLAIN_LINES + 2 * len(lines)]]
+    words = sorted({w for x in plain[:WORD_LINES] for w in x.decode(errors="ignore").split()})[:2000] or ["the", "of", "and", "in", "to", "was"]
+    made, made_spans = _templates(rng, words, TEMPLATES)
     lines, spans = lines + plain + made, spans + [[] for _ in plain] + made_spans
     data, starts, _ = joined(lines)
     t = tokens(data, starts)

@@ -2,6 +2,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -171,3 +172,36 @@ def test_viterbi_and_marginals_equal_brute_force():
                     want_pairs[a, b] += np.exp(s) / z
         at += n
     assert np.allclose(expected, want_pairs) and np.isclose(log_z + np.log(np.exp(start)).sum() * 0, want_z)
+
+
+def test_parts_equal_a_plain_loop():
+    """Parts outside of base spans that overlap, nest and touch, by walking over the bytes."""
+    rng = random.Random(6)
+    for _ in range(3000):
+        raw = bytes(rng.choice(b"ab1 ;") for _ in range(60))
+        base = [(0, a, a + rng.randrange(1, 12), a) for a in rng.sample(range(48), rng.randrange(5))]
+        begin = rng.randrange(50)
+        end = rng.randrange(begin + 1, 60)
+        covered = {i for _, a, b, _ in base for i in range(a, b)}
+        at = begin
+        ends = [b for b in range(begin + 1) if b - 1 in covered and b not in covered]
+        if ends and not re.search(rb"[\s;]", raw[ends[-1] : begin]):
+            at = ends[-1]
+        want, run = [], []
+        for i in [*range(at, end), None]:
+            if i is not None and i not in covered:
+                run.append(i)
+            elif run:
+                part = raw[run[0] : run[-1] + 1]
+                if re.search(rb"[ab1]", part):
+                    want.append((run[0] + len(part) - len(part.lstrip()), run[-1] + 1 - (len(part) - len(part.rstrip()))))
+                run = []
+        assert secret_scan.outside(raw, begin, end, base) == want, (raw, begin, end, base)
+
+
+def test_time_grows_with_the_secrets(tagger):
+    text = "\n".join(["we set password=abc123!Rest$OfSecret99 for the house"] * 100_000).encode()
+    start = time.time()
+    ((spans), *_) = secret_scan.scan([text], tagger)[0]
+    assert sum(s[0] == 0 for s in spans) == 100_000 and sum(s[0] == 3 for s in spans) > 50_000
+    assert time.time() - start < 60
