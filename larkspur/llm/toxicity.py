@@ -15,7 +15,7 @@ whole, where they lie, without a shuffle.
 * null or empty text: no matches; the score of a text without matches. Null doc_id, repeated rows: each
   row on its own. Null labels are not learned from. An empty table gives an empty result; without labels the
   general list and a fixed curve remain.
-* a very long text is folded and scanned in pieces cut at white space. Columns go by name.
+* a very long text is folded and scanned in overlapping pieces, with the result of the whole. Columns go by name.
 """
 
 from __future__ import annotations
@@ -24,8 +24,10 @@ import math
 import re
 import unicodedata
 import zlib
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import ahocorasick
@@ -109,10 +111,10 @@ def automaton(lexicon: Lexicon) -> ahocorasick.Automaton:
 
 
 def _pieces(text: str) -> Iterator[str]:
-    """Pieces cut at white space, so that no word is split; a phrase split by a cut loses its exception only there."""
+    """Pieces cut before white space, so that no word is split and each is folded as within the whole."""
     at = 0
     while len(text) - at > PIECE:
-        cut = max(text.rfind(" ", at, at + PIECE), text.rfind("\n", at, at + PIECE))
+        cut = max(text.rfind(" ", at + 1, at + PIECE), text.rfind("\n", at + 1, at + PIECE))
         if cut <= at:
             break
         yield text[at:cut]
@@ -120,26 +122,50 @@ def _pieces(text: str) -> Iterator[str]:
     yield text[at:] if at else text
 
 
+def _weights(folded: str, found: ahocorasick.Automaton, first: int, last: int) -> list[float]:
+    """Weights of the words that begin at ``first`` or later and before ``last``, stand alone and in no exception phrase."""
+    spans, phrases = [], []
+    for end, (size, weight) in found.iter(folded):
+        start = end - size + 1
+        if (start and folded[start - 1].isalpha()) or (end + 1 < len(folded) and folded[end + 1].isalpha()):
+            continue
+        if weight is None:
+            phrases.append((start, end))
+        elif first <= start < last:
+            spans.append((start, end, weight))
+    if not phrases:
+        return [w for _, _, w in spans]
+    phrases.sort()
+    starts = [a for a, _ in phrases]
+    reach = list(accumulate((b for _, b in phrases), max))  # the farthest end of the phrases so far
+    return [w for a, b, w in spans if not (k := bisect_right(starts, a)) or reach[k - 1] < b]
+
+
 def matches(text: str, found: ahocorasick.Automaton) -> tuple[float, int, int]:
-    """Summed weight, number of matched words, number of words of a text."""
-    total, hits, words = 0.0, 0, 0
-    for piece in _pieces(text):
+    """Summed weight, number of matched words, number of words of a text.
+
+    A long text is read in pieces; each begins with the end of the one before, so that a phrase is seen
+    whole wherever a cut falls, and a word is counted in the piece in which all that may cover it is seen.
+    """
+    if len(text) <= PIECE:
+        folded = fold(text)
+        weights = _weights(folded, found, 0, len(folded))
+        return math.fsum(weights), len(weights), len(folded.split())
+    longest = found.get_stats()["longest_word"] + 1 if len(found) else 0
+    weights = []
+    words, kept, done = 0, "", 0
+    pieces = _pieces(text)
+    piece = next(pieces)
+    while piece is not None:
+        following = next(pieces, None)
         folded = fold(piece)
         words += len(folded.split())
-        spans, covered = [], []
-        for end, (size, weight) in found.iter(folded):
-            start = end - size + 1
-            if (start and folded[start - 1].isalpha()) or (end + 1 < len(folded) and folded[end + 1].isalpha()):
-                continue
-            if weight is None:
-                covered.append((start, end))
-            else:
-                spans.append((start, end, weight))
-        for start, end, weight in spans:
-            if not any(a <= start and end <= b for a, b in covered):
-                total += weight
-                hits += 1
-    return total, hits, words
+        folded = kept + folded
+        last = max(len(folded) - longest, done) if following is not None else len(folded)
+        weights += _weights(folded, found, done, last)
+        cut = max(last - longest, 0)
+        kept, done, piece = folded[cut:], last - cut, following
+    return math.fsum(weights), len(weights), words
 
 
 def measures(text: str, found: ahocorasick.Automaton) -> tuple[float, float]:
