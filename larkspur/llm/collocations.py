@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import counted, join_small, joined, passes
+from larkspur.llm.common import counted, join_small, joined, mixed, passes, word_hashes
 from larkspur.session import cut_lineage
 
 #: The largest sieve, and the bits of it per frequent phrase as long as it is smaller.
@@ -50,26 +50,6 @@ _KIND[list(b".,;:!?\n\x0b\x0c\r")] = _BREAK
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-_BASE = 0x9E3779B97F4A7C15
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _power_tables(size: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, kept between passes."""
-    if len(_powers[0]) < size:
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            table = np.full(size, base, np.uint64)
-            table[0] = 1
-            _powers[k] = np.cumprod(table, dtype=np.uint64)
-    return _powers
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(32))
-
-
 class Words(NamedTuple):
     """Words of some texts: bytes with one space after each word, where words begin and end, the piece and text of each."""
 
@@ -80,11 +60,7 @@ class Words(NamedTuple):
     text: np.ndarray
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit number per word, by prefix sums of a polynomial over all its bytes."""
-        power, inverse = _power_tables(len(self.data) + 1)
-        sums = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * power[: len(self.data)], out=sums[1:])
-        return _mixed((sums[self.ends] - sums[self.starts]) * inverse[self.starts])
+        return word_hashes(self.data, self.starts, self.ends)
 
 
 def words_of(batch: list[bytes]) -> Words:
@@ -110,14 +86,14 @@ def gram_hashes(words: np.ndarray, order: int, salt: np.ndarray) -> np.ndarray:
     size = max(len(words) - order + 1, 0)
     out = words[:size] ^ salt[:size]
     for j in range(1, order):
-        out = _mixed(out * np.uint64(0xD6E8FEB86659FD93) + words[j : size + j])
+        out = mixed(out * np.uint64(0xD6E8FEB86659FD93) + words[j : size + j])
     return out
 
 
 def _salts(langs: pa.Array) -> np.ndarray:
     """A number per language name."""
     w = [np.uint64(int.from_bytes(x.encode()[:8].ljust(8, b"\1"), "little") ^ len(x)) for x in langs.to_pylist()]
-    return _mixed(np.array(w, np.uint64) + np.uint64(_BASE)) if w else np.zeros(0, np.uint64)
+    return mixed(np.array(w, np.uint64) + np.uint64(0x9E3779B97F4A7C15)) if w else np.zeros(0, np.uint64)
 
 
 class Sieve(NamedTuple):
@@ -128,7 +104,7 @@ class Sieve(NamedTuple):
 
     @staticmethod
     def places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        a = _mixed(hashes)
+        a = mixed(hashes)
         return a & np.uint64(bits - 1), (a >> np.uint64(32)) & np.uint64(bits - 1)
 
     def holds(self, hashes: np.ndarray) -> np.ndarray:

@@ -98,6 +98,45 @@ def counted(flags: np.ndarray) -> np.ndarray:
     return out
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers with their bits stirred."""
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
+
+
+class _Powers:
+    """Powers of an odd number and of its inverse modulo 2^64; a process makes its own."""
+
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def __reduce__(self):
+        return _Powers, ()
+
+    def grow(self, size: int) -> None:
+        if len(self.up) < size:
+            tables = []
+            for base in (self.BASE, pow(self.BASE, -1, 1 << 64)):
+                table = np.full(size, base, np.uint64)
+                table[0] = 1
+                tables.append(np.cumprod(table, dtype=np.uint64))
+            self.up, self.down = tables
+
+
+_powers = _Powers()
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit number of the bytes from each start to its end, all of them, by prefix sums of a polynomial."""
+    _powers.grow(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers.up[: len(data)], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * _powers.down[starts])
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 

@@ -12,7 +12,7 @@ document's label. Scores use the text and nothing else, and every text is scored
 * null labels are not learned from; a doc_id with several labels counts once for each.
 * null doc_id and repeated rows: scored on their own. An empty table gives an empty result; without labels
   the score is one half for every text.
-* a very long text is scored in one piece, about thirty bytes of memory per byte. Columns go by name.
+* a very long text is scored in one piece, about fifty bytes of memory per byte. Columns go by name.
 """
 
 from __future__ import annotations
@@ -26,9 +26,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm import chains
-from larkspur.llm.common import bounded_sample, counted, held_out, joined, learnable, logistic, passes, sigmoid
+from larkspur.llm.common import bounded_sample, counted, held_out, joined, learnable, logistic, passes, sigmoid, word_hashes
 
-SAMPLE_ROWS = 3000
+#: Labelled rows (twice as many at most) and characters of a row, for fitting only.
+SAMPLE_ROWS, SAMPLE_CHARS = 3000, 50_000
 FOLDS, HELD_OUT_FOLD = 4, 2
 THRESHOLD = 0.7
 
@@ -46,15 +47,6 @@ _END = np.zeros(256, bool)
 _END[np.frombuffer(b".!?\"'", np.uint8)] = True
 
 
-def _word_keys(padded: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """A number per word from its first sixteen bytes and its length, to compare neighbours."""
-    key = sizes.astype(np.uint64)
-    for k in range(16):
-        here = np.where(sizes > k, padded[np.minimum(starts + k, len(padded) - 1)], 0).astype(np.uint64)
-        key = (key ^ here) * np.uint64(0x100000001B3)
-    return key
-
-
 def lines(batch: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features of every line with a word, its length in bytes without white space, and the lines of each text."""
     data, starts, _ = joined(batch)
@@ -78,10 +70,10 @@ def lines(batch: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     # every text ends with a line break, so each word has an end
     word_size = np.flatnonzero(step == -1) - word_at
     words = np.bincount(np.searchsorted(breaks, word_at), minlength=len(breaks))
-    keys = _word_keys(data, word_at, word_size)
-    again = np.zeros(len(keys), bool)
-    again[1:] = keys[1:] == keys[:-1]
-    again[2:] |= keys[2:] == keys[:-2]
+    keys = word_hashes(data, word_at, word_at + word_size)
+    again, of = np.zeros(len(keys), bool), np.searchsorted(starts, word_at, side="right")
+    again[1:] = (keys[1:] == keys[:-1]) & (of[1:] == of[:-1])
+    again[2:] |= (keys[2:] == keys[:-2]) & (of[2:] == of[:-2])
     repeats = np.bincount(np.searchsorted(breaks, word_at[again]), minlength=len(breaks))
     last = np.zeros(len(breaks), np.uint8)
     last_word = np.searchsorted(word_at, breaks) - 1
@@ -165,7 +157,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int, folds: i
     """A bounded sample of texts with their labels, outside the held-out fold. Texts stay where they lie: the sampled ids are sent to them."""
     known = labels.where(F.col(label).isNotNull() & learnable(F.col("doc_id"), folds, fold)).select("doc_id", F.col(label).cast("int").alias("label"))
     chosen = bounded_sample(known, "doc_id", rows)
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.length("text") <= 50_000).limit(2 * rows).collect()
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.length("text") <= SAMPLE_CHARS).limit(2 * rows).collect()
     return sorted((r["text"].encode(), r["label"]) for r in found)
 
 

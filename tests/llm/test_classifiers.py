@@ -1,5 +1,11 @@
 """Quality, toxicity and language: held-out accuracy, independence from other columns, odd input."""
 
+import itertools
+import math
+import random
+import re
+import time
+
 import numpy as np
 import pytest
 from cases import crc, empty, long_text, odd
@@ -104,6 +110,58 @@ def test_length_normalises_and_long_texts(lexicon):
     assert toxicity.matches(text, found)[1] >= 2
 
 
+def naive_matches(text, lexicon):
+    """Every word and phrase looked for at every place of the folded text."""
+    folded = toxicity.fold(text)
+
+    def found(entry):
+        at = folded.find(entry)
+        while at >= 0:
+            end = at + len(entry)
+            if not (at and folded[at - 1].isalpha()) and not (end < len(folded) and folded[end].isalpha()):
+                yield at, end
+            at = folded.find(entry, at + 1)
+
+    covered = [span for phrase in lexicon.exceptions for span in found(phrase)]
+    weights = [w for word, w in lexicon.words.items() if word not in lexicon.exceptions for a, b in found(word) if not any(x <= a and b <= y for x, y in covered)]
+    return sum(weights), len(weights), len(folded.split())
+
+
+TOXIC_PARTS = (
+    "trash", "can", "trash can", "trash cans", "idiot", "1d10t", "IDІOT", "stupid", "sore loser rule", "loser", "soap scum", "scum", "scumbag", "guinea pig", "pig iron", "pig", "guinea pig iron", "the", "ﬁlth",
+    "pond scum soap", "garbage collection", "e", "x", "ѕhit", "trash-can", "idiot.", "'moron'", "hate crime law", "hate", "a trash can,idiot",
+)
+
+
+@pytest.mark.parametrize("piece", [1 << 18, 60, 17])
+def test_matches_equal_a_naive_matcher(monkeypatch, piece):
+    """Pieces of any size, phrases that overlap, words beside signs: as if every entry were looked for at every place."""
+    monkeypatch.setattr(toxicity, "PIECE", piece)
+    lexicon = toxicity.Lexicon(toxicity.GENERAL, toxicity.EXCEPTIONS, (1.0, 1.0, 0.0))
+    found, rng = toxicity.automaton(lexicon), random.Random(piece)
+    for _ in range(400):
+        text = "".join(rng.choice(TOXIC_PARTS) + rng.choice((" ", " ", " ", "\n", ", ", "  ", "")) for _ in range(rng.randrange(40)))
+        total, hits, words = toxicity.matches(text, found)
+        want = naive_matches(text, lexicon)
+        assert (round(total, 9), hits, words) == (round(want[0], 9), *want[1:])
+
+
+def test_scores_do_not_depend_on_where_a_text_is_cut(lexicon, monkeypatch):
+    found = toxicity.automaton(lexicon)
+    text = "we met at the old trash can beside the guinea pig and the idiot of a control freak accident " * 2
+    want = toxicity.matches(text, found)
+    for piece in range(1, len(text) + 2):
+        monkeypatch.setattr(toxicity, "PIECE", piece)
+        assert toxicity.matches(text, found) == want
+
+
+def test_time_grows_with_the_matches(lexicon):
+    found, start = toxicity.automaton(lexicon), time.time()
+    toxicity.matches("trash can " * 100_000, found)
+    toxicity.matches("trash can idiot " * 60_000, found)
+    assert time.time() - start < 10
+
+
 def test_copies_do_not_make_words_toxic():
     rows = [("the same line with blimp inside it", 1)] * 50 + [(f"word{i} you idiot number{i}", 1) for i in range(50)] + [(f"nice words{i} here{i}", 0) for i in range(400)]
     words = toxicity.fit(rows).words
@@ -143,6 +201,83 @@ def test_lines_are_counted_by_text():
     assert count.tolist() == [2, 0, 0, 2] and size.tolist() == [7, 5, 8, 8]
 
 
+def plain_features(text):
+    """Features of the lines of one text, by loops over its bytes."""
+    raw, rows, sizes, seen = text.encode(), [], [], set()
+    recent, last = [], 0
+    for line in raw.split(b"\n"):
+        words = re.findall(rb"[^\x20\x09-\x0D]+", line)
+        again = 0
+        for w in words:
+            again += w in recent[-2:]
+            recent.append(w)
+        size = sum(map(len, words))
+        if words:
+            last = words[-1][-1]
+        if not words:
+            continue
+        chars = b"".join(words)
+        upper, lower, high = (sum(a <= c <= b for c in chars) for a, b in ((65, 90), (97, 122), (128, 255)))
+        symbols = sum(c in b"#*$%&|<>{}[]\\^~_=+@" for c in chars) / len(words)
+        shouts, capitals = chars.count(b"!") / len(words), upper / max(upper + lower + high, 1)
+        digits, mean, repeat = sum(48 <= c <= 57 for c in chars) / size, size / len(words), again / len(words)
+        n = len(words)
+        rows.append([
+            n < 4, n < 12, n > 60, n > 300, symbols > 0.02, symbols > 0.1, symbols > 0.5, shouts > 0.1, shouts > 0.5, capitals > 0.2, capitals > 0.5, digits > 0.2,
+            mean < 3, mean > 9, mean > 15, repeat > 0.1, repeat > 0.4, last in b".!?\"'", line in seen, symbols == 0,
+        ])
+        seen.add(line)
+        sizes.append(size)
+    none = [0] * 20
+    return [
+        [float(x) for x in (*row, *(rows[i - 1] if i else none), *(rows[i + 1] if i + 1 < len(rows) else none), i == 0, i + 1 == len(rows), 1)] for i, row in enumerate(rows)
+    ], sizes
+
+
+def plain_quality(text, model):
+    """Length-weighted marginals of the good state over all ways to label the lines."""
+    rows, sizes = plain_features(text)
+    if not rows:
+        return 0.0
+    emit = np.array(rows) @ model.weights
+    total, good = 0.0, np.zeros(len(rows))
+    for path in itertools.product((0, 1), repeat=len(rows)):
+        weight = math.exp(model.start[path[0]] + sum(emit[i, s] for i, s in enumerate(path)) + sum(model.trans[a, b] for a, b in zip(path, path[1:])))
+        total += weight
+        good += weight * np.array(path)
+    return float((good / total * np.array(sizes)).sum() / sum(sizes))
+
+
+def made_text(rng):
+    words = ["the", "House", "AAAA", "12", "###", "x", "!!", "word.", "ü", "|", "abcdefghijklmnopXXXX", "abcdefghijklmnopYYYY", "end?", "{}", "a1b2"]
+    return "\n".join(" ".join(rng.choices(words, k=rng.randrange(8))) + rng.choice(("", ".", "  ", "\t!")) for _ in range(rng.randrange(8)))
+
+
+def test_lines_and_scores_equal_plain_loops(spark, small_dir):
+    model = quality_crf.learned(*(spark.read.parquet(f"{small_dir}/{t}.parquet") for t in ("documents", "labels")))
+    rng = random.Random(2)
+    batch = [made_text(rng) for _ in range(150)] + ["", "one\none\n\none"]
+    x, size, count = quality_crf.lines([t.encode() for t in batch])
+    got = quality_crf.qualities([t.encode() for t in batch], model)
+    at = 0
+    for text, n, q in zip(batch, count, got):
+        alone, sizes, _ = quality_crf.lines([text.encode()])
+        rows, want = plain_features(text)
+        assert len(rows) == n and sizes.tolist() == want == size[at : at + n].tolist()
+        assert np.array_equal(alone, np.array(rows, np.float32).reshape(n, x.shape[1]))
+        assert np.array_equal(alone, x[at : at + n]) and abs(q - quality_crf.qualities([text.encode()], model)[0]) < 1e-9
+        assert abs(quality_crf.qualities([text.encode()], model)[0] - plain_quality(text, model)) < 1e-5
+        at += n
+
+
+def test_words_compare_whole():
+    """Words that share sixteen bytes and their length are not repeats."""
+    text = b"abcdefghijklmnopXXXX abcdefghijklmnopYYYY abcdefghijklmnopZZZZ"
+    x, *_ = quality_crf.lines([text])
+    y, *_ = quality_crf.lines([text.replace(b"YYYY", b"XXXX")])
+    assert x[0, 15] == x[0, 16] == 0 and y[0, 15] == 1
+
+
 def test_batches_score_alike(spark, small_dir):
     model = quality_crf.learned(*(spark.read.parquet(f"{small_dir}/{t}.parquet") for t in ("documents", "labels")))
     batch = [b"Some line of text.\nAnother one | | | |", b"", long_text(50_000).encode(), b"x\n" * 500]
