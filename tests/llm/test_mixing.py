@@ -1,9 +1,12 @@
 import math
+import random
+import time
 from collections import Counter, defaultdict
 from hashlib import md5
 
 import pytest
 from cases import empty, odd
+from pyspark.sql import functions as F
 
 from larkspur.llm import mixing
 
@@ -71,11 +74,9 @@ def test_empty_table(spark):
 
 @pytest.mark.parametrize("rate", [0.01, 0.7, 3.0, 60.0, 900.0])
 def test_poisson_moments(spark, rate):
-    from pyspark.sql import functions as F
-
-    steps = spark.range(1).select(mixing.poisson_steps(F.lit(rate)).alias("s")).first()["s"]
-    assert abs(steps[-1] - 1) < 1e-9
-    mean = sum(1 - s for s in steps)
+    (row,) = mixing.poisson_steps(spark.createDataFrame([("s", rate)], "source string, rate double")).collect()
+    assert abs(row.steps[-1] - 1) < 1e-9
+    mean = row.first + sum(1 - s for s in row.steps)
     assert abs(mean - rate) < 1e-6 * max(rate, 1)
 
 
@@ -90,3 +91,37 @@ def test_no_python_in_the_plan(spark, small_dir):
     docs = spark.read.parquet(f"{small_dir}/documents.parquet")
     plan = mixing.mix(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("rate", [0.0001, 0.5, 3.0, 19.9, 400.0, 950.0, 5000.0, 1e6])
+def test_steps_are_the_distribution_function(spark, rate):
+    """Against sums of exact probabilities; a source with a huge rate beside large ones costs what its steps cost."""
+    rates = spark.createDataFrame([("s", rate), (None, 1.0)], "source string, rate double")
+    rows = {r.source: r for r in mixing.poisson_steps(rates).collect()}
+    assert rows[None].first == 0 and len(rows["s"].steps) <= 22 * math.sqrt(rate) + 60
+    first, steps = rows["s"].first, rows["s"].steps
+    log = [-rate + k * math.log(rate) - math.lgamma(k + 1) for k in range(first, first + len(steps))]
+    total = 0.0
+    for got, x in zip(steps, log):
+        total += math.exp(x)
+        assert abs(got - total) < 1e-7 * max(rate / 1e4, 1e-3) + 1e-12
+    assert abs(steps[-1] - 1) < 1e-7
+
+
+def test_a_rate_of_a_million(spark):
+    rows = [(i, "x" * 10, "tiny") for i in range(3)] + [(i, "y" * 1000, "large") for i in range(3, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    weights = spark.createDataFrame([("tiny", 1.0), ("large", 0.0)], "source string, weight double")
+    start = time.time()
+    counts = mixing.mix(docs, weights, epochs=500.0).groupBy("doc_id").count().collect()
+    got = {r.doc_id: r["count"] for r in counts}
+    size = mixing.source_rates(docs, weights, epochs=500.0).first().rate
+    assert set(got) == {0, 1, 2} and all(abs(n - size) < 6 * math.sqrt(size) for n in got.values())
+    assert time.time() - start < 60
+
+
+def test_steps_are_counted_by_halving(spark):
+    rng = random.Random(5)
+    rows = [(sorted(rng.random() for _ in range(n)), rng.random()) for n in (0, 1, 2, 3, 7, 8, 100) for _ in range(20)] + [([0.2, 0.2, 0.5], 0.2), ([0.1], 0.0)]
+    df = spark.createDataFrame(rows, "steps array<double>, u double").select("steps", "u", mixing._steps_upto(F.col("steps"), F.col("u")).alias("n"))
+    assert all(r.n == sum(c <= r.u for c in r.steps) for r in df.collect())
