@@ -1,6 +1,7 @@
 """Benchmark decontamination: passages of a text within a small edit distance of a benchmark item.
 
-Words are the symbols: lower case, ASCII punctuation and white space between them. A text holds an item
+Words are the symbols: lower case, white space and punctuation of any script between them; in scripts without
+blanks every character is a word. A text holds an item
 of L words if some run of its words is at most ``floor((1 - similarity) * L)`` insertions, deletions and
 substitutions away from it.
 
@@ -28,6 +29,8 @@ benchmark takes more passes over the texts.
 from __future__ import annotations
 
 import math
+import re
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -37,6 +40,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from larkspur.llm.common import counted, fresh, passes, pieces
 
@@ -47,10 +52,31 @@ SIMILARITY = 0.8
 SAMPLED, WALKS, AGREEMENT, RECALL = 3, 16, 0.25, 0.99
 #: Words of a piece of an item that are compared.
 PIECE = 5
-#: Characters of items that travel with one pass over the texts.
+#: Characters of items that travel with one pass over the texts; a task holds about 25 bytes of index for each, and a kilobyte an item.
 BLOCK_CHARS = 16 << 20
 
 _WORDS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
+# Bytes that begin letters of alphabets only; where any other lead byte stands, the text is read by characters.
+_OTHER = re.compile(rb"[\xc2\xcb-\xcf\xd4-\xf4]|\xc3[\x97\xb7]")
+#: Scripts written without blanks between words, by code point (fixed values): Thai and Lao, Myanmar, Khmer, kana, Han.
+_UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+
+
+class _Signs(dict):
+    """What a character becomes between words: itself, a blank, nothing, or a word of its own; filled as characters turn up."""
+
+    def __missing__(self, code: int) -> str:
+        char = chr(code)
+        kind = unicodedata.category(char)
+        if char.isalnum() or kind[0] == "M":
+            out = f" {char} " if any(a <= code <= b for a, b in _UNSPACED) else char
+        else:
+            out = "" if kind == "Cf" else " "
+        self[code] = out
+        return out
+
+
+_SIGNS = _Signs()
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BINS = 1024
 _LOW = np.uint64(0xFFFF)
@@ -62,7 +88,12 @@ def tables(recall: float = RECALL, agreement: float = AGREEMENT, sampled: int =
 
 
 def split_words(raw: bytes) -> list[bytes]:
-    """Words of a text that is in lower case already."""
+    """Words of a text that is in lower case already: letters, digits and marks between white space and signs of any script.
+
+    Characters of scripts without blanks are words of their own; invisible formatting signs are left out.
+    """
+    if _OTHER.search(raw):
+        raw = raw.decode().translate(_SIGNS).encode()
     return raw.translate(_WORDS).split()
 
 
@@ -307,11 +338,12 @@ def _lowered(text: str) -> bytes:
     return pc.utf8_lower(pa.scalar(text)).as_py().encode()
 
 
-def match_column(text: Column, items: list[Row], id_type: str, similarity: float = SIMILARITY) -> Column:
+def match_column(text: Column, items: list[Row], id_type: DataType, similarity: float = SIMILARITY) -> Column:
     """Matches of one text with a block of items: item_id, distance, words of the item, first and after-last word."""
     raw, ids = [_lowered(r["text"]) for r in items], [r["item_id"] for r in items]
+    id_kind = to_arrow_type(id_type)
 
-    @F.arrow_udf(f"array<struct<item_id: {id_type}, distance: int, item_words: int, first_word: int, last_word: int>>")
+    @F.arrow_udf(f"array<struct<item_id: {id_type.simpleString()}, distance: int, item_words: int, first_word: int, last_word: int>>")
     def matches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = Index(raw, similarity)
         kind = None
@@ -327,7 +359,7 @@ def match_column(text: Column, items: list[Row], id_type: str, similarity: float
                     )
             kind = kind or pa.list_(
                 pa.struct(
-                    [("item_id", _arrow_type(id_type)), *[(n, pa.int32()) for n in ("distance", "item_words", "first_word", "last_word")]]
+                    [("item_id", id_kind), *[(n, pa.int32()) for n in ("distance", "item_words", "first_word", "last_word")]]
                 )
             )
             yield pa.array(out, kind)
@@ -335,13 +367,9 @@ def match_column(text: Column, items: list[Row], id_type: str, similarity: float
     return matches(text)
 
 
-def _arrow_type(name: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[name]
-
-
 def contaminations(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, item_id, distance, similarity and the run of words, one row per text and item it holds."""
-    id_type = dict(benchmark.dtypes)["item_id"]
+    id_type = benchmark.schema["item_id"].dataType
     out = None
     for items in _blocks(benchmark):
         found = docs.select("doc_id", F.explode(match_column(F.col("text"), items, id_type, similarity)).alias("m")).select(
@@ -358,7 +386,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, similarity: float = SI
 
 def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The documents that hold no benchmark item, with their columns as they are."""
-    id_type = dict(benchmark.dtypes)["item_id"]
+    id_type = benchmark.schema["item_id"].dataType
     kept = docs
     for items in _blocks(benchmark):
         flag = fresh(kept, "_held")

@@ -1,5 +1,6 @@
 import random
 import re
+import unicodedata
 
 from cases import empty, long_text, odd, plain
 
@@ -18,7 +19,19 @@ def brute_distance(item, words):
 
 
 def words(text):
-    return re.findall(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", text.lower())
+    """Letters, digits and marks between other signs; one by one where a script has no blanks."""
+    out = [""]
+    for c in text.lower():
+        kind = unicodedata.category(c)
+        if kind == "Cf":
+            continue
+        if not (c.isalnum() or kind[0] == "M"):
+            out.append("")
+        elif re.match("(CJK|HIRAGANA|KATAKANA|THAI|LAO|KHMER|MYANMAR)", unicodedata.name(c, "")):
+            out += [c, ""]
+        else:
+            out[-1] += c
+    return [w for w in out if w]
 
 
 def edited(rng, item, edits):
@@ -120,6 +133,57 @@ def test_case_punctuation_and_long_texts(spark):
     assert {(r.doc_id, r.item_id, r.distance) for r in decontaminate.contaminations(docs, bench).collect()} == {(1, 1, 0), (2, 1, 0)}
 
 
+def test_words_of_any_script():
+    rng = random.Random(1)
+    signs = "ab é ß ж ä — “x” «y» \u00a0 \u2009 \u200d … 、。日本ひらカタ ไทย ü¿¡ a_b 1² ﬁ e\u0301 한국 .,- ж\u00a0я".split(" ") + ["\u00a0", "\u3000", " ", "\n"]
+    for _ in range(2000):
+        text = "".join(rng.choices(signs, k=rng.randrange(12)))
+        assert [w.decode() for w in decontaminate.split_words(text.lower().encode())] == words(text), text
+
+
+ITEM = "Which of these nine planets is closest to the bright yellow sun of the inner system today"
+CHINESE = "光年是长度单位不是时间单位它表示光在真空中一年内走过的距离大约等于九万四千六百亿公里"
+
+
+def test_other_blanks_signs_and_scripts(spark):
+    """Exact copies with no-break spaces, dashes and quotes between words; an item in a script without blanks inside a text."""
+    texts = [
+        (1, "x " + ITEM.replace(" ", "\u00a0") + " y"),
+        (2, "say “" + ITEM.replace(" ", " — ") + "”…"),
+        (3, "我们都知道，" + CHINESE + "。这是一个很长的故事"),
+        (4, "我们都知道这是一个很长的故事没有别的意思" * 3),
+        (5, "\u200b".join(ITEM)),
+    ]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    bench = spark.createDataFrame([("a", ITEM), ("b", CHINESE)], "item_id string, text string")
+    found = {(r.doc_id, r.item_id, r.distance) for r in decontaminate.contaminations(docs, bench).collect()}
+    assert found == {(1, "a", 0), (2, "a", 0), (3, "b", 0), (5, "a", 0)}
+    assert {r.doc_id for r in decontaminate.clean(docs, bench).collect()} == {4}
+
+
+def test_recall_at_the_limit_without_blanks():
+    rng, hits = random.Random(8), 0
+    items = ["".join(rng.choices([chr(0x4E00 + i) for i in range(2500)], k=rng.randrange(15, 60))) for _ in range(200)]
+    index = decontaminate.Index([x.encode() for x in items])
+    texts = []
+    for item in items:
+        out = list(item)
+        for at in rng.sample(range(len(out)), len(out) // 5):
+            out[at] = chr(0x4E00 + rng.randrange(2500))
+        around = "".join(chr(0x4E00 + rng.randrange(2500)) for _ in range(80))
+        texts.append((around[:40] + "".join(out) + around[40:]).encode())
+    hits = sum(i in found for i, found in enumerate(index.search(texts)))
+    assert hits >= 0.99 * len(items)
+
+
+def test_ids_of_other_types(spark):
+    docs = spark.createDataFrame([(1, ITEM)], "doc_id long, text string")
+    for kind in ("short", "double", "decimal(10,2)", "date"):
+        bench = spark.createDataFrame([(ITEM,)], "text string").selectExpr(f"CAST({'current_date()' if kind == 'date' else 7} AS {kind}) item_id", "text")
+        (row,) = decontaminate.contaminations(docs, bench).collect()
+        assert row.item_id == bench.first().item_id
+
+
 def test_odd_rows_and_empty_tables(spark):
     df = odd(spark)
     bench = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog")], "item_id long, text string")
