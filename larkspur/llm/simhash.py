@@ -15,7 +15,7 @@
 6. Components of the forest by distributed label propagation; nothing but 64 x 64 bit counts is collected.
 
 * null or empty text, or one without words: fingerprint zero, linked like any other.
-* null doc_id: its text takes part; a component of such rows only has a null component_id.
+* null doc_id: its text takes part; a component of such rows only has a null component_id, and one of them is kept.
 * repeated rows: each gets its row. An empty table gives an empty result. Columns are chosen by name.
 * a very long text is hashed piece by piece: memory for a megabyte of its words, not for all of them.
 """
@@ -276,31 +276,53 @@ def links(prints: DataFrame, column: str, distance: int, block: int = BLOCK) ->
     return found.select(F.least("link.a", "link.b").alias("a"), F.greatest("link.a", "link.b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, distance: int = 3, shingle: int = 3, block: int = BLOCK) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id (the smallest doc_id reachable) of every row."""
-    prints = cut_lineage(docs.select("doc_id", fingerprint_column(F.col("text"), shingle).alias("fp")), "simhash-prints")
-    nodes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
+#: Rows of a fingerprint from which it counts as hot: at least this many, and more than a share of all rows.
+HOT_ROWS, HOT_SHARE = 1000, 10_000
+
+
+def _roots(nodes: DataFrame, distance: int, block: int) -> DataFrame:
+    """The distinct fingerprints with the least fingerprint of their component (``root``)."""
     tree = cut_lineage(links(nodes, "fp", distance, block), "simhash-links")
-    roots = connected(tree, "a", "b")  # node, root: only fingerprints that have a link
-    linked = nodes.join(roots, nodes.fp == roots.node)
-    smallest = linked.groupBy("root").agg(F.min("first_id").alias("smallest"))
-    of_root = linked.select("fp", "root").join(smallest, "root").select(F.col("fp").alias("linked_fp"), "smallest")
-    classes = nodes.join(of_root, F.col("fp") == F.col("linked_fp"), "left").select(
-        "fp", F.when(F.col("linked_fp").isNotNull(), F.col("smallest")).otherwise(F.col("first_id")).alias("component_id")
-    )
-    return prints.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    found = connected(tree, "a", "b").select(F.col("node").alias("fp"), "root")  # only fingerprints that have a link
+    return nodes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
-def one_of_each(docs: DataFrame, distance: int = 3, shingle: int = 3) -> DataFrame:
-    """The document with the smallest doc_id of each component, with its columns as they are.
+def near_duplicates(docs: DataFrame, distance: int = 3, shingle: int = 3, block: int = BLOCK) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id (the smallest doc_id reachable) of every row.
 
-    Rows that repeat a doc_id are one document: the one with the smallest text hash stays. Rows without a
-    doc_id cannot be named and stay.
+    Rows meet their component by fingerprint. A fingerprint with more rows than ``HOT_ROWS`` and than one in
+    ``HOT_SHARE`` of all is sent to the rows instead (there are at most ``HOT_SHARE`` of them), so no task gets
+    all rows of a group of copies.
+    """
+    prints = cut_lineage(docs.select("doc_id", fingerprint_column(F.col("text"), shingle).alias("fp")), "simhash-prints")
+    nodes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")), "simhash-nodes")
+    rooted = _roots(nodes, distance, block)
+    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    classes = cut_lineage(rooted.join(smallest, "root").select("fp", "n", "component_id"), "simhash-classes")
+    least = max(HOT_ROWS, prints.count() // HOT_SHARE)
+    hot, cold = (classes.where(c).drop("n") for c in (F.col("n") > least, F.col("n") <= least))
+    sent = prints.join(F.broadcast(hot.withColumnRenamed("component_id", "sent_id").withColumn("sent", F.lit(True))), "fp", "left")
+    met = sent.where(F.col("sent")).select("doc_id", "fp", F.col("sent_id").alias("component_id"))
+    others = sent.where(F.col("sent").isNull()).select("doc_id", "fp").join(cold, "fp")
+    return met.unionByName(others).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, distance: int = 3, shingle: int = 3, block: int = BLOCK) -> DataFrame:
+    """One row of each component, with its columns as they are: of the smallest doc_id, rows without one last.
+
+    Of rows with that doc_id in the component the one with the smallest text hash stays, of equal rows one.
+    Rows are told apart by doc_id and a 128-bit hash of the text; equal ones are thinned out before they are moved.
     """
-    found = near_duplicates(docs, distance, shingle)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    key = [fresh(docs, c) for c in ("_no_id", "_id", "_hash", "_hash2")]
     rank = fresh(docs, "_rank")
-    same = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    named = docs.join(kept, "doc_id", "left_semi").withColumn(rank, F.row_number().over(same)).where(F.col(rank) == 1)
+    text = F.coalesce("text", F.lit(""))  # no text and an empty one have the same fingerprint
+    missing = F.lit(0).cast(docs.schema["doc_id"].dataType)
+    values = (F.col("doc_id").isNull(), F.coalesce("doc_id", missing), F.xxhash64(text), F.xxhash64(text, F.lit(1)))
+    prints = docs.select(*[v.alias(k) for k, v in zip(key, values)], fingerprint_column(F.col("text"), shingle).alias("fp"))
+    nodes = cut_lineage(prints.groupBy("fp").agg(F.min(F.struct(*key)).alias("first")), "simhash-nodes")
+    rooted = _roots(nodes.select("fp", "first"), distance, block)
+    chosen = cut_lineage(rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.*"), "simhash-chosen")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    return named.select(*columns).unionByName(docs.where(F.col("doc_id").isNull()).select(*columns))
+    same = Window.partitionBy(*key).orderBy(F.xxhash64(*columns))
+    keyed = docs.withColumns(dict(zip(key, values))).withColumn(rank, F.row_number().over(same)).where(F.col(rank) == 1)
+    return keyed.join(chosen, key, "left_semi").select(*columns)
