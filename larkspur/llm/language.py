@@ -5,8 +5,9 @@ edges, hashed to ``DIMS`` places). Each language has several centroids, found by
 text gets the language of the centroid with the largest cosine. A text whose cosine lies below what the
 texts of that language reach is marked ``rejected``: its language is a guess, and its score is halved.
 
-Fitted on a bounded sample of documents (``SAMPLE_ROWS``) with a language outside the held-out fold; whole
-texts are classified, where they lie, without a shuffle.
+Fitted on a bounded sample of documents with a language outside the held-out fold: equal shares of
+``SAMPLE_ROWS`` for the languages, ``SAMPLE_LEAST`` rows of each at least, so a rare language is learned like a
+common one. Whole texts are classified, where they lie, without a shuffle.
 
 * null text, empty text, or one without a letter: ``und`` with score 0. Null languages are not learned from.
 * null doc_id: not learned from, classified like any other; repeated rows each on its own.
@@ -25,9 +26,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import bounded_sample, held_out, learnable
+from larkspur.llm.common import held_out, learnable
 
-SAMPLE_ROWS, SAMPLE_CHARS = 2000, 20_000
+#: For fitting only: rows of all languages, rows of a language at least (twice as many at most), characters of a row.
+SAMPLE_ROWS, SAMPLE_LEAST, SAMPLE_CHARS = 2000, 300, 20_000
 FOLDS, HELD_OUT_FOLD = 5, 0
 DIMS = 1 << 13
 CENTROIDS = 4
@@ -125,7 +127,8 @@ def _clusters(x: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
 
 def fit(rows: list[tuple[str, str]], centroids: int = CENTROIDS) -> Model:
     """A model from (text, language) rows. Equal rows in equal order give equal models."""
-    found = [(n.astype(np.float32), lang) for text, lang in rows if (n := counts(text.lower())) is not None]
+    texts = pc.utf8_lower(pa.array([text for text, _ in rows], pa.large_string())).to_pylist()
+    found = [(n.astype(np.float32), lang) for text, (_, lang) in zip(texts, rows) if (n := counts(text)) is not None]
     languages = tuple(sorted({lang for _, lang in found}))
     if not found:
         return Model((), np.zeros(DIMS), np.zeros((0, DIMS)), np.zeros(0, np.int64), np.zeros(0))
@@ -141,8 +144,16 @@ def fit(rows: list[tuple[str, str]], centroids: int = CENTROIDS) -> Model:
 
 
 def learned(docs: DataFrame) -> Model:
+    """A model from a sample with a share of its own for every language, so that a rare one is learned too."""
     known = docs.where(F.col("lang").isNotNull() & learnable(F.col("doc_id"), FOLDS, HELD_OUT_FOLD)).select("doc_id", "text", "lang")
-    rows = bounded_sample(known, "doc_id", SAMPLE_ROWS).where(F.length("text") <= SAMPLE_CHARS).collect()
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    if not sizes:
+        return fit([])
+    each = max(SAMPLE_ROWS // len(sizes), SAMPLE_LEAST)
+    marks = [F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, int(min(1.0, each / n) * (1 << 30)))]
+    place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30))
+    sample = known.where(place < F.create_map(*marks)[F.col("lang")]).limit(2 * each * len(sizes))
+    rows = sample.select(F.substring("text", 1, SAMPLE_CHARS).alias("text"), "lang").where(F.col("text").isNotNull()).collect()
     return fit(sorted((r["text"], r["lang"]) for r in rows))
 
 

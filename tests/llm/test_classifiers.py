@@ -186,6 +186,25 @@ def test_counts_equal_brute_force():
     assert n.sum() == 3 + sum(1 for a, b in zip(padded, padded[1:-1]) if a != "\0" or b != "\0") + 3
 
 
+def test_a_rare_language_is_learned(spark):
+    """One row in five thousand, and one whose texts are all long: both are known to the model."""
+    rows = [(i, f"the house and the garden number {i % 97} of the old town", "en") for i in range(1, 6000)]
+    rows += [(100_000 + i, "talo ja puutarha vanhassa kaupungissa sekä järven rannalla", "fi") for i in range(3)]
+    rows += [(200_000 + i, "dom i ogród w starym mieście nad jeziorem, gdzie mieszkają ludzie " * 600, "pl") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learned(docs)
+    assert model.languages == ("en", "fi", "pl")
+    got = {r.doc_id: r.lang_pred for r in language.identify(docs, model).collect()}
+    assert {got[100_000], got[100_001], got[100_002]} == {"fi"} and got[200_001] == "pl" and got[7] == "en"
+
+
+def test_letters_are_lowered_alike_in_learning_and_use(spark):
+    rows = [(i, "ΟΔΟΣ ΣΑΣ İSTANBUL ẞ " * 5, "el") for i in range(1, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    scores = [r.score for r in language.identify(docs).collect()]
+    assert min(scores) > 0.99
+
+
 def test_rejection_halves_the_score(spark, small_dir):
     model = language.learned(spark.read.parquet(f"{small_dir}/documents.parquet"))
     df = spark.createDataFrame([(1, "日本語のとても長い文章です"), (2, "the thing and the other thing with that")], "doc_id long, text string")
