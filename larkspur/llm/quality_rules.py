@@ -215,11 +215,13 @@ def judge(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 def keep_good(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The documents that ``judge`` keeps, with their columns as they are.
 
-    The measures are computed a second time beside the texts: that costs a scan, but needs no key, no
-    join and no copy of the texts.
+    The texts are written once to the shared folder with the votes beside them: the accuracies are learned from
+    the column of votes alone, and the texts are filtered as they are read again.
     """
-    prior, right = _learn(docs.select(votes(measures(F.col("text"))).alias("ballot")), "ballot")
-    m, ballot = fresh(docs, "_measures"), fresh(docs, "_ballot")
-    judged = docs.withColumn(m, measures(F.col("text"))).withColumn(ballot, votes(F.col(m)))
+    m, ballot, failed = fresh(docs, "_measures"), fresh(docs, "_ballot"), fresh(docs, "_failed")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    judged = docs.withColumn(m, measures(F.col("text")))
+    voted = cut_lineage(judged.select(*columns, votes(F.col(m)).alias(ballot), base_failed(F.col(m)).alias(failed)), "quality-votes")
+    prior, right = _learn(voted, ballot)
     good = _posterior_column(F.col(ballot), prior, right)
-    return judged.where(~base_failed(F.col(m)) & (good >= threshold)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return voted.where(~F.col(failed) & (good >= threshold)).select(*columns)
