@@ -1,14 +1,11 @@
-"""Writes: files, layered tables, keyed upserts and deletes, versioned publish."""
+"""Writes: files, layered tables, keyed upserts and deletes, publishing by partition."""
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from larkspur.operators.ordered import keep_first
 from larkspur.session import cut_lineage
@@ -76,12 +73,8 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
 def silver_merge(
     spark: SparkSession, df: DataFrame, root: str, key: str, order: list[Column], buckets: int = 64
 ) -> DataFrame:
-    """Create the table, or upsert by key into a new version of it.
-
-    The table lies in hash buckets of its key. Only the buckets that an incoming
-    key falls into are read and written again; the new version links the others.
-    """
-    return rewrite_buckets(
+    """Create the table, or upsert by key: only the hash buckets that an incoming key falls into are read and written."""
+    return merge_buckets(
         spark,
         root,
         key,
@@ -121,115 +114,89 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in system.listStatus(there)) if system.exists(there) else []
 
 
-def _newest(spark: SparkSession, root: str) -> tuple[int, dict] | None:
-    """Number and content of the newest complete version file; None before the first publish.
-
-    Version files have rising names and are never overwritten, so a crash at any
-    point leaves the one before it in force. Data without any complete version
-    file means that something was lost: that is an error, not an empty table.
-    """
-    names = _children(spark, f"{root}/_versions")
-    for name in reversed(names):
-        if exists(spark, f"{root}/_versions/{name}/_SUCCESS"):
-            return int(name), json.loads(spark.read.text(f"{root}/_versions/{name}").first()[0])
-    if names:
-        raise RuntimeError(f"{root} has data but no complete version file")
-    return None
+def _remove(spark: SparkSession, path: str) -> None:
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
 
 
-def _read(spark: SparkSession, root: str, version: dict) -> DataFrame:
-    schema = T.StructType.fromJson(version["schema"])
-    paths = [f"{root}/{p}" for p in version["parts"].values()]
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+def _partitions(spark: SparkSession, root: str, column: str) -> list[int]:
+    """Values of the partition column of a table of plain Parquet files, from the names of its folders."""
+    return sorted(int(c.split("=")[1]) for c in _children(spark, root) if c.startswith(f"{column}="))
 
 
-def _point(spark: SparkSession, root: str, number: int, version: dict, keep: int) -> None:
-    """Write the version file, then remove data that none of the last ``keep`` versions links.
+def bucket_column(buckets: int) -> str:
+    return f"bucket_of_{buckets}"
 
-    A second writer that started from the same version finds the name taken and fails.
-    """
-    line = spark.range(1).select(F.lit(json.dumps(version)).alias("value")).coalesce(1)
-    line.write.mode("errorifexists").text(f"{root}/_versions/{number:010d}")
-    names = _children(spark, f"{root}/_versions")
-    linked = set()
-    for name in names[-keep:]:
-        if exists(spark, f"{root}/_versions/{name}/_SUCCESS"):
-            held = json.loads(spark.read.text(f"{root}/_versions/{name}").first()[0])
-            linked |= {p.split("/")[0] for p in held["parts"].values()}
-    old = [f"_versions/{n}" for n in names[:-keep]]
-    if len(names) >= keep:
-        # Folders made after the newest version file may belong to a writer that is still at work.
-        old += [c for c in version["replaced"] if c not in linked]
-    for name in old:
-        there = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
-        there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
 
+def read_keyed(spark: SparkSession, root: str) -> DataFrame | None:
+    """The rows of a keyed table; None before the first write."""
+    if not any(c.startswith("bucket_of_") for c in _children(spark, root)):
+        return None
+    table = spark.read.parquet(root)
+    return table.drop(*[c for c in table.columns if c.startswith("bucket_of_")])
 
-def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    """The published version of a versioned table, or None before the first one."""
-    newest = _newest(spark, root)
-    return None if newest is None else _read(spark, root, newest[1])
 
-
-def rewrite_buckets(
+def merge_buckets(
     spark: SparkSession,
     root: str,
     key: str,
     incoming: DataFrame,
     merge: Callable[[DataFrame | None, DataFrame], DataFrame],
     buckets: int = 64,
-    keep: int = 2,
 ) -> DataFrame:
-    """Publish a version in which the buckets that incoming keys fall into hold ``merge(their rows, incoming)``.
-
-    ``merge`` gets None for a table that does not exist yet. The incoming rows are
-    stored once, so they are computed once however often they are read.
+    """Replace the rows of the buckets that incoming keys fall into by ``merge(their rows, incoming)``.
+
+    The table is Parquet, partitioned by a hash of the key; reading prunes to the buckets, and a staged copy of the
+    result replaces their partitions (dynamic partition overwrite). ``merge`` gets None for a table that does not
+    exist yet. A job that fails before its end leaves the table as it was, and one repeated with the same rows gives
+    the same table. One writer at a time: a bucket that another one has changed meanwhile is an error, and nothing is
+    written. Many writers need a table format with row-level changes (``merge_into_table``). The number of buckets
+    of a table stays as it was first given.
     """
-    newest = _newest(spark, root)
-    number, version = newest if newest else (0, None)
-    count = version["buckets"] if version and version["buckets"] else buckets
-    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(count))
+    column = bucket_column(buckets)
+    if any(c.startswith("bucket_of_") and not c.startswith(f"{column}=") for c in _children(spark, root)):
+        raise ValueError(f"{root} has another number of buckets than {buckets}")
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
     incoming = cut_lineage(incoming, "incoming")
-    touched = {str(r[0]) for r in incoming.select(bucket(key)).distinct().collect()}  # at most one row per bucket
-    parts = dict(version["parts"]) if version else {}
-    if version and not version["buckets"]:  # published as a whole: every row meets its bucket now
-        old, touched = _read(spark, root, version), {str(b) for b in range(count)}
-    elif version:
-        old = _read(spark, root, version | {"parts": {b: p for b, p in parts.items() if b in touched}})
-    else:
-        old = None
-    name = f"v-{uuid.uuid4().hex}"
-    merged = merge(old, incoming)
-    merged.withColumn("__bucket", bucket(key)).repartition("__bucket").write.partitionBy("__bucket").parquet(f"{root}/{name}")
-    made = {c.split("=")[1]: f"{name}/{c}" for c in _children(spark, f"{root}/{name}") if c.startswith("__bucket=")}
-    linked = {b: p for b, p in parts.items() if b not in touched and version["buckets"]}
-    now = {"schema": merged.schema.jsonValue(), "buckets": count, "parts": linked | made}
-    _point(spark, root, number + 1, now | {"replaced": _folders(version, now)}, keep)
-    return _read(spark, root, now)
-
-
-def _folders(version: dict | None, now: dict) -> list[str]:
-    """Folders that earlier versions linked and this one does not."""
-    if version is None:
-        return []
-    before = {p.split("/")[0] for p in version["parts"].values()} | set(version["replaced"])
-    return sorted(before - {p.split("/")[0] for p in now["parts"].values()})
+    touched = sorted(r[0] for r in incoming.select(bucket).distinct().collect())  # at most one row per bucket
+    stored = None
+    if _partitions(spark, root, column):
+        stored = spark.read.parquet(root).where(F.col(column).isin(touched))
+    held = set(stored.inputFiles()) if stored is not None else set()
+    merged = merge(None if stored is None else stored.drop(column), incoming).withColumn(column, bucket)
+    staged = cut_lineage(merged.repartition(column), "merged")
+    filled = {r[0] for r in staged.select(column).distinct().collect()}
+    if stored is not None and set(spark.read.parquet(root).where(F.col(column).isin(touched)).inputFiles()) != held:
+        raise RuntimeError(f"another writer has changed {root} meanwhile")
+    if filled:
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(root)
+    for gone in set(touched) - filled:
+        _remove(spark, f"{root}/{column}={gone}")
+    return spark.read.schema(staged.schema).parquet(root).drop(column) if filled or _partitions(spark, root, column) else staged.drop(column)
 
 
 def publish(df: DataFrame, root: str, keep: int = 2) -> DataFrame:
-    """Write a new version beside the old one, then point readers at it.
+    """Write the rows as the next ``version`` partition; readers take the last one, so they change over at once.
 
-    A job that fails half-way leaves the published version untouched; readers of
-    the version before keep their files. Older ones are removed.
+    A job that fails half-way adds no partition (dynamic partition overwrite moves a whole folder at its end), and
+    readers of the version before keep their files until ``keep`` newer ones stand. An empty version is refused.
     """
     spark = df.sparkSession
-    newest = _newest(spark, root)
-    name = f"v-{uuid.uuid4().hex}"
-    df.write.parquet(f"{root}/{name}")
-    now = {"schema": df.schema.jsonValue(), "buckets": 0, "parts": {"all": name}}
-    version = now | {"replaced": _folders(newest[1] if newest else None, now)}
-    _point(spark, root, (newest[0] if newest else 0) + 1, version, keep)
-    return _read(spark, root, version)
+    number = max(_partitions(spark, root, "version"), default=0) + 1
+    seen = Observation()
+    numbered = df.observe(seen, F.count(F.lit(1)).alias("rows")).withColumn("version", F.lit(number))
+    numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(root)
+    if not seen.get["rows"]:
+        raise ValueError(f"an empty table was not published at {root}")
+    for old in _partitions(spark, root, "version")[:-keep]:
+        _remove(spark, f"{root}/version={old}")
+    return read_current(spark, root)
+
+
+def read_current(spark: SparkSession, root: str) -> DataFrame | None:
+    """The version published last, or None before the first one."""
+    versions = _partitions(spark, root, "version")
+    return spark.read.parquet(f"{root}/version={versions[-1]}") if versions else None
 
 
 def export(df: DataFrame, uri: str, fmt: str = "csv", rows_per_file: int = 500_000) -> int:

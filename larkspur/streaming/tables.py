@@ -26,7 +26,7 @@ def ingest_stream(
     version: str | None = None,
     embed: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Documents to chunks to a versioned table of (document, chunk) rows in buckets of ``key``.
+    """Documents to chunks to a table of (document, chunk) rows in buckets of ``key``.
 
     A document that arrives again under its key replaces all its chunks, also when
     its text is null now. Of several versions in one batch the one with the largest
@@ -53,7 +53,7 @@ def ingest_stream(
         def replace(stored: DataFrame | None, keys: DataFrame) -> DataFrame:
             return fresh if stored is None else sinks.delete_by_key(stored, keys, key).select(*fresh.columns).unionByName(fresh)
 
-        sinks.rewrite_buckets(batch.sparkSession, root, key, batch.select(key), replace)
+        sinks.merge_buckets(batch.sparkSession, root, key, batch.select(key), replace)
 
     return run_to_end(docs, index, checkpoint)
 
@@ -125,7 +125,7 @@ def window_table_stream(windows: DataFrame, keys: list[str], root: str, checkpoi
 
 
 def memory_stream(messages: DataFrame, conversation: str, turn: str, root: str, checkpoint: str, n: int = 10) -> StreamingQuery:
-    """The last n messages per conversation as a versioned table.
+    """The last n messages per conversation as a table.
 
     A repeated delivery of a turn is one row (the stored one stays). A batch is cut
     to n per conversation in the map tasks before it meets the stored rows, so one
@@ -146,13 +146,13 @@ def memory_stream(messages: DataFrame, conversation: str, turn: str, root: str,
             both = stored.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)))
             return last(keep_first(both, [conversation, turn], [F.col("__new")]).drop("__new"))
 
-        sinks.rewrite_buckets(batch.sparkSession, root, conversation, last(once), merge)
+        sinks.merge_buckets(batch.sparkSession, root, conversation, last(once), merge)
 
     return run_to_end(messages, keep, checkpoint)
 
 
 def current(spark: SparkSession, root: str) -> DataFrame:
-    table = sinks.read_current(spark, root)
+    table = sinks.read_keyed(spark, root)
     if table is None:
-        raise ValueError(f"nothing was published at {root}")
+        raise ValueError(f"nothing was written to {root}")
     return table

@@ -84,42 +84,65 @@ def test_the_newest_windows_are_in_the_table(spark, tmp_path):
     assert run([(at(8), False), (at(9), False)]) == {(0, 2, 1)}
 
 
-# ---- versioned tables -----------------------------------------------------------------------------
+# ---- keyed and published tables -------------------------------------------------------------------
 
 
-def files_of(df):
-    return set(df.inputFiles())
+def files_of(spark, root):
+    return set(spark.read.parquet(root).inputFiles())
 
 
 def test_only_touched_buckets_are_written(spark, tmp_path):
     root = f"{tmp_path}/t"
     rows = spark.range(500).select(F.col("id").alias("k"), F.lit("a").alias("v"))
-    before = sinks.silver_merge(spark, rows, root, "k", [F.col("v")])
-    old = files_of(before)
+    assert sinks.silver_merge(spark, rows, root, "k", [F.col("v")]).count() == 500
+    old = files_of(spark, root)
     change = spark.createDataFrame([(7, "b"), (1000, "new")], "k long, v string")
     after = sinks.silver_merge(spark, change, root, "k", [F.col("v")])
-    assert 0 < len(files_of(after) - old) <= 2 and len(files_of(after) & old) >= 50
-    assert after.where("k = 7").first().v == "b" and after.count() == 501 and before.count() == 500
+    assert 0 < len(files_of(spark, root) - old) <= 2 and len(files_of(spark, root) & old) >= 50
+    assert after.where("k = 7").first().v == "b" and after.count() == 501 and sinks.read_keyed(spark, root).count() == 501
 
 
-def test_a_lost_pointer_is_an_error_and_a_broken_one_is_passed_over(spark, tmp_path):
+def test_a_failed_merge_leaves_the_table_and_a_repeated_one_changes_nothing(spark, tmp_path):
     root = f"{tmp_path}/t"
-    sinks.publish(spark.range(2), root)
-    sinks.publish(spark.range(3), root)
-    (tmp_path / "t/_versions/0000000002/_SUCCESS").unlink()
-    assert sinks.read_current(spark, root).count() == 2
-    (tmp_path / "t/_versions/0000000001/_SUCCESS").unlink()
-    with pytest.raises(RuntimeError):
-        sinks.read_current(spark, root)
-    with pytest.raises(RuntimeError):
-        sinks.silver_merge(spark, spark.range(1), root, "id", [F.col("id")])
+    assert sinks.read_keyed(spark, root) is None
+    sinks.silver_merge(spark, spark.range(50).withColumn("v", F.lit("a")), root, "id", [F.col("v")])
+    broken = spark.range(60).withColumn("v", F.when(F.col("id") == 55, F.raise_error(F.lit("boom")).cast("string")).otherwise("b"))
+    with pytest.raises(Exception, match="boom"):
+        sinks.silver_merge(spark, broken, root, "id", [F.col("v")])
+    assert {tuple(r) for r in sinks.read_keyed(spark, root).groupBy("v").count().collect()} == {("a", 50)}
+    for _ in range(2):
+        sinks.silver_merge(spark, spark.range(10).withColumn("v", F.lit("c")), root, "id", [F.col("v")])
+        assert {tuple(r) for r in sinks.read_keyed(spark, root).groupBy("v").count().collect()} == {("a", 40), ("c", 10)}
+    with pytest.raises(ValueError):
+        sinks.silver_merge(spark, spark.range(1).withColumn("v", F.lit("d")), root, "id", [F.col("v")], buckets=8)
+
+
+def test_a_second_writer_fails_and_emptied_buckets_go(spark, tmp_path):
+    root = f"{tmp_path}/t"
+    rows = spark.range(20)
+    sinks.merge_buckets(spark, root, "id", rows, lambda old, new: new, 4)
+
+    def slow(old, new):
+        sinks.merge_buckets(spark, root, "id", rows.where("id < 5"), lambda o, n: o.union(n), 4)  # another one comes in between
+        return new
+
+    with pytest.raises(RuntimeError, match="another writer"):
+        sinks.merge_buckets(spark, root, "id", rows.where("id < 5"), slow, 4)
+    assert sinks.read_keyed(spark, root).count() == 25
+    sinks.merge_buckets(spark, root, "id", rows, lambda old, new: old.limit(0), 4)
+    assert sinks.read_keyed(spark, root) is None
+    assert sinks.merge_buckets(spark, root, "id", rows, lambda old, new: new if old is None else old, 4).count() == 20
 
 
 def test_old_versions_are_removed(spark, tmp_path):
+    root = f"{tmp_path}/t"
     for n in range(1, 6):
-        sinks.publish(spark.range(n), f"{tmp_path}/t")
-    names = sorted(os.listdir(f"{tmp_path}/t"))
-    assert len([x for x in names if x.startswith("v-")]) == 2 and sinks.read_current(spark, f"{tmp_path}/t").count() == 5
+        sinks.publish(spark.range(n), root)
+    names = sorted(os.listdir(root))
+    assert [x for x in names if x.startswith("version=")] == ["version=4", "version=5"] and sinks.read_current(spark, root).count() == 5
+    with pytest.raises(ValueError):
+        sinks.publish(spark.range(0), root)
+    assert sinks.read_current(spark, root).count() == 5
 
 
 # ---- values ---------------------------------------------------------------------------------------
