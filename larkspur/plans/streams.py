@@ -1,12 +1,15 @@
 """Structured Streaming jobs run to the end of what the tables hold."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larkspur.operators import usage
+from larkspur.operators import chunks, usage
 from larkspur.plans.registry import query
 from larkspur.session import work_path
-from larkspur.streaming import tables, topics
+from larkspur.sources import sinks
+from larkspur.streaming import chain, tables, topics
 
 
 def stream_of(t, name):
@@ -47,7 +50,7 @@ def stream_dedupe(t):
     rows.write.parquet(f"{base}/in/a")
     rows.write.parquet(f"{base}/in/b")
     stream = topics.read_files(t.spark, f"{base}/in/*", rows.schema)
-    topics.run_to_end(topics.once(stream, "ts", "event_id", "40 days"), topics.batch_writer(f"{base}/out"), f"{base}/checkpoint")
+    topics.run_to_end(topics.once(stream, "ts", "event_id"), topics.batch_writer(f"{base}/out"), f"{base}/checkpoint", conf=topics.ROCKSDB)
     out = t.spark.read.schema("event_id bigint, event_type string").parquet(f"{base}/out")
     return out.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("id_sum"))
 
@@ -91,8 +94,9 @@ def stream_ingest(t):
 )
 def stream_rate_alerts(t):
     base = work_path(t.spark, "rates")
-    windows = tables.rate_windows(stream_of(t, "events").select("ts", "user_id"), "user_id", delay="40 days")
-    tables.window_table_stream(windows, ["window_start", "user_id"], f"{base}/table", f"{base}/checkpoint")
+    log = stream_of(t, "events").select("ts", "user_id")
+    windows = lambda batch: tables.rate_windows(batch, "user_id")
+    tables.running_table_stream(log, windows, ["window_start", "user_id"], ["requests"], f"{base}/table", f"{base}/checkpoint")
     out = tables.current(t.spark, f"{base}/table").where(F.col("requests") > 1)
     return out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "user_id", "requests")
 
@@ -105,7 +109,7 @@ def stream_rate_alerts(t):
 def stream_error_alerts(t):
     base = work_path(t.spark, "errors")
     log = stream_of(t, "events").select("ts", (F.col("event_type") == "error").alias("is_error"))
-    tables.window_table_stream(tables.error_windows(log, delay="40 days"), ["window_start"], f"{base}/table", f"{base}/checkpoint")
+    tables.running_table_stream(log, tables.error_windows, ["window_start"], ["requests", "errors"], f"{base}/table", f"{base}/checkpoint")
     out = tables.over_error_limit(tables.current(t.spark, f"{base}/table"))
     return out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start"), "requests", "errors")
 
@@ -123,7 +127,7 @@ def stream_daily_cost(t):
         usage.money(F.col("value")).alias("cost_usd"),
         usage.json_number("props", "$.k").alias("total_tokens"),
     )
-    tables.daily_cost_stream(log, f"{base}/table", f"{base}/checkpoint", delay="40 days")
+    tables.daily_cost_stream(log, f"{base}/table", f"{base}/checkpoint")
     out = tables.current(t.spark, f"{base}/table")
     return out.select("day", "model", usage.usd(F.col("cost")).alias("cost"), "tokens", "calls")
 
@@ -176,3 +180,61 @@ def stream_memory_repeated(t):
         stream = topics.read_files(t.spark, f"{base}/in", rows.schema)
         tables.memory_stream(stream, "conv_id", "turn", f"{base}/table", f"{base}/checkpoint", n=3)
     return tables.current(t.spark, f"{base}/table").select("conv_id", "turn", "role")
+
+
+@query(
+    "stream_late_rows",
+    """WITH d AS (SELECT CAST(ts AS DATE) AS day, event_type = 'error' AS e, ts FROM events),
+      w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS s, e FROM d),
+      late AS (SELECT count(*) AS n FROM d WHERE date_part('day', day) % 2 = 1 AND ts < (SELECT max(ts) FROM d WHERE date_part('day', day) % 2 = 0) - INTERVAL 10 MINUTE)
+      SELECT count(*) AS windows, CAST(sum(requests) AS BIGINT) AS requests, CAST(sum(errors) AS BIGINT) AS errors, (SELECT n FROM late) AS late_rows
+      FROM (SELECT s, count(*) AS requests, count(*) FILTER (WHERE e) AS errors FROM w GROUP BY s)""",
+)
+def stream_late_rows(t):
+    """Error windows of two runs: the events of even days first, those of odd days, a month late, in the second."""
+    base = work_path(t.spark, "late")
+    log = t.events.select("ts", (F.col("event_type") == "error").alias("is_error"))
+    for odd in (0, 1):
+        log.where(F.dayofmonth("ts") % 2 == odd).write.mode("append").parquet(f"{base}/in")
+        stream = topics.read_files(t.spark, f"{base}/in", log.schema)
+        tables.running_table_stream(stream, tables.error_windows, ["window_start"], ["requests", "errors"], f"{base}/table", f"{base}/checkpoint")
+    late = tables.late_rows(t.spark, f"{base}/table").agg(F.sum("late_rows"))
+    out = tables.current(t.spark, f"{base}/table").agg(
+        F.count(F.lit(1)).alias("windows"), F.sum("requests").alias("requests"), F.sum("errors").alias("errors")
+    )
+    return out.withColumn("late_rows", late.scalar())
+
+
+@query(
+    "stream_retry",
+    """WITH ch AS (SELECT doc_id, unnest(generate_series(0, (length(text) - 1) // 800)) AS i FROM documents WHERE length(text) > 0 AND doc_id % 10 <> 7),
+      n AS (SELECT doc_id, count(*) AS n_chunks FROM ch GROUP BY 1)
+      SELECT doc_id, CASE WHEN coalesce(length(text), 0) = 0 OR doc_id % 10 = 7 THEN 'dead_letter' ELSE 'index' END AS target,
+             CASE WHEN coalesce(length(text), 0) = 0 THEN 'parse' ELSE 'embed' END AS step,
+             CAST(CASE WHEN coalesce(length(text), 0) = 0 OR doc_id % 10 IN (3, 7) THEN 3 ELSE 1 END AS INT) AS tries,
+             CASE WHEN coalesce(length(text), 0) = 0 THEN 'no text' WHEN doc_id % 10 = 7 THEN 'model is away' END AS error, coalesce(n_chunks, 0) AS n_chunks
+      FROM documents LEFT JOIN n USING (doc_id)""",
+)
+def stream_retry(t):
+    """The documents through parsing, chunking and an embedding that fails twice for some and always for others."""
+    base = work_path(t.spark, "chain")
+
+    def parse(rows):
+        return rows.withColumn("error", F.when(F.coalesce(F.length("text"), F.lit(0)) == 0, F.lit("no text")))
+
+    def split(rows):
+        return chunks.ingest(rows, "text", "source").withColumn("error", F.lit(None).cast("string"))
+
+    def embed(rows):
+        away = (F.col("doc_id") % 10 == 7) | ((F.col("doc_id") % 10 == 3) & (F.col("try_number") < 3))
+        return rows.withColumns({"vector": F.array(F.length("chunk").cast("double")), "error": F.when(away, F.lit("model is away"))})
+
+    start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    docs = t.documents.select("doc_id", "text", "source")
+    chain.upload(docs, "doc_id", base, start)
+    for seconds in (0, 100, 300, 400):  # the first try, the second after a minute, the third after two, the outcome
+        status = chain.run_chain(
+            t.spark, docs, "doc_id", [("parse", parse), ("chunk", split), ("embed", embed)], base, start + dt.timedelta(seconds=seconds)
+        )
+    held = sinks.read_keyed(t.spark, f"{base}/index").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_chunks"))
+    return status.join(held, "doc_id", "left").na.fill(0, ["n_chunks"])

@@ -63,28 +63,81 @@ def current_chunks(spark: SparkSession, root: str, key: str) -> DataFrame:
     return keep_first(current(spark, root), ["chunk_id"], [F.desc(key), F.desc("chunk_index")])
 
 
-def daily_cost_stream(usage: DataFrame, root: str, checkpoint: str, delay: str = "1 day") -> StreamingQuery:
-    """Running cost per day and model; each batch upserts the days it changed.
+def count_late(batch: DataFrame, batch_id: int, ts: str, delay: str, late: str) -> None:
+    """Write down how many rows of a batch are older than the newest of the batches before by more than ``delay``.
 
-    Columns: ts, model, cost_usd, total_tokens.
+    One row a batch under ``late``: batch_id, rows, late_rows and the newest time so far.
     """
-    daily = (
-        usage.withColumn("ts", F.col("ts").cast("timestamp"))
-        .withWatermark("ts", delay)
-        .groupBy(F.window("ts", "1 day"), "model")
-        .agg(F.sum("cost_usd").alias("cost"), F.sum("total_tokens").alias("tokens"), F.count(F.lit(1)).alias("calls"))
-        .select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "model", "cost", "tokens", "calls")
-        .withColumn("key", F.concat_ws("|", "day", "model"))
+    spark = batch.sparkSession
+    kind = "batch_id long, rows long, late_rows long, newest timestamp"
+    known = spark.read.schema(kind).parquet(late) if sinks.exists(spark, late) else spark.createDataFrame([], kind)
+    before = known.where(F.col("batch_id") < batch_id).agg(F.max("newest")).scalar()
+    at = F.col(ts).cast("timestamp")
+    row = batch.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.coalesce(at < before - F.expr(f"INTERVAL {delay}"), F.lit(False))).alias("late_rows"),
+        F.greatest(F.max(at), F.max(before)).alias("newest"),
     )
+    row.write.mode("overwrite").parquet(f"{late}/batch_id={batch_id}")
 
-    def keep(batch: DataFrame, batch_id: int) -> None:
-        sinks.silver_merge(batch.sparkSession, batch, root, "key", [F.desc("calls")])
 
-    return run_to_end(daily, keep, checkpoint, "update")
+def late_rows(spark: SparkSession, root: str) -> DataFrame:
+    """batch_id, rows, late_rows and newest time of every batch of a running table."""
+    return spark.read.schema("batch_id long, rows long, late_rows long, newest timestamp").parquet(f"{root}-late")
+
+
+def running_table_stream(
+    log: DataFrame,
+    grouped: Callable[[DataFrame], DataFrame],
+    keys: list[str],
+    sums: list[str],
+    root: str,
+    checkpoint: str,
+    ts: str = "ts",
+    delay: str = "10 minutes",
+) -> StreamingQuery:
+    """Totals kept as a table: each batch is grouped on its own and added to the rows of its keys.
+
+    ``grouped`` makes rows of ``keys`` and numeric ``sums`` from the rows of a batch. The table is the state, so none
+    is held in memory and no row is dropped, however late: a late row is added to its key like any other, and
+    counted in a table beside (``late_rows``). Each row keeps its totals before its last batch, so a repeated batch
+    gives the same table.
+    """
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        count_late(batch, batch_id, ts, delay, f"{root}-late")
+        parts = [F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in keys]
+        new = grouped(batch).withColumn("key", F.concat_ws("|", *parts))
+
+        def merge(stored: DataFrame | None, new: DataFrame) -> DataFrame:
+            zero = F.struct(*[F.lit(0).cast(new.schema[c].dataType).alias(c) for c in sums])
+            if stored is None:
+                return new.withColumns({"was": zero, "last_batch": F.lit(batch_id).cast("long")})
+            was = F.when(F.col("last_batch") == batch_id, F.col("was")).otherwise(F.struct(*sums)).alias("was")
+            base = stored.select(F.col("key").alias("stored_key"), was)
+            met = new.join(base, new["key"] == base["stored_key"], "left").withColumn("was", F.coalesce("was", zero))
+            added = met.withColumns({c: (F.col(c) + F.col(f"was.{c}")).cast(stored.schema[c].dataType) for c in sums})
+            added = added.withColumn("last_batch", F.lit(batch_id).cast("long")).select(*stored.columns)
+            return stored.join(new.select("key"), "key", "left_anti").select(*stored.columns).unionByName(added)
+
+        sinks.merge_buckets(batch.sparkSession, root, "key", new, merge)
+
+    return run_to_end(log, add, checkpoint)
+
+
+def daily_cost_stream(usage: DataFrame, root: str, checkpoint: str, delay: str = "1 day") -> StreamingQuery:
+    """Running cost per day and model. Columns: ts, model, cost_usd, total_tokens."""
+
+    def daily(batch: DataFrame) -> DataFrame:
+        return batch.groupBy(F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd").alias("day"), "model").agg(
+            F.sum("cost_usd").alias("cost"), F.sum("total_tokens").alias("tokens"), F.count(F.lit(1)).alias("calls")
+        )
+
+    return running_table_stream(usage, daily, ["day", "model"], ["cost", "tokens", "calls"], root, checkpoint, delay=delay)
 
 
 def rate_windows(log: DataFrame, client: str, ts: str = "ts", size: str = "1 minute", slide: str = "10 seconds", delay: str = "10 minutes") -> DataFrame:
-    """Requests per client in sliding windows."""
+    """Requests per client in sliding windows, of a table or of a stream (which holds a window until ``delay`` after its end)."""
     return (
         log.withColumn(ts, F.col(ts).cast("timestamp"))
         .withWatermark(ts, delay)
@@ -95,7 +148,7 @@ def rate_windows(log: DataFrame, client: str, ts: str = "ts", size: str = "1 min
 
 
 def error_windows(log: DataFrame, ts: str = "ts", size: str = "5 minutes", delay: str = "10 minutes") -> DataFrame:
-    """Requests and errors in tumbling windows. Columns: ts, is_error."""
+    """Requests and errors in tumbling windows, of a table or of a stream. Columns: ts, is_error."""
     return (
         log.withColumn(ts, F.col(ts).cast("timestamp"))
         .withWatermark(ts, delay)
@@ -110,20 +163,6 @@ def over_error_limit(windows: DataFrame, error_pct: float = 5.0) -> DataFrame:
     return windows.where(F.col("errors") * 100.0 / F.col("requests") > error_pct)
 
 
-def window_table_stream(windows: DataFrame, keys: list[str], root: str, checkpoint: str) -> StreamingQuery:
-    """Windows kept as a table: each batch upserts those it changed, the newest ones included.
-
-    Nothing waits for the watermark, which only bounds the state; alerts are read
-    from the table, as a window may fall below a limit again. Counts only grow.
-    """
-
-    def keep(batch: DataFrame, batch_id: int) -> None:
-        named = batch.withColumn("key", F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in keys]))
-        sinks.silver_merge(batch.sparkSession, named, root, "key", [F.desc("requests")])
-
-    return run_to_end(windows, keep, checkpoint, "update")
-
-
 def memory_stream(messages: DataFrame, conversation: str, turn: str, root: str, checkpoint: str, n: int = 10) -> StreamingQuery:
     """The last n messages per conversation as a table.
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
 from larkspur.session import cut_lineage
 from larkspur.sources.sinks import exists
@@ -46,15 +48,30 @@ def decoded(messages: DataFrame, schema: T.StructType, value: str = "value") ->
     return messages.select(parsed.alias("m")).select("m.*")
 
 
-def run_to_end(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> StreamingQuery:
+#: State on local disk with changes in the checkpoint: for keys that are kept long, and for keyed state with timers.
+ROCKSDB = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
+@contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Session settings for what is started inside; a query keeps those it was started with."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def run_to_end(
+    stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append", conf: dict[str, str] | None = None
+) -> StreamingQuery:
     """Process everything there is, batch by batch, then stop; a scheduler may call this again and again."""
-    query = (
-        stream.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(each)
-        .start()
-    )
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(each)
+    with settings(stream.sparkSession, conf or {}):
+        query = writer.start()
     query.awaitTermination()
     return query
 
@@ -72,16 +89,24 @@ def json_to_table(messages: DataFrame, schema: T.StructType, target: str, reject
     """Append readable messages to ``target`` and the others to ``rejects``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        good = batch.where(F.col("bad_json").isNull()).drop("bad_json")
-        bad = batch.where(F.col("bad_json").isNotNull()).select("bad_json")
+        parsed = batch.persist(StorageLevel.DISK_ONLY)  # read and parsed once; what is lost is parsed again
+        good = parsed.where(F.col("bad_json").isNull()).drop("bad_json")
+        bad = parsed.where(F.col("bad_json").isNotNull()).select("bad_json")
         good.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
         bad.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+        parsed.unpersist()
 
     return run_to_end(decoded(messages, schema), write, checkpoint)
 
 
-def once(stream: DataFrame, ts: str, key: str, delay: str) -> DataFrame:
-    """Each key once among the rows that arrive within ``delay`` of each other; state is dropped after it."""
+def once(stream: DataFrame, ts: str, key: str, delay: str | None = None) -> DataFrame:
+    """Each key once, however late it comes; keys are kept (run it with ``ROCKSDB``).
+
+    With ``delay`` state is dropped after that time: each key once among the rows that arrive within ``delay`` of
+    each other, and rows later than that are not passed on.
+    """
+    if delay is None:
+        return stream.dropDuplicates([key])
     return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 

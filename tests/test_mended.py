@@ -1,8 +1,10 @@
 """Cases that once gave wrong answers."""
 
+import collections
 import datetime as dt
 import math
 import os
+import random
 import subprocess
 import sys
 
@@ -76,14 +78,80 @@ def test_the_newest_windows_are_in_the_table(spark, tmp_path):
 
     def run(rows):
         put(spark, f"{tmp_path}/in", rows, schema)
-        windows = tables.error_windows(topics.read_files(spark, f"{tmp_path}/in", schema))
-        tables.window_table_stream(windows, ["window_start"], f"{tmp_path}/t", f"{tmp_path}/cp")
+        log = topics.read_files(spark, f"{tmp_path}/in", schema)
+        tables.running_table_stream(log, tables.error_windows, ["window_start"], ["requests", "errors"], f"{tmp_path}/t", f"{tmp_path}/cp")
         return {(r.window_start.minute, r.requests, r.errors) for r in tables.over_error_limit(tables.current(spark, f"{tmp_path}/t"), 40.0).collect()}
 
     assert run([(at(0), True), (at(1), False), (at(7), True)]) == {(0, 2, 1), (5, 1, 1)}
     assert run([(at(8), False), (at(9), False)]) == {(0, 2, 1)}
 
 
+def test_no_row_of_a_year_out_of_order_is_lost(spark, tmp_path):
+    """Two runs over a log of a year, the later one full of old rows: totals are those of all rows, the late ones are counted."""
+    rng = random.Random(3)
+    rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(minutes=rng.randrange(365 * 1440)), i % 3 == 0) for i in range(400)]
+    schema = "ts timestamp, is_error boolean"
+
+    def run(part):
+        put(spark, f"{tmp_path}/in", part, schema)
+        log = topics.read_files(spark, f"{tmp_path}/in", schema)
+        tables.running_table_stream(log, tables.error_windows, ["window_start"], ["requests", "errors"], f"{tmp_path}/t", f"{tmp_path}/cp")
+
+    run(rows[:200])
+    run(rows[200:])
+    want = collections.Counter()
+    for ts, error in rows:
+        want[ts.replace(minute=ts.minute // 5 * 5), "requests"] += 1
+        want[ts.replace(minute=ts.minute // 5 * 5), "errors"] += error
+    got = {(r.window_start, c): r[c] for r in tables.current(spark, f"{tmp_path}/t").collect() for c in ("requests", "errors")}
+    assert got == dict(want)
+    late = {r.batch_id: (r["rows"], r.late_rows) for r in tables.late_rows(spark, f"{tmp_path}/t").collect()}
+    limit = max(ts for ts, _ in rows[:200]) - dt.timedelta(minutes=10)
+    assert late == {0: (200, 0), 1: (200, sum(ts < limit for ts, _ in rows[200:]))}
+
+
+def test_a_repeated_batch_is_added_once(spark, tmp_path, monkeypatch):
+    """A batch that fails after its merge is done again with the same rows."""
+    schema = "ts timestamp, is_error boolean"
+    put(spark, f"{tmp_path}/in", [(dt.datetime(2024, 1, 1), True), (dt.datetime(2024, 1, 1, 0, 1), False)], schema)
+    real, calls = sinks.merge_buckets, []
+
+    def failing(*args, **kwargs):
+        out = real(*args, **kwargs)
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost after the write")
+        return out
+
+    monkeypatch.setattr(sinks, "merge_buckets", failing)
+
+    def run():
+        log = topics.read_files(spark, f"{tmp_path}/in", schema)
+        tables.running_table_stream(log, tables.error_windows, ["window_start"], ["requests", "errors"], f"{tmp_path}/t", f"{tmp_path}/cp")
+
+    run()
+    put(spark, f"{tmp_path}/in", [(dt.datetime(2024, 1, 1, 0, 2), True), (dt.datetime(2024, 1, 1, 0, 7), True)], schema)
+    with pytest.raises(Exception, match="lost after the write"):
+        run()
+    run()
+    assert sorted((r.requests, r.errors) for r in tables.current(spark, f"{tmp_path}/t").collect()) == [(1, 1), (3, 2)] and len(calls) == 3
+
+
+def test_a_new_key_that_comes_late_passes_once(spark, tmp_path):
+    schema = "id int, ts timestamp"
+
+    def run(rows):
+        put(spark, f"{tmp_path}/in", rows, schema)
+        stream = topics.once(topics.read_files(spark, f"{tmp_path}/in", schema), "ts", "id")
+        topics.run_to_end(stream, topics.batch_writer(f"{tmp_path}/out"), f"{tmp_path}/cp", conf=topics.ROCKSDB)
+        return sorted(r.id for r in spark.read.schema("id int").parquet(f"{tmp_path}/out").collect())
+
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    assert run([(1, day(300)), (2, day(200)), (1, day(300))]) == [1, 2]
+    assert run([(3, day(0)), (1, day(300)), (2, day(200))]) == [1, 2, 3]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
 # ---- keyed and published tables -------------------------------------------------------------------
 
 
