@@ -9,7 +9,7 @@ from larkspur.operators import chunks, usage
 from larkspur.plans.registry import query
 from larkspur.session import work_path
 from larkspur.sources import sinks
-from larkspur.streaming import chain, tables, topics
+from larkspur.streaming import cache, chain, tables, topics
 
 
 def stream_of(t, name):
@@ -238,3 +238,31 @@ def stream_retry(t):
         )
     held = sinks.read_keyed(t.spark, f"{base}/index").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_chunks"))
     return status.join(held, "doc_id", "left").na.fill(0, ["n_chunks"])
+
+
+@query(
+    "stream_cache",
+    """WITH l AS (SELECT event_id, ts, CAST(user_id % 150 AS VARCHAR) AS key, event_type = 'purchase' AS is_set, value FROM events),
+      w AS (SELECT *, max(CASE WHEN is_set THEN ts END) OVER o AS set_at, last_value(CASE WHEN is_set THEN value END IGNORE NULLS) OVER o AS answer
+            FROM l WINDOW o AS (PARTITION BY key ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))
+      SELECT event_id AS request_id, key, coalesce(ts < set_at + INTERVAL 12 HOUR, false) AS hit,
+             CASE WHEN ts < set_at + INTERVAL 12 HOUR THEN round(answer, 6) END AS value
+      FROM w WHERE NOT is_set""",
+)
+def stream_cache(t):
+    """Purchases store an answer for twelve hours; all other events ask. Two runs, half of the time each."""
+    base = work_path(t.spark, "cache")
+    log = t.events.select(
+        F.pmod("user_id", F.lit(150)).cast("string").alias("key"),
+        F.col("event_id").alias("request_id"),
+        "ts",
+        F.when(F.col("event_type") == "purchase", "set").otherwise("get").alias("kind"),
+        F.col("value").cast("string").alias("value"),
+    )
+    middle = t.events.agg(F.min("ts") + (F.max("ts") - F.min("ts")) / 2).scalar()
+    for part in (F.col("ts") < middle, F.col("ts") >= middle):
+        log.where(part).write.mode("append").parquet(f"{base}/in")
+        answers = cache.cache_stream(topics.read_files(t.spark, f"{base}/in", log.schema), 12 * 3600)
+        topics.run_to_end(answers, topics.batch_writer(f"{base}/out"), f"{base}/checkpoint", conf=topics.ROCKSDB)
+    out = t.spark.read.schema(cache.ANSWER).parquet(f"{base}/out")
+    return out.select("request_id", "key", "hit", F.round(F.col("value").cast("double"), 6).alias("value"))
