@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from larkspur.functions import parsing
-from larkspur.operators import evals, learning
+from larkspur.operators import clusters, evals, learning
 from larkspur.plans.registry import query
 from larkspur.plans.retrieval import CENTROIDS, centroids
 from larkspur.session import work_path
@@ -281,3 +281,30 @@ def route_intent(t):
         "doc_id", "intent", learning.route(F.col("intent"), F.col("confidence")).alias("method"),
         F.md5(learning.prompt_for(renamed)).alias("prompt_md5"),
     )
+
+
+# Six numbers of a vector stand for an answer, its label for the prompt.
+_CLUSTERS = """p AS (SELECT label, vec_id, embedding[1:6]::DOUBLE[] AS v FROM embeddings),
+      e AS (SELECT a.label, a.vec_id AS x, b.vec_id AS y FROM p a JOIN p b ON a.label = b.label AND a.vec_id <> b.vec_id AND round(list_cosine_similarity(a.v, b.v), 9) >= 0.8),
+      core AS (SELECT x FROM e GROUP BY x HAVING count(*) >= 2),
+      reach(x, y) AS (SELECT x, x FROM core UNION SELECT r.x, e.y FROM reach r JOIN e ON e.x = r.y JOIN core c ON c.x = e.y),
+      own AS (SELECT y AS vec_id, min(x) AS cluster FROM reach GROUP BY y),
+      border AS (SELECT e.x AS vec_id, min(o.cluster) AS cluster FROM e JOIN own o ON o.vec_id = e.y WHERE e.x NOT IN (SELECT x FROM core) GROUP BY e.x),
+      c AS (SELECT p.label, p.vec_id, coalesce(o.cluster, b.cluster) AS cluster FROM p LEFT JOIN own o USING (vec_id) LEFT JOIN border b USING (vec_id))"""
+
+
+@query("answer_clusters", f"WITH RECURSIVE {_CLUSTERS} SELECT label, vec_id, cluster FROM c")
+def answer_clusters(t):
+    rows = t.embeddings.withColumn("v", F.slice("embedding", 1, 6))
+    return clusters.density_clusters(rows, "label", "vec_id", "v", eps=0.2, min_samples=3)
+
+
+@query(
+    "answer_entropy",
+    f"""WITH RECURSIVE {_CLUSTERS}, n AS (SELECT label, cluster, count(*) / sum(count(*)) OVER (PARTITION BY label) AS share FROM c GROUP BY label, cluster)
+      SELECT label, round(-sum(share * ln(share + 1e-10)), 6) AS entropy FROM n GROUP BY label""",
+)
+def answer_entropy(t):
+    rows = t.embeddings.withColumn("v", F.slice("embedding", 1, 6))
+    out = clusters.answer_entropy(rows, "label", "vec_id", "v", eps=0.2, min_samples=3)
+    return out.select("label", F.round("entropy", 6).alias("entropy"))
