@@ -301,6 +301,33 @@ def bm25_search(t):
     return hits.select("doc_id", F.round("score", 6).alias("score"))
 
 
+@query(
+    "web_search",
+    f"""WITH d AS (SELECT doc_id, {TOK.format('source')} AS a, {TOK.format("coalesce(text, '')")} AS b FROM documents),
+      w AS (SELECT doc_id, unnest(list_concat(a, b)) AS word, unnest(range(len(a) + len(b))) AS pos, len(a) AS la FROM d),
+      n AS (SELECT *, lag(word) OVER o AS before, lag(pos < la) OVER o AS before_a FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+      t AS (SELECT doc_id, pos, CASE WHEN word IN ('the', 'and', 'for', 'with') THEN word END AS term, pos AS first, 0 AS sub, pos < la AS in_a FROM n WHERE word IN ('the', 'and', 'for', 'with')
+            UNION ALL SELECT doc_id, pos, 'of the', pos - 1, 1, pos < la FROM n WHERE word = 'the' AND before = 'of' AND before_a = (pos < la)),
+      x AS (SELECT *, row_number() OVER o AS nth, sum(CASE WHEN in_a THEN 1.0 ELSE 10.0 END) OVER (o ROWS UNBOUNDED PRECEDING) AS inv,
+                   bool_or(term = 'for') OVER (PARTITION BY doc_id) AS has_for FROM t WINDOW o AS (PARTITION BY doc_id ORDER BY pos, sub)),
+      l AS (SELECT *, max(CASE WHEN term = 'the' THEN {{'p': first, 'n': nth}} END) OVER o AS s1, max(CASE WHEN term = 'and' THEN {{'p': first, 'n': nth}} END) OVER o AS s2,
+                   max(CASE WHEN term = 'of the' THEN {{'p': first, 'n': nth}} END) OVER o AS s3, max(CASE WHEN term = 'with' THEN {{'p': first, 'n': nth}} END) OVER o AS s4
+            FROM x WINDOW o AS (PARTITION BY doc_id ORDER BY nth ROWS UNBOUNDED PRECEDING)),
+      g AS (SELECT *, CASE WHEN NOT has_for AND s1 IS NOT NULL AND s2 IS NOT NULL THEN least(s1, s2) END AS g1, CASE WHEN s3 IS NOT NULL AND s4 IS NOT NULL THEN least(s3, s4) END AS g2 FROM l),
+      b AS (SELECT *, greatest(coalesce(g1, g2), coalesce(g2, g1)) AS beg FROM g),
+      f AS (SELECT *, max(beg.p) OVER (PARTITION BY doc_id ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS begun FROM b),
+      c AS (SELECT f.doc_id, (f.nth - f.beg.n + 1) AS entries, f.inv - y.inv + CASE WHEN y.in_a THEN 1.0 ELSE 10.0 END AS inverse, f.pos - f.beg.p + 1 AS width
+            FROM f JOIN x y ON y.doc_id = f.doc_id AND y.nth = f.beg.n WHERE f.beg.p > coalesce(f.begun, -1)),
+      r AS (SELECT doc_id, round(sum(entries / inverse / (1 + greatest(width - entries, 0))), 9) AS rank FROM c GROUP BY doc_id)
+      SELECT doc_id, round(rank, 6) AS rank, (SELECT count(*) FROM r) AS total FROM r ORDER BY r.rank DESC, doc_id LIMIT 25""",
+)
+def web_search(t):
+    """The first page of a search string with a phrase, an alternative and an excluded word."""
+    docs = t.heavy("documents", "doc_id").select("doc_id", "source", "text")
+    hits = search.web_search(docs, {"source": "A", "text": "D"}, 'the and -for or "of the" with')
+    return hits.select("doc_id", F.round("rank", 6).alias("rank"), "total")
+
+
 def _gram_sql(expr: str) -> str:
     return f"""list_distinct(flatten([[substr('  ' || w || ' ', CAST(i AS INT), 3) FOR i IN generate_series(1, length(w) + 1)] FOR w IN {TOK.format(expr)}]))"""
 
