@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larkspur.operators.ordered import latest_per_key
@@ -60,6 +60,49 @@ def offset_page(rows: DataFrame, order: list[str], page: int, size: int) -> Data
     )
 
 
+def write_pages(rows: DataFrame, order: list[str], root: str, partitions: int | None = None) -> None:
+    """Lay rows out newest first for pages by position: range partitions, and how many rows lie before each.
+
+    ``order`` must tell rows apart, so that ranges are even. Written once, read by any number of ``page_at``.
+    """
+    newest = [F.desc(c) for c in order]
+    ranged = rows.repartitionByRange(partitions, *newest) if partitions else rows.repartitionByRange(*newest)
+    laid_out = ranged.withColumn("part", F.spark_partition_id()).sortWithinPartitions("part", *newest)
+    laid_out.write.partitionBy("part").parquet(f"{root}/rows")
+    rows.limit(0).write.parquet(f"{root}/empty")  # the columns, should there be no row
+    counts = rows.sparkSession.read.schema(laid_out.schema).parquet(f"{root}/rows").groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    counts.coalesce(1).write.parquet(f"{root}/counts")
+
+
+def page_at(spark: SparkSession, root: str, order: list[str], page: int, size: int) -> DataFrame:
+    """A page of what ``write_pages`` wrote, with row and page totals.
+
+    Only the partitions that hold the page are read, and no task holds more than one of them, however deep the page.
+    """
+    counts = sorted((r["part"], r["n"]) for r in spark.read.parquet(f"{root}/counts").collect())  # a row per partition
+    first, last, before = (page - 1) * size, page * size, 0
+    held: list[Column] = []
+    parts = []
+    for part, n in counts:
+        if before < last and before + n > first:
+            parts.append(part)
+            held += [F.lit(part), F.lit(before)]
+        before += n
+    pages = max(1, -(-before // size))
+    totals = {"total_rows": F.lit(before).cast("long"), "total_pages": F.lit(pages).cast("long")}
+    if not parts:
+        return spark.read.parquet(f"{root}/empty").withColumns(totals)
+    newest = [F.desc(c) for c in order]
+    place = F.row_number().over(Window.partitionBy("part").orderBy(*newest)) + F.create_map(*held)[F.col("part")]
+    found = spark.read.parquet(f"{root}/rows").where(F.col("part").isin(parts)).withColumn("__place", place)
+    return (
+        found.where((F.col("__place") > first) & (F.col("__place") <= last))
+        .orderBy("__place")
+        .drop("part", "__place")
+        .withColumns(totals)
+    )
+
+
 def keyset_page(rows: DataFrame, order: list[str], cursor: DataFrame, size: int) -> DataFrame:
     """The ``size`` rows strictly after the cursor row in descending order, with ``has_more``.
 

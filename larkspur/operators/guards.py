@@ -7,7 +7,6 @@ the text the previous one left.
 from __future__ import annotations
 
 import ast
-import json
 from collections.abc import Callable
 
 import pandas as pd
@@ -232,29 +231,19 @@ def injection_match(text: Column) -> Column:
     return F.coalesce(*[F.nullif(F.regexp_extract(text, unicode(p, "im"), 0), F.lit("")) for p in P.INJECTION])
 
 
-def _string_leaves(value) -> list[str]:
-    if isinstance(value, str):
-        return [value]
-    if isinstance(value, dict):
-        value = list(value.values())
-    return [s for v in value for s in _string_leaves(v)] if isinstance(value, list) else []
-
-
-def _json_strings(text: str | None) -> list[str]:
-    try:
-        return _string_leaves(json.loads(text))
-    except (TypeError, ValueError):
-        return []
+# A string of a JSON text with its quotes, and a colon after it if it is a key.
+_JSON_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"(?:\s*+:)?'
 
 
 def json_strings(document: Column) -> Column:
-    """String values of a JSON text in document order; keys are left out."""
+    """String values of a JSON text in document order; keys are left out. An unreadable text has none.
 
-    @F.pandas_udf("array<string>")
-    def run(documents: pd.Series) -> pd.Series:
-        return documents.map(_json_strings)
-
-    return run(document)
+    Texts are cut into strings by one pattern and decoded as one array, however deep they are nested.
+    """
+    readable = F.try_parse_json(document).isNotNull() | F.json_object_keys(document).isNotNull()
+    found = F.filter(F.regexp_extract_all(document, F.lit(f"(?s){_JSON_STRING}"), F.lit(0)), lambda s: ~s.endswith(":"))
+    values = F.from_json(F.concat(F.lit("["), F.array_join(found, ","), F.lit("]")), "array<string>")
+    return F.when(readable, values).otherwise(F.array().cast("array<string>"))
 
 
 def injection_in_json(document: Column) -> Column:

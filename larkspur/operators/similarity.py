@@ -13,11 +13,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larkspur.functions.vectors import SCORE_DIGITS
+from larkspur.functions.text import let
+from larkspur.functions.vectors import SCORE_DIGITS, norm
 from larkspur.operators.ordered import first_n
 
 # Bytes of vectors (rows x dimensions x 8) that one side may have to be shipped to every task,
@@ -209,6 +210,62 @@ def cluster_cells(corpus: DataFrame, cells: int, vec_col: str = "embedding", see
     return model.transform(featured).drop("__v"), np.array(model.clusterCenters())
 
 
+def _unit(vector: Column) -> Column:
+    """The vector in double precision, of length 1; a zero vector stays."""
+    v = vector.cast("array<double>")
+    return let(norm(v), lambda size: F.transform(v, lambda x: F.when(size > 0, x / size).otherwise(x)))
+
+
+def write_cells(corpus: DataFrame, cells: int, root: str, vec_col: str = "embedding", seed: int = 7) -> None:
+    """Keep an approximate index as a table: vectors in a partition per cell, and the cells' centres beside them.
+
+    Fits the cells once, on the directions of the vectors; searches and later additions read the centres.
+    """
+    known = corpus.where(F.col(vec_col).isNotNull()).withColumn("__unit", _unit(F.col(vec_col)))
+    celled, centres = cluster_cells(known, cells, "__unit", seed)
+    celled.drop("__unit").write.partitionBy("cell").parquet(f"{root}/rows")
+    rows = [(i, c.tolist()) for i, c in enumerate(centres)]
+    corpus.sparkSession.createDataFrame(rows, "cell int, centre array<double>").coalesce(1).write.parquet(f"{root}/centres")
+
+
+def _centres(spark: SparkSession, root: str) -> np.ndarray:
+    rows = sorted((r["cell"], r["centre"]) for r in spark.read.parquet(f"{root}/centres").collect())  # as many as cells
+    return np.array([c for _, c in rows])
+
+
+def add_to_cells(new: DataFrame, root: str, vec_col: str = "embedding") -> None:
+    """Put further vectors into the cells of their nearest centres, without a new fit. Null vectors are left out."""
+    centres = _centres(new.sparkSession, root)
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell = np.zeros(len(batch), np.int32)
+            if len(batch):
+                vectors = _matrix(batch[vec_col])
+                length = np.linalg.norm(vectors, axis=1, keepdims=True)
+                cell = _scores(vectors / np.where(length > 0, length, 1), centres, "l2sq").argmax(1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], names=[*batch.schema.names, "cell"])
+
+    known = new.where(F.col(vec_col).isNotNull())
+    schema = T.StructType([*known.schema.fields, T.StructField("cell", T.IntegerType())])
+    known.mapInArrow(placed, schema).write.mode("append").partitionBy("cell").parquet(f"{root}/rows")
+
+
+def search_cells(
+    spark: SparkSession, root: str, queries: DataFrame, k: int, probes: int, id_col: str = "vec_id", vec_col: str = "embedding"
+) -> DataFrame:
+    """Cosine top-k in the kept cells; files of cells that no query probes are not read."""
+    asked = queries.withColumn("query_vec", _unit(F.col("query_vec")))
+    return top_k_approx(spark.read.parquet(f"{root}/rows"), _centres(spark, root), asked, k, probes, id_col, vec_col)
+
+
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """One row: the share of the exact (query_id, doc_id) pairs that were found, and how many there are."""
+    keys = ["query_id", "doc_id"]
+    marked = exact.select(keys).join(found.select(*keys, F.lit(True).alias("hit")), keys, "left")
+    return marked.agg(F.avg(F.coalesce("hit", F.lit(False)).cast("int")).alias("recall"), F.count(F.lit(1)).alias("wanted"))
+
+
 def top_k_approx(
     corpus: DataFrame, centres: np.ndarray, queries: DataFrame, k: int, probes: int, id_col="vec_id", vec_col="embedding"
 ) -> DataFrame:

@@ -351,6 +351,22 @@ def run_etl_query(t):
     )
 
 
+@query(
+    "run_etl_split",
+    f"""{CODED}, c AS (SELECT code IS NOT NULL AND TRY_CAST(code AS BIGINT) IS NOT NULL AS is_valid, count(*) AS n FROM coded GROUP BY 1)
+      SELECT is_valid, n, CASE WHEN is_valid THEN 0 ELSE n END AS with_errors, (SELECT sum(n) FROM c)::BIGINT AS records_read,
+             (SELECT n FROM c WHERE is_valid) AS records_written, (SELECT n FROM c WHERE NOT is_valid) AS records_quarantined FROM c""",
+)
+def run_etl_split(t):
+    """Valid and rejected rows in one table and one job, read back by the partition column."""
+    target = work_path(t.spark, "etl")
+    done = run_etl(_coded_orders(t), target, ORDER_RULES, "o_orderkey", "split")
+    flag = F.col("is_valid").cast("boolean").alias("is_valid")  # a partition value is a text
+    table = t.spark.read.parquet(target).groupBy(flag).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.size("errors") > 0).alias("with_errors"))
+    numbers = {"records_read": done.records_read, "records_written": done.records_written, "records_quarantined": done.records_quarantined}
+    return table.withColumns({k: F.lit(v).cast("bigint") for k, v in numbers.items()})
+
+
 @query(
     "run_etl_load",
     f"""{CODED}, c AS (SELECT count(*) AS total, count(*) FILTER (WHERE code IS NULL OR TRY_CAST(code AS BIGINT) IS NULL) AS bad FROM coded)
@@ -497,6 +513,27 @@ def bronze_append(t):
     )
 
 
+@query(
+    "bronze_table",
+    """SELECT o_orderstatus, count(*) AS n, count(priority) AS with_priority, count(total) AS with_total FROM (
+        SELECT o_orderstatus, NULL AS priority, o_totalprice AS total FROM orders WHERE o_orderstatus = 'F'
+        UNION ALL SELECT o_orderstatus, o_orderpriority, o_totalprice FROM orders WHERE o_orderstatus = 'O'
+        UNION ALL SELECT o_orderstatus, o_orderpriority, NULL FROM orders WHERE o_orderstatus = 'P') GROUP BY 1""",
+)
+def bronze_table(t):
+    """Three appends to a catalog table: the second brings a column, the third lacks one; read by name."""
+    path = work_path(t.spark, "bronze_table")
+    name = "bronze_" + path.rsplit("-", 1)[1]
+    columns = {"F": ["o_orderkey", "o_totalprice"], "O": ["o_orderkey", "o_orderpriority", "o_totalprice"], "P": ["o_orderpriority", "o_orderkey"]}
+    for status, kept in columns.items():
+        sinks.bronze_table(t.orders.where(F.col("o_orderstatus") == status).select(*kept, "o_orderstatus"), name, ["o_orderstatus"], path)
+    return (
+        t.spark.table(name)
+        .groupBy("o_orderstatus")
+        .agg(F.count(F.lit(1)).alias("n"), F.count("o_orderpriority").alias("with_priority"), F.count("o_totalprice").alias("with_total"))
+    )
+
+
 @query(
     "gold_publish",
     """SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01' AND o_orderdate < TIMESTAMP '2000-02-01'""",

@@ -7,9 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from larkspur.operators.quality import FieldRule, row_errors
-from larkspur.sources.sinks import write_table
+from larkspur.sources.sinks import write_split, write_table
 
 RUN_SCHEMA = (
     "name string, status string, records_read bigint, records_processed bigint, records_failed bigint, "
@@ -93,10 +94,10 @@ def run_etl(
 
     Rules are checked in every mode. ``on_invalid``: ``load`` writes invalid rows too
     and reports how many there are, ``quarantine`` sends them to another path with
-    their errors, ``fail`` stops before the write. A run that quarantined rows is
-    ``partial``.
+    their errors, ``split`` writes both into one table in one job, apart by the partition column ``is_valid`` and with
+    their errors, ``fail`` stops before the write. A run that set rows aside is ``partial``.
     """
-    if on_invalid not in ("load", "quarantine", "fail"):
+    if on_invalid not in ("load", "quarantine", "split", "fail"):
         raise ValueError(f"on_invalid: {on_invalid}")
     if not rules:
         n = write_table(source, target, partition_by=partition_by)
@@ -108,14 +109,23 @@ def run_etl(
             checked.observe(seen, F.count_if(F.size("errors") > 0).alias("invalid")).drop("errors"), target, partition_by=partition_by
         )
         return EtlOutcome("success", n, n, 0, seen.get["invalid"])
-    invalid = checked.where(F.size("errors") > 0)
-    if on_invalid == "fail":
-        if invalid.limit(1).count():
-            return EtlOutcome("failed", 0, 0, 0, invalid.count())
-        n = write_table(source, target, partition_by=partition_by)
-        return EtlOutcome("success", n, n, 0)
-    if quarantine is None:
+    if on_invalid == "split":
+        good, bad = write_split(checked, target, F.size("errors") > 0, partition_by=partition_by)
+        return EtlOutcome("partial" if bad else "success", good + bad, good, bad, bad)
+    if on_invalid == "quarantine" and quarantine is None:
         raise ValueError("quarantine needs a path")
-    good = write_table(checked.where(F.size("errors") == 0).drop("errors"), target, partition_by=partition_by)
-    bad = write_table(invalid, quarantine)
-    return EtlOutcome("partial" if bad else "success", good + bad, good, bad, bad)
+    checked = checked.persist(StorageLevel.DISK_ONLY)  # the source is read and checked once for both writes
+    try:
+        invalid = checked.where(F.size("errors") > 0)
+        valid = checked.where(F.size("errors") == 0).drop("errors")
+        if on_invalid == "fail":
+            bad = invalid.count()
+            if bad:
+                return EtlOutcome("failed", 0, 0, 0, bad)
+            n = write_table(valid, target, partition_by=partition_by)
+            return EtlOutcome("success", n, n, 0)
+        good = write_table(valid, target, partition_by=partition_by)
+        bad = write_table(invalid, quarantine)
+        return EtlOutcome("partial" if bad else "success", good + bad, good, bad, bad)
+    finally:
+        checked.unpersist()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from larkspur.operators import governance, ordered, usage
 from larkspur.plans.registry import Tables, query
+from larkspur.session import work_path
 
 
 def calls(t: Tables):
@@ -621,6 +622,20 @@ def page_offset(t):
     return governance.offset_page(rows, ["o_orderdate", "o_orderkey"], page=3, size=25).drop("o_orderdate")
 
 
+@query(
+    "page_position",
+    """WITH n AS (SELECT count(*) AS total_rows FROM orders), p AS (SELECT CAST(ceil(total_rows / 3.0) AS BIGINT) AS total_pages FROM n)
+      SELECT o_orderkey, total_rows, total_pages FROM orders, n, p
+      QUALIFY row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey DESC) BETWEEN (total_pages - 100) * 3 + 1 AND (total_pages - 99) * 3""",
+)
+def page_position(t):
+    """The hundredth page from the end, out of range partitions laid out once."""
+    root, order = work_path(t.spark, "pages"), ["o_orderdate", "o_orderkey"]
+    governance.write_pages(t.orders.select("o_orderkey", "o_orderdate"), order, root)
+    pages = governance.page_at(t.spark, root, order, 1, 3).first()["total_pages"]
+    return governance.page_at(t.spark, root, order, pages - 99, 3).drop("o_orderdate")
+
+
 @query(
     "page_keyset",
     """WITH c AS (SELECT o_orderdate AS cd, o_orderkey AS ck FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1 OFFSET 99),

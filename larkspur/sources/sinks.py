@@ -32,6 +32,18 @@ def write_table(
     return seen.get["rows"]
 
 
+def write_split(checked: DataFrame, uri: str, invalid: Column, fmt: str = "parquet", partition_by: list[str] | None = None) -> tuple[int, int]:
+    """Write valid and rejected rows in one job, apart by the partition column ``is_valid``; how many of each there are.
+
+    The rows are read, checked and written once, and both numbers come from the job that writes.
+    """
+    seen = Observation()
+    flagged = checked.withColumn("is_valid", ~invalid)
+    counted = flagged.observe(seen, F.count_if("is_valid").alias("good"), F.count_if(~F.col("is_valid")).alias("bad"))
+    counted.write.format(fmt).mode("overwrite").partitionBy("is_valid", *(partition_by or [])).save(uri)
+    return seen.get["good"], seen.get["bad"]
+
+
 def last_write_wins(incoming: DataFrame, key: str, order: list[Column]) -> DataFrame:
     """One row per key: the one loaded last."""
     return keep_first(incoming, [key], order)
@@ -70,6 +82,26 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
+def bronze_table(df: DataFrame, table: str, partition_by: list[str], path: str | None = None) -> None:
+    """Append to a catalog table, made with the first rows; columns that are new are added to its schema.
+
+    Readers take the schema from the catalog, so no file footer is opened for it; rows from before have nulls in the
+    new columns, and rows without a column of the table get nulls there. ``path`` puts the files into a given folder.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        writer = df.write.format("parquet").partitionBy(*partition_by)
+        (writer.option("path", path) if path else writer).saveAsTable(table)
+        return
+    known = {c.lower() for c in spark.table(table).columns}
+    new = [f for f in df.schema if f.name.lower() not in known]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+    given = {c.lower() for c in df.columns}
+    wanted = [F.col(f"`{f.name}`") if f.name.lower() in given else F.lit(None).cast(f.dataType).alias(f.name) for f in spark.table(table).schema]
+    df.select(*wanted).write.insertInto(table)
+
+
 def silver_merge(
     spark: SparkSession, df: DataFrame, root: str, key: str, order: list[Column], buckets: int = 64
 ) -> DataFrame:
@@ -98,8 +130,9 @@ def merge_into_table(df: DataFrame, table: str, key: str) -> None:
 
 
 def gold_publish(df: DataFrame, path: str, cluster_by: list[str], partition_by: list[str] | None = None) -> int:
-    """Overwrite with rows range-clustered on the columns queries filter by."""
-    laid_out = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+    """Overwrite with rows range-clustered on the columns queries filter by, inside the partitions if there are any."""
+    columns = [*(partition_by or []), *cluster_by]
+    laid_out = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
     return write_table(laid_out, path, "parquet", "overwrite", partition_by)
 
 

@@ -1,5 +1,6 @@
 """Scans on texts with known findings."""
 
+import json
 import re
 
 import pytest
@@ -107,6 +108,37 @@ def test_injection_looks_through_nested_values_only(spark):
     assert [r.m for r in got] == ["role: system", None, None]
 
 
+def leaves(value):
+    if isinstance(value, str):
+        return [value]
+    if isinstance(value, dict):
+        value = list(value.values())
+    return [s for v in value for s in leaves(v)] if isinstance(value, list) else []
+
+
+JSON = st.recursive(
+    st.none() | st.booleans() | st.integers(-5, 5) | st.text(st.characters(codec="utf-8", exclude_characters="\x00"), max_size=12) | st.sampled_from(['a":', ": ", '\\"', "\\", '","', "]", '{"k":"v"}']),
+    lambda inner: st.lists(inner, max_size=4) | st.dictionaries(st.text(st.characters(codec="ascii"), max_size=6), inner, max_size=4),
+    max_leaves=12,
+)
+
+
+@FEW
+@given(st.lists(JSON, min_size=1, max_size=12), st.booleans())
+def test_strings_of_json_equal_python(spark, values, ascii_only):
+    texts = [json.dumps(v, ensure_ascii=ascii_only, indent=i % 3 or None) for i, v in enumerate(values)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", guards.json_strings(F.col("t")).alias("s")).collect()
+    assert {r.i: r.s for r in rows} == {i: leaves(v) for i, v in enumerate(values)}
+
+
+def test_strings_of_odd_json(spark):
+    rows = ['{"a": "x", "a": "y"}', '"alone"', "[1, 2", "", None, '{"a" : "b:"}', '[' * 200 + '"deep"' + ']' * 200, '["' + "long " * 100_000 + '"]']
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in rows], "t string").select(guards.json_strings(F.col("t"))).collect()]
+    assert got[:6] == [["x", "y"], ["alone"], [], [], [], ["b:"]] and got[6] == ["deep"] and len(got[7][0]) == 500_000
+    plan = spark.createDataFrame([("x",)], "t string").select(guards.injection_in_json(F.col("t")))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 @FEW
 @given(st.lists(st.text(st.characters(codec="utf-8", exclude_characters="\x00"), max_size=60), min_size=1, max_size=10))
 def test_redaction_equals_python(spark, texts):

@@ -1,11 +1,12 @@
 """Sources, sinks, cleaning, validation and load runs."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from larkspur.operators import clean, quality
+from larkspur.operators import clean, governance, quality
 from larkspur.operators.quality import Expectation, FieldRule
 from larkspur.plans.runs import Pipeline, pipeline_named, run_etl
 from larkspur.sources import files, jdbc, sinks
@@ -236,6 +237,70 @@ def test_etl_modes(spark, rows, tmp_path, mode, written, set_aside, status):
         assert spark.read.parquet(f"{tmp_path}/q").first().errors[0].field == "value"
 
 
+def test_split_writes_both_kinds_in_one_job(spark, rows, tmp_path):
+    df = rows.withColumn("value", F.when(F.col("id") > 1, F.col("value")))
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(value):
+        calls.add(1)
+        return value
+
+    seen = df.withColumn("value", counted(F.col("value")))
+    out = run_etl(seen, f"{tmp_path}/t", [FieldRule("value", "str", False)], "id", "split")
+    assert (out.records_read, out.records_written, out.records_quarantined, out.status) == (3, 2, 1, "partial")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    assert {(r.id, r.is_valid, len(r.errors)) for r in table.collect()} == {(1, "false", 1), (2, "true", 0), (3, "true", 0)}
+    assert len(table.where("is_valid = 'true'").inputFiles()) >= 1
+    once = calls.value
+    out = run_etl(seen, f"{tmp_path}/u", [FieldRule("value", "str", False)], "id", "quarantine", f"{tmp_path}/q")
+    assert (out.records_written, out.records_quarantined) == (2, 1) and calls.value - once <= once  # read once for both writes
+
+
+def test_registered_appends_with_changing_columns(spark, tmp_path):
+    name = "bronze_test_table"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    sinks.bronze_table(spark.createDataFrame([(1, "a", "x")], "id int, v string, region string"), name, ["region"], f"{tmp_path}/b")
+    sinks.bronze_table(spark.createDataFrame([("y", 2, 5.0)], "region string, id int, more double"), name, ["region"], f"{tmp_path}/b")
+    sinks.bronze_table(spark.createDataFrame([(3, "c", "x", 6.0)], "ID int, v string, region string, more double"), name, ["region"], f"{tmp_path}/b")
+    got = sorted((r.id, r.v, r.region, r.more) for r in spark.table(name).collect())
+    assert got == [(1, "a", "x", None), (2, None, "y", 5.0), (3, "c", "x", 6.0)]
+    assert [f.name for f in spark.table(name).schema] == ["id", "v", "more", "region"]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_gold_partitions_stay_clustered(spark, tmp_path):
+    rows = spark.range(4000).select(F.col("id"), (F.col("id") % 4).alias("region"))
+    sinks.gold_publish(rows, f"{tmp_path}/g", ["id"], ["region"])
+    files_of = spark.read.parquet(f"{tmp_path}/g").groupBy("region", F.input_file_name().alias("f")).agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    by_region = {}
+    for r in files_of.collect():
+        by_region.setdefault(r.region, []).append((r.low, r.high))
+    assert len(by_region) == 4 and sum(map(len, by_region.values())) <= 4 + 8
+    assert all(a[1] < b[0] for spans in by_region.values() for a, b in zip(sorted(spans), sorted(spans)[1:]))
+
+
+def test_pages_by_position(spark, tmp_path):
+    rng = random.Random(6)
+    rows = [(rng.randrange(40) if i % 9 else None, i) for i in range(1003)]
+    df = spark.createDataFrame(rows, "day int, id int")
+    governance.write_pages(df, ["day", "id"], str(tmp_path), partitions=7)
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]), reverse=True)
+    for size in (1, 10, 400, 5000):
+        pages = -(-1003 // size)
+        for page in {1, 2, pages // 2 or 1, pages, pages + 1}:
+            got = governance.page_at(spark, str(tmp_path), ["day", "id"], page, size)
+            assert [(r.day, r.id) for r in got.collect()] == want[(page - 1) * size : page * size]
+            assert all((r.total_rows, r.total_pages) == (1003, pages) for r in got.collect())
+    read = governance.page_at(spark, str(tmp_path), ["day", "id"], 50, 10)
+    assert len({f.split("part=")[1].split("/")[0] for f in read.inputFiles()}) <= 7
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert "part" in plan
+    empty = df.limit(0)
+    governance.write_pages(empty, ["day", "id"], f"{tmp_path}/none", partitions=2)
+    assert governance.page_at(spark, f"{tmp_path}/none", ["day", "id"], 1, 10).collect() == []
+
+
 def test_schema_diff(spark):
     before = spark.createDataFrame([(1, "a", 2)], "id int, name string, n int")
     after = spark.createDataFrame([(1, None, 2.0, "x")], "id int, name string, n double, extra string")
