@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -27,8 +28,24 @@ def drop_nulls(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def drop_duplicates(df: DataFrame, columns: list[str] | None, order: list[Column]) -> DataFrame:
-    """Keep the first row in ``order`` per key."""
-    return keep_first(df, columns or df.columns, order)
+    """Keep the first row in ``order`` per key.
+
+    Rows are dealt and sorted by two hashes of the key; the key itself, which may be a whole text, is compared only
+    where both are equal.
+    """
+    keys = columns or df.columns
+    hashes = {"__h1": F.xxhash64(*keys), "__h2": F.xxhash64(*keys, F.lit(1))}
+    return keep_first(df.withColumns(hashes), [*hashes, *keys], order).drop(*hashes)
+
+
+def schema_warnings(df: DataFrame, expected: dict[str, str]) -> list[str]:
+    """What a frame's columns lack or hold in another type than expected (column to type name)."""
+    found = dict(df.dtypes)
+    return [
+        f"column '{name}' is missing" if name not in found else f"column '{name}' is {found[name]}, expected {kind}"
+        for name, kind in expected.items()
+        if found.get(name) != kind
+    ]
 
 
 def clean(
@@ -37,8 +54,11 @@ def clean(
     strip_whitespace: bool = True,
     null_columns: list[str] | None = None,
     dedup_columns: list[str] | None = None,
+    expected: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Strip, then drop nulls, then keep the first copy."""
+    """Strip, then drop nulls, then keep the first copy. Differences from ``expected`` types are warned of, no more."""
+    for line in schema_warnings(df, expected or {}):
+        warnings.warn(line, stacklevel=2)
     out = strip_strings(df) if strip_whitespace else df
     if null_columns:
         out = drop_nulls(out, null_columns)

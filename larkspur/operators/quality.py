@@ -119,19 +119,25 @@ class Expectation:
         return c.isNotNull() & (low | high)
 
 
+def _repeated(df: DataFrame, column: str) -> DataFrame:
+    """How many rows hold a value that another row holds too.
+
+    Hashes are counted first; only rows whose hash occurs more than once are compared by value.
+    """
+    hashes = ["__h1", "__h2"]
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).alias("__value"))
+    named = values.withColumns({h: F.xxhash64("__value", F.lit(i)) for i, h in enumerate(hashes)})
+    twice = named.groupBy(*hashes).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select(*hashes)
+    counts = named.join(twice, hashes, "left_semi").groupBy(*hashes, "__value").agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") > 1).agg(F.coalesce(F.sum("n"), F.lit(0)))
+
+
 def expectations(df: DataFrame, suite: list[Expectation]) -> DataFrame:
     """One row per expectation: checked, failed and success, from one pass plus one per uniqueness check."""
     counters = []
     for i, e in enumerate(suite):
         if e.kind == "unique":
-            repeated = (
-                df.where(F.col(e.column).isNotNull())
-                .groupBy(e.column)
-                .agg(F.count(F.lit(1)).alias("n"))
-                .where(F.col("n") > 1)
-                .agg(F.coalesce(F.sum("n"), F.lit(0)))
-            )
-            counters.append((f"f{i}", repeated.scalar()))
+            counters.append((f"f{i}", _repeated(df, e.column).scalar()))
         else:
             counters.append((f"f{i}", None))
     aggs = [F.count_if(suite[i].failure()).alias(n) for i, (n, s) in enumerate(counters) if s is None]

@@ -308,3 +308,27 @@ def answer_entropy(t):
     rows = t.embeddings.withColumn("v", F.slice("embedding", 1, 6))
     out = clusters.answer_entropy(rows, "label", "vec_id", "v", eps=0.2, min_samples=3)
     return out.select("label", F.round("entropy", 6).alias("entropy"))
+
+
+@query(
+    "drifted_examples",
+    f"{OWN} SELECT vec_id, round(similarity, 6) AS similarity, substr(text, 1, 100) AS text FROM own JOIN documents ON doc_id = vec_id WHERE similarity < 0.3",
+)
+def drifted_examples(t):
+    """The drifted vectors of the regression with the beginnings of the documents of their numbers."""
+    texts = t.documents.select(F.col("doc_id").alias("vec_id"), "text")
+    out = evals.drifted_examples(_regression(t).join(texts, "vec_id"), ["text"])
+    return out.select("vec_id", F.round("similarity", 6).alias("similarity"), "text")
+
+
+@query(
+    "expansion_lines",
+    r"""WITH l AS (SELECT conv_id, turn, unnest(string_split('- ' || replace(text, '. ', chr(10) || ' - '), chr(10))) AS line FROM conversations),
+      c AS (SELECT conv_id, turn, regexp_replace(line, '^[\s\x{0b}\-]+|[\s\x{0b}\-]+$', '', 'g') AS line FROM l)
+      SELECT conv_id, turn, count(*) AS n, CAST(sum(length(line)) AS BIGINT) AS chars FROM c WHERE line <> '' GROUP BY 1, 2""",
+)
+def expansion_lines(t):
+    """Messages with a line for each sentence, marked as a list."""
+    text = F.concat(F.lit("- "), F.replace("text", F.lit(". "), F.lit("\n - ")))
+    lines = t.conversations.select("conv_id", "turn", F.explode(parsing.expansion_lines(text)).alias("line"))
+    return lines.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("line")).alias("chars"))

@@ -116,3 +116,13 @@ RULES = (("The", "The", True), ("Tion", "tion", False), ("Ment", "ment", False))
 )
 def graph_build(t):
     return graph.build_graph(t.documents, "text", RULES)[1]
+
+
+@query(
+    "graph_nodes",
+    """WITH h AS (SELECT contains(text, 'The') AS a, contains(lower(text), 'tion') AS b, contains(lower(text), 'ment') AS c FROM documents),
+      n AS (SELECT 'The' AS id, count(*) FILTER (WHERE a) AS texts FROM h UNION ALL SELECT 'Tion', count(*) FILTER (WHERE b) FROM h UNION ALL SELECT 'Ment', count(*) FILTER (WHERE c) FROM h)
+      SELECT id, texts, 'Concept' AS type FROM n WHERE texts > 0""",
+)
+def graph_nodes(t):
+    return graph.build_graph(t.documents, "text", RULES)[0]

@@ -279,3 +279,15 @@ def code_secret_scan(t):
     return found.select(
         "c_custkey", F.size("f").alias("findings"), F.exists("f", lambda m: m.startswith("Syntax Error")).alias("broken")
     )
+
+
+@query(
+    "prompt_clean",
+    r"""WITH c AS (SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN role || ' : ' ELSE '' END || text || CASE WHEN turn % 3 = 0 THEN ' <|im_end|>' ELSE ' ' END AS x FROM conversations)
+      SELECT conv_id, turn, regexp_replace(regexp_replace(regexp_replace(x, '\A(?i:system|assistant|user)\s*:', ''), '<\|[^|]+\|>', '', 'g'), '^[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]+|[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]+$', '', 'g') AS cleaned FROM c""",
+)
+def prompt_clean(t):
+    """Role prefixes and special tokens put around the messages are taken off again."""
+    head = F.when(F.col("turn") % 2 == 0, F.concat("role", F.lit(" : "))).otherwise("")
+    tail = F.when(F.col("turn") % 3 == 0, " <|im_end|>").otherwise(" ")
+    return t.conversations.select("conv_id", "turn", guards.prompt_sanitize(F.concat(head, "text", tail)).alias("cleaned"))

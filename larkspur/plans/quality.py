@@ -485,6 +485,45 @@ def silver_merge(t):
     return sinks.silver_merge(t.spark, incoming, root, "c_custkey", [F.desc("load_order")])
 
 
+@query(
+    "upsert_missing_ids",
+    """WITH b AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey AS VARCHAR) END AS id, row_number() OVER (ORDER BY c_custkey) - 1 AS pos, c_name FROM customer),
+      inc AS (SELECT coalesce(id, CAST(pos AS VARCHAR)) AS id, c_name, pos FROM b QUALIFY row_number() OVER (PARTITION BY coalesce(id, CAST(pos AS VARCHAR)) ORDER BY pos DESC) = 1)
+      SELECT id, c_name FROM inc UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name FROM supplier WHERE CAST(s_suppkey AS VARCHAR) NOT IN (SELECT id FROM inc)""",
+)
+def upsert_missing_ids(t):
+    """Customers, two in three without an id, upserted over suppliers: a missing id is the position in the batch."""
+    batch = t.customer.select(F.when(F.col("c_custkey") % 3 == 0, F.col("c_custkey").cast("string")).alias("id"), "c_name", "c_custkey")
+    named = sinks.key_or_position(batch, "id", [F.col("c_custkey")], F.floor(F.col("c_custkey") / 4096))
+    existing = t.supplier.select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("c_name"))
+    return sinks.upsert_by_key(existing, named, "id", [F.desc("c_custkey")])
+
+
+@query("clear_table", "SELECT count(*) AS n, count(*) FILTER (WHERE c_custkey % 2 = 0) AS again FROM customer")
+def clear_table(t):
+    """A keyed table written, cleared and written again with other rows."""
+    root = work_path(t.spark, "cleared")
+    rows = t.customer.select("c_custkey", "c_name")
+    n = sinks.silver_merge(t.spark, rows, root, "c_custkey", [F.col("c_name")]).count()
+    sinks.clear(t.spark, root)
+    again = sinks.silver_merge(t.spark, rows.where("c_custkey % 2 = 0"), root, "c_custkey", [F.col("c_name")])
+    return again.agg(F.lit(n).cast("bigint").alias("n"), F.count(F.lit(1)).alias("again"))
+
+
+@query(
+    "nested_bounds",
+    """SELECT l_orderkey, l_linenumber, CASE WHEN over AND off THEN 'item above cap,total differs from sum' WHEN over THEN 'item above cap' WHEN off THEN 'total differs from sum' ELSE '' END AS errors
+      FROM (SELECT l_orderkey, l_linenumber, l_quantity > 40 OR l_discount * 1000 > 40 OR l_tax * 1000 > 40 AS over,
+                   abs(l_quantity + l_discount * 1000 + l_tax * 1000 - l_linenumber * 30.0) > 20.0 AS off FROM lineitem)""",
+)
+def nested_bounds(t):
+    """Three amounts of a line as its nested items: one above the cap, or a total that is not their sum."""
+    amounts = [F.col("l_quantity"), F.col("l_discount") * 1000, F.col("l_tax") * 1000]
+    items = F.array(*[F.struct(a.alias("hours")) for a in amounts])
+    found = quality.nested_total_errors(items, "hours", F.col("l_linenumber") * 30.0, 40, 20.0)
+    return t.lineitem.select("l_orderkey", "l_linenumber", F.array_join(found, ",").alias("errors"))
+
+
 @query(
     "delete_by_key",
     "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')",

@@ -107,10 +107,10 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows of a scan over all cores when its files give fewer partitions than cores.
+    """Rows of a scan over all cores when its files give them far fewer partitions than there are cores.
 
-    For work that is heavy per row. A scan that already fills the cluster, as any
-    large table does, is returned as it is: no shuffle.
+    For work that is heavy per row. Only a scan that would leave three quarters of the cores idle is shuffled; any
+    other, as any large table is, is returned as it is.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want, *keys) if df.rdd.getNumPartitions() < want else df
+    return df.repartition(want, *keys) if df.rdd.getNumPartitions() * 4 <= want else df

@@ -208,6 +208,11 @@ def merge_buckets(
     return spark.read.schema(staged.schema).parquet(root).drop(column) if filled or _partitions(spark, root, column) else staged.drop(column)
 
 
+def clear(spark: SparkSession, root: str) -> None:
+    """Empty a keyed table; the next merge makes it anew."""
+    _remove(spark, root)
+
+
 def publish(df: DataFrame, root: str, keep: int = 2) -> DataFrame:
     """Write the rows as the next ``version`` partition; readers take the last one, so they change over at once.
 
