@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.functions.text import let
+from larkspur.session import cut_lineage
 
 # Weight of field classes A to D.
 FIELD_WEIGHTS = {"A": 1.0, "B": 0.4, "C": 0.2, "D": 0.1}
@@ -188,7 +189,8 @@ def web_search(
     """A page of the rows that match a search string: ``key``, rank, headline, total.
 
     ``fields`` maps a text column to its class A to D. Rank is the cover density; equal ranks go by key. A query
-    without a word, and a page beyond the last, are empty. Texts are split once; nothing is shuffled but the page.
+    without a word, and a page beyond the last, are empty. Texts are split and judged once; key, hash and rank of the
+    matches are written, the page is taken from these, and headlines are made for its rows.
     """
     alternatives = web_query(query)
     terms = list(dict.fromkeys(t for c in alternatives for t in (*c.wanted, *c.unwanted)))
@@ -212,10 +214,15 @@ def web_search(
     words = sorted({w for c in alternatives for t in c.wanted for w in t}, key=lambda w: (-len(w), w))
     text = F.concat_ws(" | ", *[F.col(f) for f in fields])
     shown = headline(text, [re.escape(w) for w in words], max_words) if words else text
-    ranked = found.select(key, *[f for f in fields if f != key], F.round("m.rank", 9).alias("rank"))
-    total = found.agg(F.count(F.lit(1))).scalar()
-    best = ranked.orderBy(F.desc("rank"), key).offset((page - 1) * page_size).limit(page_size)
-    return best.select(key, "rank", shown.alias("headline"), total.alias("total"))
+    row = F.xxhash64(*fields).alias("__row")
+    ranked = cut_lineage(found.select(key, row, F.round("m.rank", 9).alias("rank")), "search-ranks")
+    order = [F.desc("rank"), F.col(key)]
+    best = ranked.orderBy(*order, "__row").offset((page - 1) * page_size).limit(page_size)
+    # The texts of the page only: its rows, at most ``page_size``, are sent to them.
+    names = [key, "__row"]
+    texts = df.select(key, row, shown.alias("headline")).join(F.broadcast(best.select(names).distinct()), names, "left_semi").dropDuplicates(names)
+    total = ranked.agg(F.count(F.lit(1))).scalar()
+    return best.join(texts, names).orderBy(*order).select(key, "rank", "headline", total.alias("total"))
 
 
 def headline(text: Column, terms: list[str], max_words: int = 50) -> Column:
