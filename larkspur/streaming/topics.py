@@ -48,8 +48,12 @@ def decoded(messages: DataFrame, schema: T.StructType, value: str = "value") ->
     return messages.select(parsed.alias("m")).select("m.*")
 
 
-#: State on local disk with changes in the checkpoint: for keys that are kept long, and for keyed state with timers.
-ROCKSDB = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+#: State on local disk, saved in the checkpoint: for keys that are kept long, and for keyed state with timers. A job
+#: that runs to its end and stops leaves no open stores behind.
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 
 
 @contextmanager
