@@ -54,19 +54,19 @@ def ingest_documents(t):
 
 @query(
     "ingest_corpus",
-    f"""WITH lines AS (SELECT doc_id, {strip_sql("doc_id || ': ' || coalesce(text, '')")} AS text FROM documents),
-      ch AS (SELECT doc_id, CAST(i AS INT) AS chunk_index, substr(text, i * 800 + 1, 1000) AS chunk FROM lines, unnest(generate_series(0, (length(text) - 1) // 800)) AS g(i) WHERE length(text) > 0)
-      SELECT substr(sha256(chunk), 1, 16) AS chunk_id, doc_id, chunk_index FROM ch QUALIFY row_number() OVER (PARTITION BY chunk ORDER BY doc_id DESC, chunk_index DESC) = 1""",
+    f"""WITH t AS (SELECT item_id, {strip_sql("coalesce(text, '')")} AS text FROM benchmark),
+      ch AS (SELECT item_id, CAST(i AS INT) AS chunk_index, substr(text, i * 80 + 1, 100) AS chunk FROM t, unnest(generate_series(0, (length(text) - 1) // 80)) AS g(i) WHERE length(text) > 0)
+      SELECT substr(sha256(chunk), 1, 16) AS chunk_id, item_id, chunk_index FROM ch QUALIFY row_number() OVER (PARTITION BY chunk ORDER BY item_id DESC, chunk_index DESC) = 1""",
 )
 def ingest_corpus(t):
-    """Documents as text files, scanned, stripped, cut, named and upserted into a keyed table: one run from files to the index."""
+    """Benchmark items as text files, scanned, stripped, cut, named and upserted into a keyed table: one run from files to the index."""
     base = work_path(t.spark, "corpus")
-    body = F.concat(F.col("doc_id").cast("string"), F.lit(": "), F.coalesce("text", F.lit("")))
-    t.documents.select("doc_id", body.alias("value")).write.partitionBy("doc_id").text(f"{base}/files")
+    t.benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("value")).write.partitionBy("item_id").text(f"{base}/files")
     good, _ = files.read_corpus(t.spark, f"{base}/files", "*.txt")
-    docs = good.select(F.regexp_extract("path", "doc_id=([0-9]+)/", 1).cast("bigint").alias("doc_id"), tx.strip(F.col("text")).alias("text"), F.lit("corpus").alias("source"))
-    rows = chunks.ingest(docs, "text", "source").select("chunk_id", "doc_id", "chunk_index")
-    return sinks.silver_merge(t.spark, rows, f"{base}/index", "chunk_id", [F.desc("doc_id"), F.desc("chunk_index")])
+    item = F.regexp_extract("path", "item_id=([0-9]+)/", 1).cast("bigint").alias("item_id")
+    docs = good.select(item, tx.strip(F.col("text")).alias("text"), F.lit("corpus").alias("source"))
+    rows = chunks.ingest(docs, "text", "source", 100, 20).select("chunk_id", "item_id", "chunk_index")
+    return sinks.silver_merge(t.spark, rows, f"{base}/index", "chunk_id", [F.desc("item_id"), F.desc("chunk_index")])
 
 
 @query(

@@ -13,7 +13,8 @@ from larkspur.streaming import cache, chain, tables, topics
 
 
 def stream_of(t, name):
-    return topics.read_files(t.spark, t.sf_dir, getattr(t, name).schema, glob=f"{name}.parquet")
+    """A table as a stream; the pattern stands for one file as for a folder of files."""
+    return topics.read_files(t.spark, f"{t.sf_dir}/{name}.parque[t]", getattr(t, name).schema)
 
 
 MESSAGE = T.StructType(

@@ -88,10 +88,15 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if it is there."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
 def remove_work(spark: SparkSession) -> None:
     """Remove what the application has written as intermediate data, once no result that reads it is needed."""
-    there = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
-    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+    remove(spark, work_dir(spark))
 
 
 def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
@@ -106,6 +111,27 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one piece of work: written like ``cut_lineage`` does, removed when the work is done."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def cut(self, df: DataFrame, label: str = "cut") -> DataFrame:
+        path = work_path(self.spark, label)
+        self.paths.append(path)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            remove(self.spark, path)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Rows of a scan over all cores when its files give them far fewer partitions than there are cores.
 

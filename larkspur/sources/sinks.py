@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.operators.ordered import keep_first
-from larkspur.session import cut_lineage
+from larkspur.session import Scratch, remove
 from larkspur.sources.files import format_of
 
 
@@ -147,11 +147,6 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in system.listStatus(there)) if system.exists(there) else []
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    there = spark._jvm.org.apache.hadoop.fs.Path(path)
-    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
-
-
 def _partitions(spark: SparkSession, root: str, column: str) -> list[int]:
     """Values of the partition column of a table of plain Parquet files, from the names of its folders."""
     return sorted(int(c.split("=")[1]) for c in _children(spark, root) if c.startswith(f"{column}="))
@@ -190,27 +185,30 @@ def merge_buckets(
     if any(c.startswith("bucket_of_") and not c.startswith(f"{column}=") for c in _children(spark, root)):
         raise ValueError(f"{root} has another number of buckets than {buckets}")
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-    incoming = cut_lineage(incoming, "incoming")
-    touched = sorted(r[0] for r in incoming.select(bucket).distinct().collect())  # at most one row per bucket
-    stored = None
-    if _partitions(spark, root, column):
-        stored = spark.read.parquet(root).where(F.col(column).isin(touched))
-    held = set(stored.inputFiles()) if stored is not None else set()
-    merged = merge(None if stored is None else stored.drop(column), incoming).withColumn(column, bucket)
-    staged = cut_lineage(merged.repartition(column), "merged")
-    filled = {r[0] for r in staged.select(column).distinct().collect()}
-    if stored is not None and set(spark.read.parquet(root).where(F.col(column).isin(touched)).inputFiles()) != held:
-        raise RuntimeError(f"another writer has changed {root} meanwhile")
-    if filled:
-        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(root)
-    for gone in set(touched) - filled:
-        _remove(spark, f"{root}/{column}={gone}")
-    return spark.read.schema(staged.schema).parquet(root).drop(column) if filled or _partitions(spark, root, column) else staged.drop(column)
+    with Scratch(spark) as scratch:
+        incoming = scratch.cut(incoming, "incoming")
+        touched = sorted(r[0] for r in incoming.select(bucket).distinct().collect())  # at most one row per bucket
+        stored = None
+        if _partitions(spark, root, column):
+            stored = spark.read.parquet(root).where(F.col(column).isin(touched))
+        held = set(stored.inputFiles()) if stored is not None else set()
+        merged = merge(None if stored is None else stored.drop(column), incoming).withColumn(column, bucket)
+        staged = scratch.cut(merged.repartition(column), "merged")
+        filled = {r[0] for r in staged.select(column).distinct().collect()}
+        if stored is not None and set(spark.read.parquet(root).where(F.col(column).isin(touched)).inputFiles()) != held:
+            raise RuntimeError(f"another writer has changed {root} meanwhile")
+        if filled:
+            staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(root)
+        for gone in set(touched) - filled:
+            remove(spark, f"{root}/{column}={gone}")
+    if not _partitions(spark, root, column):
+        return spark.createDataFrame([], staged.schema).drop(column)
+    return spark.read.schema(staged.schema).parquet(root).drop(column)
 
 
 def clear(spark: SparkSession, root: str) -> None:
     """Empty a keyed table; the next merge makes it anew."""
-    _remove(spark, root)
+    remove(spark, root)
 
 
 def publish(df: DataFrame, root: str, keep: int = 2) -> DataFrame:
@@ -227,7 +225,7 @@ def publish(df: DataFrame, root: str, keep: int = 2) -> DataFrame:
     if not seen.get["rows"]:
         raise ValueError(f"an empty table was not published at {root}")
     for old in _partitions(spark, root, "version")[:-keep]:
-        _remove(spark, f"{root}/version={old}")
+        remove(spark, f"{root}/version={old}")
     return read_current(spark, root)
 
 

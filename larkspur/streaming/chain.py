@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from larkspur.session import cut_lineage
+from larkspur.session import Scratch
 from larkspur.sources import sinks
 from larkspur.streaming import topics
 
@@ -98,7 +98,9 @@ def upload(docs: DataFrame, key: str, root: str, now: datetime, version: int = 1
     put_events(rows.withColumns({"step": F.lit(None), "error": F.lit(None), "ts": at}), root, f"upload-{version}-{now:%Y%m%d%H%M%S}")
 
 
-def _work(due: DataFrame, fetch: Callable[[DataFrame], DataFrame], steps: list[Step], root: str, batch_id: int) -> tuple[DataFrame, DataFrame | None]:
+def _work(
+    due: DataFrame, fetch: Callable[[DataFrame], DataFrame], steps: list[Step], root: str, batch_id: int, scratch: Scratch
+) -> tuple[DataFrame, DataFrame | None]:
     """Do the tries that are due: the outcomes (doc_id, event, version, step, error) and the rows for the index."""
     spark = due.sparkSession
     outcomes, carried = [], None
@@ -115,9 +117,9 @@ def _work(due: DataFrame, fetch: Callable[[DataFrame], DataFrame], steps: list[S
             rows = carried if rows is None else rows.select(*carried.columns).unionByName(carried)
         if rows is None:
             continue
-        done = cut_lineage(step(rows), f"chain-{name}")
+        done = scratch.cut(step(rows), f"chain-{name}")
         failed = done.where(F.col("error").isNotNull()).groupBy("doc_id", "version").agg(F.min("error").alias("error"))
-        failed = cut_lineage(failed.withColumns({"event": F.lit("failed"), "step": F.lit(name)}), "chain-failed")
+        failed = scratch.cut(failed.withColumns({"event": F.lit("failed"), "step": F.lit(name)}), "chain-failed")
         outcomes.append(failed)
         if place:  # what a document failed with at the first try is where the next one begins
             again = rows.where("try_number = 1").join(failed.select("doc_id", "version"), ["doc_id", "version"], "left_semi")
@@ -155,22 +157,22 @@ def run_chain(
         return docs.withColumnRenamed(key, "doc_id").join(mine, "doc_id")
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        batch = cut_lineage(batch, "chain-due")
-        status = batch.where("kind <> 'try'").select("doc_id", F.col("kind").alias("target"), "step", "tries", "error")
-        if not status.isEmpty():
-            sinks.silver_merge(spark, status, f"{root}/status", "doc_id", [F.desc("tries"), F.col("target")])
-        due = batch.where("kind = 'try'")
-        if due.isEmpty():
-            return
-        outcomes, rows = _work(due, fetch, steps, root, batch_id)
-        tried = due.select("doc_id").distinct()
-
-        def replace(stored: DataFrame | None, keys: DataFrame) -> DataFrame:
-            old = None if stored is None else sinks.delete_by_key(stored, keys, "doc_id")
-            return rows if old is None else old.select(*rows.columns).unionByName(rows)
-
-        sinks.merge_buckets(spark, f"{root}/index", "doc_id", tried, replace)
-        put_events(outcomes.withColumn("ts", F.timestamp_seconds(F.lit(at + 1))), root, f"outcome-{batch_id}")
+        with Scratch(spark) as scratch:
+            batch = scratch.cut(batch, "chain-due")
+            status = batch.where("kind <> 'try'").select("doc_id", F.col("kind").alias("target"), "step", "tries", "error")
+            if not status.isEmpty():
+                sinks.silver_merge(spark, status, f"{root}/status", "doc_id", [F.desc("tries"), F.col("target")])
+            due = batch.where("kind = 'try'")
+            if due.isEmpty():
+                return
+            outcomes, rows = _work(due, fetch, steps, root, batch_id, scratch)
+
+            def replace(stored: DataFrame | None, keys: DataFrame) -> DataFrame:
+                old = None if stored is None else sinks.delete_by_key(stored, keys, "doc_id")
+                return rows if old is None else old.select(*rows.columns).unionByName(rows)
+
+            sinks.merge_buckets(spark, f"{root}/index", "doc_id", due.select("doc_id").distinct(), replace)
+            put_events(outcomes.withColumn("ts", F.timestamp_seconds(F.lit(at + 1))), root, f"outcome-{batch_id}")
 
     events = topics.read_files(spark, f"{root}/events/*", EVENT).withWatermark("ts", "0 seconds")
     states = events.groupBy("doc_id").transformWithState(Attempts(steps[0][0], most, backoff_seconds * 1000), DUE, "Update", "EventTime")

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from larkspur.operators import chunks
 from larkspur.operators.ordered import first_n, keep_first
-from larkspur.session import cut_lineage
+from larkspur.session import Scratch
 from larkspur.sources import sinks
 from larkspur.streaming.topics import run_to_end
 
@@ -38,22 +38,23 @@ def ingest_stream(
     """
 
     def index(batch: DataFrame, batch_id: int) -> None:
-        order = [F.desc(version)] if version else []
-        batch = cut_lineage(keep_first(batch, [key], [*order, F.desc_nulls_last(text)]), "batch")
-        fresh = chunks.ingest(batch.where(F.col(text).isNotNull()), text, source)
-        failed = batch.where(F.col(text).isNull()).select(F.col(key).cast("string").alias("key"), F.lit("no text").alias("reason"))
-        if embed:
-            fresh = cut_lineage(embed(fresh), "embedded")
-            failed = failed.unionAll(
-                fresh.where(F.col("vector").isNull()).select(F.col(key).cast("string"), F.lit("no vector")).distinct()
-            )
-            fresh = fresh.where(F.col("vector").isNotNull())
-        failed.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
-
-        def replace(stored: DataFrame | None, keys: DataFrame) -> DataFrame:
-            return fresh if stored is None else sinks.delete_by_key(stored, keys, key).select(*fresh.columns).unionByName(fresh)
-
-        sinks.merge_buckets(batch.sparkSession, root, key, batch.select(key), replace)
+        with Scratch(batch.sparkSession) as scratch:
+            order = [F.desc(version)] if version else []
+            batch = scratch.cut(keep_first(batch, [key], [*order, F.desc_nulls_last(text)]), "batch")
+            fresh = chunks.ingest(batch.where(F.col(text).isNotNull()), text, source)
+            failed = batch.where(F.col(text).isNull()).select(F.col(key).cast("string").alias("key"), F.lit("no text").alias("reason"))
+            if embed:
+                fresh = scratch.cut(embed(fresh), "embedded")
+                failed = failed.unionAll(
+                    fresh.where(F.col("vector").isNull()).select(F.col(key).cast("string"), F.lit("no vector")).distinct()
+                )
+                fresh = fresh.where(F.col("vector").isNotNull())
+            failed.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+
+            def replace(stored: DataFrame | None, keys: DataFrame) -> DataFrame:
+                return fresh if stored is None else sinks.delete_by_key(stored, keys, key).select(*fresh.columns).unionByName(fresh)
+
+            sinks.merge_buckets(batch.sparkSession, root, key, batch.select(key), replace)
 
     return run_to_end(docs, index, checkpoint)
 
