@@ -6,6 +6,9 @@ six digits at the end.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -214,16 +217,21 @@ def daily_budget(log: DataFrame, tenant: str, day: str, order: list[str], tokens
     ranked = first_n(sized, [tenant, day, tokens], [F.col(c) for c in order], limit, rank="__r")
     candidates = ranked.where(F.col("__r") * F.col(tokens) <= limit).drop("__r")
 
-    def admit(rows):
-        rows = rows.sort_values(order)
-        left, keep = limit, []
-        for size in rows[tokens].to_numpy():
-            fits = size <= left
-            left -= size if fits else 0
-            keep.append(bool(fits))
-        return rows[keep]
-
-    admitted = candidates.groupBy(tenant, day).applyInPandas(admit, candidates.schema)
+    def admit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, left = None, limit
+        for batch in batches:
+            kept = []
+            for key in zip(*[batch[c].to_pylist() for c in (tenant, day, tokens)]):
+                if key[:2] != now:
+                    now, left = key[:2], limit
+                fits = key[2] <= left
+                left -= key[2] if fits else 0
+                kept.append(fits)
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    # Rows of a tenant's day follow one another in a task; only what is left of the budget is held.
+    sorted_ = candidates.repartition(tenant, day).sortWithinPartitions(tenant, day, *order)
+    admitted = sorted_.mapInArrow(admit, candidates.schema)
     # Requests of no or unknown size use nothing and always fit.
     return admitted.unionByName(log.where(F.coalesce(F.col(tokens), F.lit(0)) <= 0))
 
