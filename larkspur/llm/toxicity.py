@@ -45,12 +45,15 @@ THRESHOLD = 0.3
 #: Characters of a text that are folded and scanned at once.
 PIECE = 1 << 18
 
-#: General lexicon with weights, and phrases in which its words are harmless.
+#: General lexicon with weights (folded, in the languages of the corpus; fixed values), and phrases in which its words are harmless.
 GENERAL = {
     "idiot": 2.0, "idiots": 2.0, "moron": 2.5, "morons": 2.5, "imbecile": 2.5, "stupid": 2.0, "dumb": 1.5, "loser": 2.0, "losers": 2.0,
     "scum": 2.5, "scumbag": 3.0, "trash": 1.5, "garbage": 1.0, "worthless": 2.0, "pathetic": 2.0, "disgusting": 2.0, "clown": 1.5, "clowns": 1.5,
     "vermin": 2.5, "filth": 2.0, "filthy": 1.5, "freak": 1.5, "pig": 1.0, "bastard": 3.0, "bitch": 3.0, "asshole": 3.0, "shit": 2.0, "fuck": 3.0,
     "fucking": 3.0, "crap": 1.5, "retard": 3.0, "whore": 3.0, "slut": 3.0, "dickhead": 3.0, "jerk": 1.5, "degenerate": 2.0, "parasite": 1.5, "hate": 1.0,
+    "dummkopf": 2.0, "trottel": 2.0, "arschloch": 3.0, "scheiße": 2.0, "scheisse": 2.0, "hurensohn": 3.0, "wichser": 3.0, "abschaum": 2.5, "vollidiot": 2.5, "schlampe": 3.0,
+    "connard": 3.0, "connasse": 3.0, "salope": 3.0, "merde": 2.0, "abruti": 2.0, "cretin": 2.0, "encule": 3.0, "batard": 2.5, "pute": 3.0, "ordure": 1.5,
+    "idiota": 2.0, "idiotas": 2.0, "imbecil": 2.5, "estupido": 2.0, "estupida": 2.0, "gilipollas": 3.0, "cabron": 3.0, "puta": 3.0, "mierda": 2.0, "escoria": 2.5, "pendejo": 2.5,
 }
 EXCEPTIONS = (
     "trash can", "trash cans", "trash bin", "trash collection", "trash bag", "garbage collector", "garbage collection", "garbage truck", "clown fish",

@@ -90,7 +90,7 @@ def lexicon(spark, big_dir):
     return toxicity.learned(*(spark.read.parquet(f"{big_dir}/{t}.parquet") for t in ("documents", "labels")))
 
 
-@pytest.mark.parametrize("text", ["you 1d10t", "you IDІOT", "you st​upid man", "what tr@sh", "a $tupid one", "ｍｏｒｏｎ", "you m0r0n!", "pаthetic lоser", "idiót"])
+@pytest.mark.parametrize("text", ["you 1d10t", "you IDІOT", "you st​upid man", "what tr@sh", "a $tupid one", "ｍｏｒｏｎ", "you m0r0n!", "pаthetic lоser", "idiót", "du Arschl0ch", "quel connard", "eres un est\u00fapido", "Schei\u00dfe", "b\u00e2tard!"])
 def test_disguised_words(lexicon, text):
     found = toxicity.automaton(lexicon)
     assert toxicity.score(text, found, lexicon.curve) >= 0.3
