@@ -116,6 +116,16 @@ def orc_scan(t):
     return _format_round_trip(t, "orc")
 
 
+@query(
+    "source_schema",
+    """SELECT column_name AS name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE 'string' END AS type,
+             "null" = 'YES' AS nullable FROM (DESCRIBE orders)""",
+)
+def source_schema(t):
+    """The columns of a file source without reading its rows."""
+    return files.describe_source(t.spark, t.path("orders"))
+
+
 @query(
     "read_corpus",
     """SELECT lang, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS n_bytes FROM documents GROUP BY 1""",
