@@ -124,6 +124,11 @@ class Scratch:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, path: str) -> None:
+        """Remove one of the tables before the end."""
+        self.paths.remove(path)
+        remove(self.spark, path)
+
     def __enter__(self) -> Scratch:
         return self
 

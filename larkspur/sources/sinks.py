@@ -175,11 +175,11 @@ def merge_buckets(
     """Replace the rows of the buckets that incoming keys fall into by ``merge(their rows, incoming)``.
 
     The table is Parquet, partitioned by a hash of the key; reading prunes to the buckets, and a staged copy of the
-    result replaces their partitions (dynamic partition overwrite). ``merge`` gets None for a table that does not
-    exist yet. A job that fails before its end leaves the table as it was, and one repeated with the same rows gives
-    the same table. One writer at a time: a bucket that another one has changed meanwhile is an error, and nothing is
-    written. Many writers need a table format with row-level changes (``merge_into_table``). The number of buckets
-    of a table stays as it was first given.
+    result replaces their partitions (dynamic partition overwrite); the first rows are written at once. ``merge`` gets
+    None for a table that does not exist yet. A job that fails before its end leaves the table as it was, and one
+    repeated with the same rows gives the same table. One writer at a time: a bucket that another one has changed
+    meanwhile is an error, and nothing is written. Many writers need a table format with row-level changes
+    (``merge_into_table``). The number of buckets of a table stays as it was first given.
     """
     column = bucket_column(buckets)
     if any(c.startswith("bucket_of_") and not c.startswith(f"{column}=") for c in _children(spark, root)):
@@ -192,18 +192,23 @@ def merge_buckets(
         if _partitions(spark, root, column):
             stored = spark.read.parquet(root).where(F.col(column).isin(touched))
         held = set(stored.inputFiles()) if stored is not None else set()
-        merged = merge(None if stored is None else stored.drop(column), incoming).withColumn(column, bucket)
-        staged = scratch.cut(merged.repartition(column), "merged")
-        filled = {r[0] for r in staged.select(column).distinct().collect()}
-        if stored is not None and set(spark.read.parquet(root).where(F.col(column).isin(touched)).inputFiles()) != held:
-            raise RuntimeError(f"another writer has changed {root} meanwhile")
-        if filled:
-            staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(root)
+        merged = merge(None if stored is None else stored.drop(column), incoming).withColumn(column, bucket).repartition(column)
+        writer = lambda rows: rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column)
+        if stored is None:  # nothing is read that the write replaces
+            writer(merged).parquet(root)
+            filled = set(touched)
+        else:
+            merged = scratch.cut(merged, "merged")
+            filled = {r[0] for r in merged.select(column).distinct().collect()}
+            if set(spark.read.parquet(root).where(F.col(column).isin(touched)).inputFiles()) != held:
+                raise RuntimeError(f"another writer has changed {root} meanwhile")
+            if filled:
+                writer(merged).parquet(root)
         for gone in set(touched) - filled:
             remove(spark, f"{root}/{column}={gone}")
     if not _partitions(spark, root, column):
-        return spark.createDataFrame([], staged.schema).drop(column)
-    return spark.read.schema(staged.schema).parquet(root).drop(column)
+        return spark.createDataFrame([], merged.schema).drop(column)
+    return spark.read.schema(merged.schema).parquet(root).drop(column)
 
 
 def clear(spark: SparkSession, root: str) -> None:

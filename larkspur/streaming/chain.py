@@ -103,7 +103,7 @@ def _work(
 ) -> tuple[DataFrame, DataFrame | None]:
     """Do the tries that are due: the outcomes (doc_id, event, version, step, error) and the rows for the index."""
     spark = due.sparkSession
-    outcomes, carried = [], None
+    outcomes, carried, before = [], None, None
     for place, (name, step) in enumerate(steps):
         mine = due.where(F.col("step") == name).select("doc_id", "version", F.col("tries").alias("try_number"))
         kept = f"{root}/kept/{name}"
@@ -118,12 +118,16 @@ def _work(
         if rows is None:
             continue
         done = scratch.cut(step(rows), f"chain-{name}")
+        written = scratch.paths[-1]
         failed = done.where(F.col("error").isNotNull()).groupBy("doc_id", "version").agg(F.min("error").alias("error"))
         failed = scratch.cut(failed.withColumns({"event": F.lit("failed"), "step": F.lit(name)}), "chain-failed")
         outcomes.append(failed)
         if place:  # what a document failed with at the first try is where the next one begins
             again = rows.where("try_number = 1").join(failed.select("doc_id", "version"), ["doc_id", "version"], "left_semi")
             again.write.mode("overwrite").parquet(f"{kept}/batch_id={batch_id}")
+        if before:  # what the step before made has been read for the last time
+            scratch.drop(before)
+        before = written
         good = done.join(failed.select("doc_id", "version"), ["doc_id", "version"], "left_anti").drop("error")
         carried = good.withColumn("try_number", F.lit(1))
     last = steps[-1][0]
