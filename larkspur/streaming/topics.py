@@ -53,6 +53,9 @@ def decoded(messages: DataFrame, schema: T.StructType, value: str = "value") ->
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+    # one bound for all stores of an executor, whatever their number
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
 }
 
 
