@@ -26,7 +26,11 @@ from larkspur.operators.ordered import first_n
 SHIP_BYTES = 100 << 20
 QUERY_BLOCK_BYTES = 32 << 20
 CORPUS_BLOCK_BYTES = 64 << 20
+# Scores and queries of one matrix product, rows of the first one, and rows that a task has at least when queries are shipped.
 CELLS = 4_000_000
+QUERY_STEP = 1024
+FIRST_ROWS = 256
+TASK_ROWS = 8192
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -36,53 +40,89 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
-def _scores(queries: np.ndarray, rows: np.ndarray, metric: str) -> np.ndarray:
+def _raw(queries: np.ndarray, rows: np.ndarray, metric: str) -> np.ndarray:
+    """Scores before rounding."""
     if metric == "cosine":
-        lengths = np.outer(np.linalg.norm(queries, axis=1), np.linalg.norm(rows, axis=1))
-        products = queries @ rows.T
-        out = np.divide(products, lengths, out=np.zeros_like(products), where=lengths > 0)
-    elif metric == "l2sq":
+        return _directions(queries) @ _directions(rows).T
+    if metric == "l2sq":
         distance = (queries**2).sum(1)[:, None] + (rows**2).sum(1)[None, :] - 2 * queries @ rows.T
-        out = 1.0 - np.maximum(distance, 0.0)
-    else:
-        raise ValueError(f"metric: {metric}")
-    return np.round(out, SCORE_DIGITS)
+        return 1.0 - np.maximum(distance, 0.0)
+    raise ValueError(f"metric: {metric}")
+
+
+def _directions(vectors: np.ndarray) -> np.ndarray:
+    """The vectors in length 1; zero where the length is 0 or unknown."""
+    lengths = np.linalg.norm(vectors, axis=1, keepdims=True)
+    known = np.broadcast_to(lengths > 0, vectors.shape)
+    return np.divide(vectors, lengths, out=np.zeros_like(vectors), where=known)
+
+
+def _scores(queries: np.ndarray, rows: np.ndarray, metric: str) -> np.ndarray:
+    return np.round(_raw(queries, rows, metric), SCORE_DIGITS)
 
 
 class _Best:
-    """The k best (query, id, score) triples seen so far, ties by id."""
+    """The k best (query, id, score) triples of ``n`` queries seen so far, ties by id."""
 
-    def __init__(self, k: int, at_least: float | None):
+    def __init__(self, k: int, at_least: float | None, n: int):
         self.k, self.at_least = k, at_least
         self.query = np.empty(0, np.int64)
         self.row_id = None
         self.score = np.empty(0)
+        self.edge = np.full(n, -np.inf)  # the k-th best score of a query that has k
 
-    def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
-        if scores.size == 0:
+    def add(self, raw: np.ndarray, ids: np.ndarray) -> None:
+        """Scores before rounding; only those that can be among the best are rounded and sorted."""
+        if raw.size == 0:
             return
-        if scores.shape[1] > self.k:
-            edge = -np.partition(-scores, self.k - 1, axis=1)[:, self.k - 1]
-            keep = scores >= edge[:, None]
+        if raw.shape[1] > self.k:
+            edge = self.edge
+            if np.isneginf(edge).any():
+                edge = np.maximum(edge, -np.partition(-raw, self.k - 1, axis=1)[:, self.k - 1])
+            q, r = np.nonzero(raw >= (edge - 10.0**-SCORE_DIGITS)[:, None])
         else:
-            keep = np.ones_like(scores, dtype=bool)
+            q, r = np.nonzero(np.ones_like(raw, dtype=bool))
+        scores = np.round(raw[q, r], SCORE_DIGITS)
         if self.at_least is not None:
-            keep &= scores >= self.at_least
-        q, r = np.nonzero(keep)
+            enough = scores >= self.at_least
+            q, r, scores = q[enough], r[enough], scores[enough]
+        if not len(q):
+            return
         query = np.concatenate([self.query, q])
         row_id = ids[r] if self.row_id is None else np.concatenate([self.row_id, ids[r]])
-        score = np.concatenate([self.score, scores[q, r]])
+        score = np.concatenate([self.score, scores])
         order = np.lexsort((row_id, -score, query))
         query, row_id, score = query[order], row_id[order], score[order]
-        starts = np.searchsorted(query, query, side="left")
-        top = np.arange(len(query)) - starts < self.k
+        place = np.arange(len(query)) - np.searchsorted(query, query, side="left")
+        top, last = place < self.k, place == self.k - 1
         self.query, self.row_id, self.score = query[top], row_id[top], score[top]
+        self.edge[query[last]] = np.where(np.isnan(score[last]), -np.inf, score[last])
+
+    def result(self, query_ids: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
+        ids = self.row_id if self.row_id is not None else np.empty(0, np.int64)
+        columns = [query_ids[self.query], ids, self.score]
+        return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def _scan(best: _Best, queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, metric: str) -> None:
-    step = max(1, CELLS // max(1, len(queries)))
-    for at in range(0, len(rows), step):
-        best.add(_scores(queries, rows[at : at + step], metric), ids[at : at + step])
+class _Search:
+    """Queries, in blocks, against rows that come bit by bit."""
+
+    def __init__(self, query_ids: np.ndarray, queries: np.ndarray, k: int, at_least: float | None, metric: str):
+        self.metric = metric
+        cuts = [slice(at, at + QUERY_STEP) for at in range(0, len(queries), QUERY_STEP)]
+        self.blocks = [(query_ids[c], queries[c], _Best(k, at_least, len(queries[c]))) for c in cuts]
+
+    def scan(self, rows: np.ndarray, ids: np.ndarray) -> None:
+        for _, queries, best in self.blocks:
+            most, at = max(1, CELLS // len(queries)), 0
+            # A few rows first: what they leave out of the rest need not be sorted.
+            step = min(most, max(FIRST_ROWS, 8 * best.k)) if np.isneginf(best.edge).any() else most
+            while at < len(rows):
+                best.add(_raw(queries, rows[at : at + step], self.metric), ids[at : at + step])
+                at, step = at + step, min(most, 4 * step)
+
+    def results(self, schema: pa.Schema) -> list[pa.RecordBatch]:
+        return [best.result(query_ids, schema) for query_ids, _, best in self.blocks]
 
 
 def _vectors(df: DataFrame, id_col: str, vec_col: str, id_as: str, vec_as: str) -> DataFrame:
@@ -112,12 +152,6 @@ def _out_schema(queries: DataFrame, corpus: DataFrame) -> T.StructType:
     )
 
 
-def _result(query_ids: np.ndarray, best: _Best, schema: pa.Schema) -> pa.RecordBatch:
-    ids = best.row_id if best.row_id is not None else np.empty(0, np.int64)
-    columns = [query_ids[best.query] if len(best.query) else query_ids[:0], ids, best.score]
-    return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
-
-
 def top_k(
     corpus: DataFrame,
     queries: DataFrame,
@@ -148,14 +182,13 @@ def top_k(
         shipped = spark.sparkContext.broadcast((local["query_id"].to_numpy(), _matrix(local["query_vec"])))
 
         def scan_corpus(batches):
-            query_ids, vectors = shipped.value
-            best = _Best(k, at_least)
+            search = _Search(*shipped.value, k, at_least, metric)
             for batch in batches:
-                if len(batch) and len(vectors):
-                    _scan(best, vectors, _matrix(batch["doc_vec"]), batch["doc_id"].to_numpy(zero_copy_only=False), metric)
-            yield _result(query_ids, best, arrow)
+                if len(batch):
+                    search.scan(_matrix(batch["doc_vec"]), batch["doc_id"].to_numpy(zero_copy_only=False))
+            yield from search.results(arrow)
 
-        found = c.mapInArrow(scan_corpus, out)
+        found = _dealt(c, len(local)).mapInArrow(scan_corpus, out)
     else:
         local = _small(c, "doc_vec")
         if local is not None:
@@ -165,13 +198,9 @@ def top_k(
                 ids, vectors = shipped.value
                 for batch in batches:
                     if len(batch) and len(vectors):
-                        asked = _matrix(batch["query_vec"])
-                        step = max(1, CELLS // len(vectors))
-                        names = batch["query_id"].to_numpy(zero_copy_only=False)
-                        for at in range(0, len(asked), step):
-                            best = _Best(k, at_least)
-                            best.add(_scores(asked[at : at + step], vectors, metric), ids)
-                            yield _result(names[at : at + step], best, arrow)
+                        search = _Search(batch["query_id"].to_numpy(zero_copy_only=False), _matrix(batch["query_vec"]), k, at_least, metric)
+                        search.scan(vectors, ids)
+                        yield from search.results(arrow)
 
             found = q.mapInArrow(scan_queries, out)
         else:
@@ -179,6 +208,19 @@ def top_k(
     return first_n(found, ["query_id"], ranked, k, rank="rank")
 
 
+def _dealt(c: DataFrame, asked: int) -> DataFrame:
+    """The corpus over all cores, if there is more to multiply than one product makes and its files give fewer tasks than cores.
+
+    A task puts out k rows per query, so it has ``TASK_ROWS`` rows or more.
+    """
+    want = c.sparkSession.sparkContext.defaultParallelism
+    if c.rdd.getNumPartitions() >= want:
+        return c
+    rows = c.count()
+    tasks = min(3 * want, rows // TASK_ROWS)
+    return c.repartition(tasks, "doc_id") if tasks > c.rdd.getNumPartitions() and rows * asked > CELLS else c
+
+
 def _grid(c: DataFrame, q: DataFrame, k: int, metric: str, at_least, out: T.StructType, arrow: pa.Schema) -> DataFrame:
     """Blocks of queries against blocks of the corpus, one task per pair."""
     q_blocks = -(-_bytes(q, "query_vec") // QUERY_BLOCK_BYTES)
@@ -192,10 +234,10 @@ def _grid(c: DataFrame, q: DataFrame, k: int, metric: str, at_least, out: T.Stru
     right = spread(q, "query_id", "qb", q_blocks, "cb", c_blocks).groupBy("qb", "cb")
 
     def block(rows: pa.Table, asked: pa.Table) -> pa.Table:
-        best = _Best(k, at_least)
+        search = _Search(asked["query_id"].to_numpy(), _matrix(asked["query_vec"]), k, at_least, metric)
         if len(rows) and len(asked):
-            _scan(best, _matrix(asked["query_vec"]), _matrix(rows["doc_vec"]), rows["doc_id"].to_numpy(), metric)
-        return pa.Table.from_batches([_result(asked["query_id"].to_numpy(), best, arrow)])
+            search.scan(_matrix(rows["doc_vec"]), rows["doc_id"].to_numpy())
+        return pa.Table.from_batches(search.results(arrow), arrow)
 
     return left.cogroup(right).applyInArrow(block, out)
 
@@ -309,9 +351,9 @@ def _probe(corpus: DataFrame, centres: np.ndarray, q: DataFrame, k: int, probes:
                 who = np.nonzero((probed == cell).any(axis=1))[0]
                 here = np.nonzero(cells == cell)[0]
                 if len(who):
-                    best = _Best(k, None)
-                    _scan(best, asked[who], vecs[here], ids[here], "cosine")
-                    yield _result(query_ids[who], best, arrow)
+                    search = _Search(query_ids[who], asked[who], k, None, "cosine")
+                    search.scan(vecs[here], ids[here])
+                    yield from search.results(arrow)
 
     return rows.mapInArrow(scan, out)
 

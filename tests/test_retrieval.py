@@ -1,6 +1,7 @@
 """Vector, cache and search operators against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,3 +141,25 @@ def test_embed_with_loads_once_per_worker(spark):
     df = spark.createDataFrame([("ab",), ("abc",)], "t string")
     out = similarity.embed_with(df, "t", "v", lambda: lambda texts: [[float(len(x))] for x in texts])
     assert sorted(r.v[0] for r in out.collect()) == [2.0, 3.0]
+
+
+def test_search_parts_only_the_first_rows(monkeypatch):
+    """Later scores of a long scan only meet the edge of the best, and blocks of queries keep their own best."""
+    monkeypatch.setattr(similarity, "QUERY_STEP", 8)
+    corpus, queries = table(6000, 11, copies=500).astype(float), table(20, 12).astype(float)
+    parted, partition = [], np.partition
+    monkeypatch.setattr(similarity.np, "partition", lambda a, *rest, **more: parted.append(a.size) or partition(a, *rest, **more))
+    searching = similarity._Search(np.arange(20), queries, 7, None, "cosine")
+    for at in range(0, 6000, 1500):
+        searching.scan(corpus[at : at + 1500], np.arange(at, min(at + 1500, 6000)))
+    monkeypatch.undo()
+    assert 0 < sum(parted) < 20 * 6000 / 20
+    schema = pa.schema([("query_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.float64())])
+    got = pa.Table.from_batches(searching.results(schema)).to_pylist()
+    assert {(r["query_id"], r["doc_id"]) for r in got} == {(i, j) for i, j, _ in brute(corpus, queries, 7, "cosine")}
+
+
+def test_the_corpus_is_dealt_to_the_cores_for_many_queries(spark):
+    corpus = spark.range(similarity.TASK_ROWS * 3).coalesce(1)
+    assert similarity._dealt(corpus.withColumnRenamed("id", "doc_id"), 1000).rdd.getNumPartitions() == 3
+    assert similarity._dealt(corpus.withColumnRenamed("id", "doc_id"), 1).rdd.getNumPartitions() == 1
