@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from html import unescape
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +40,22 @@ def chunk_fixed(df: DataFrame, text: str, max_length: int = 1000, overlap: int =
     )
 
 
+# Bytes of text that are cut at a time: what Python holds besides the batch that came and the longest text.
+CUT_BYTES = 1 << 20
+
+
+def _in_steps(texts: pa.Array) -> Iterator[slice]:
+    """A batch in steps of whole texts, each of ``CUT_BYTES`` or one text."""
+    start, held = 0, 0
+    for i, size in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)):
+        if i > start and held + size > CUT_BYTES:
+            yield slice(start, i)
+            start, held = i, 0
+        held += int(size)
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
 def _sentence_pieces(text: str, size: int, overlap: int) -> list[tuple[int, str]]:
     out, start, n = [], 0, len(text)
     while start < n:
@@ -53,15 +72,19 @@ def _sentence_pieces(text: str, size: int, overlap: int) -> list[tuple[int, str]
 def chunk_sentence(df: DataFrame, text: str, size: int = 500, overlap: int = 50) -> DataFrame:
     """Chunks that end at the last full stop when it lies in the second half of the window.
 
-    Each start depends on the chunk before, so the cut points come from an
-    Arrow-batched function over one text at a time.
+    Each start depends on the chunk before, so the cut points come from a
+    function over one text at a time; the texts of an Arrow batch are cut in steps.
     """
     if overlap * 2 >= size:
         raise ValueError("overlap must be smaller than half the size")
 
-    @F.pandas_udf("array<struct<start:int,chunk:string>>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [] if t is None else _sentence_pieces(t, size, overlap))
+    pieces = pa.list_(pa.struct([("start", pa.int32()), ("chunk", pa.string())]))
+
+    @F.arrow_udf("array<struct<start:int,chunk:string>>")
+    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            for some in _in_steps(texts):
+                yield pa.array([[] if t is None else _sentence_pieces(t, size, overlap) for t in texts[some].to_pylist()], pieces)
 
     return df.select("*", F.posexplode(cut(F.col(text))).alias("chunk_index", "__c")).select(
         *df.columns, "chunk_index", F.col("__c.start").alias("chunk_start"), F.col("__c.chunk").alias("chunk")
@@ -111,13 +134,15 @@ def _packed(pieces: list[str], size: int, overlap: int) -> list[str]:
 def chunk_recursive(df: DataFrame, text: str, kind: Column) -> DataFrame:
     """Chunks by separators of the document type in column ``kind``."""
 
-    @F.pandas_udf("array<string>")
-    def cut(texts: pd.Series, kinds: pd.Series) -> pd.Series:
-        def one(body, name):
-            size, overlap, separators = SPLITTERS.get(name, SPLITTERS["default"])
-            return _packed(_pieces(body or "", size, separators), size, overlap)
+    def one(body: str | None, name: str | None) -> list[str]:
+        size, overlap, separators = SPLITTERS.get(name, SPLITTERS["default"])
+        return _packed(_pieces(body or "", size, separators), size, overlap)
 
-        return pd.Series([one(b, k) for b, k in zip(texts, kinds)])
+    @F.arrow_udf("array<string>")
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, kinds in batches:
+            for some in _in_steps(texts):
+                yield pa.array(map(one, texts[some].to_pylist(), kinds[some].to_pylist()), pa.list_(pa.string()))
 
     return df.select("*", F.posexplode(cut(F.col(text), kind)).alias("chunk_index", "chunk"))
 

@@ -1,5 +1,6 @@
 """Chunking, packing and memory against the cases the operators are defined by."""
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -134,3 +135,15 @@ def test_render_leaves_values_alone(spark):
 def test_page_text_prefers_the_article(spark):
     html = "<html><body><p>out</p><article><h1>T</h1><script>x</script><p>a &amp;lt; b</p></article></body></html>"
     assert docs(spark, [html]).select(chunks.page_text(F.col("text"))).first()[0] == "T\na &lt; b"
+
+
+def test_texts_are_cut_in_steps_of_bounded_bytes(spark, monkeypatch):
+    texts = pa.array(["a" * 600, None, "b" * 600, "é" * 900, "", "c"])
+    monkeypatch.setattr(chunks, "CUT_BYTES", 1000)
+    assert [(s.start, s.stop) for s in chunks._in_steps(texts)] == [(0, 2), (2, 3), (3, 4), (4, 6)]
+    assert list(chunks._in_steps(texts[:0])) == []
+    df = docs(spark, texts.to_pylist()).coalesce(1)
+    cut = chunks.chunk_sentence(df, "text").groupBy(F.substring("chunk", 1, 1).alias("c")).count().collect()
+    assert {r.c: r["count"] for r in cut} == {"a": 2, "b": 2, "é": 2, "c": 1}
+    whole = chunks.chunk_recursive(df, "text", F.lit("faq")).select("chunk").collect()
+    assert sorted(r.chunk for r in whole) == sorted(t for t in texts.to_pylist() if t)
