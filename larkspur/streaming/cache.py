@@ -22,17 +22,21 @@ class Entries(StatefulProcessor):
         self.entry = handle.getValueState("entry", "value string, expires_us long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        # The state is read once and written once a batch, however many rows the key has: each access is a call to the JVM.
+        held = self.entry.get()
+        before = held
         for r in sorted(rows, key=lambda r: (r.ts, r.request_id)):
             at = int(r.ts.timestamp() * 1_000_000 + 0.5)
-            held = self.entry.get() if self.entry.exists() else None
             if r.kind == "set":
                 expires = at + self.ttl_ms * 1000
                 if held is None or held[1] <= expires:
-                    self.entry.update((r.value, expires))
-                    self.handle.registerTimer(-(-expires // 1000))
+                    held = (r.value, expires)
                 continue
             hit = held is not None and at < held[1]
             yield Row(key=key[0], request_id=r.request_id, ts=r.ts, hit=hit, value=held[0] if hit else None)
+        if held is not before:
+            self.entry.update(held)
+            self.handle.registerTimer(-(-held[1] // 1000))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if self.entry.exists() and self.entry.get()[1] <= expiredTimerInfo.getExpiryTimeInMs() * 1000:

@@ -3,6 +3,8 @@
 import datetime as dt
 import random
 
+from pyspark.sql import Row
+
 from larkspur.streaming import cache, topics
 
 LOG = "key string, request_id long, ts timestamp, kind string, value string"
@@ -38,3 +40,40 @@ def test_hits_and_misses_over_runs(spark, tmp_path):
         got[r.request_id] = (r.hit, r.value)
     want = brute(rows, 600)
     assert got == want and want[1001] == (True, "x") and want[1002] == (False, None) and {h for h, _ in want.values()} == {True, False}
+
+
+class Held:
+    """A value state that counts how often it is reached."""
+
+    def __init__(self, value=None):
+        self.value, self.reads, self.writes, self.timers = value, 0, 0, []
+
+    def get(self):
+        self.reads += 1
+        return self.value
+
+    def exists(self):
+        self.reads += 1
+        return self.value is not None
+
+    def update(self, value):
+        self.writes += 1
+        self.value = value
+
+    def getValueState(self, *_):
+        return self
+
+    def registerTimer(self, when):
+        self.timers.append(when)
+
+
+def test_state_is_reached_once_a_batch():
+    start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    rows = [Row(key="a", request_id=i, ts=start + dt.timedelta(seconds=i), kind="set" if i % 10 == 0 else "get", value=f"v{i}") for i in range(1000)]
+    held, entries = Held(), cache.Entries(5)
+    entries.init(held)
+    got = {r.request_id: (r.hit, r.value) for r in entries.handleInputRows(("a",), iter(rows), None)}
+    assert got == {i: (i % 10 < 5, f"v{i - i % 10}" if i % 10 < 5 else None) for i in range(1000) if i % 10}
+    last = int((start + dt.timedelta(seconds=995)).timestamp())
+    assert (held.reads, held.writes, held.value, held.timers) == (1, 1, ("v990", last * 10**6), [last * 1000])
+    assert list(entries.handleInputRows(("a",), iter([rows[1]]), None))[0].hit and (held.reads, held.writes) == (2, 1)
