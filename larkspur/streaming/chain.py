@@ -54,14 +54,18 @@ class Attempts(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         doc = key[0]
-        for r in sorted(rows, key=lambda r: (r.version, r.event != "uploaded", r.ts)):
-            if doc is None:  # a tick of the clock
-                continue
-            now = self.at.get() if self.at.exists() else None
+        rows = sorted(rows, key=lambda r: (r.version, r.event != "uploaded", r.ts))
+        if doc is None:  # a tick of the clock
+            return
+        # The state is read once and written once a batch: each access is a call to the JVM.
+        now = self.at.get()
+        before, known, timers = now, now is not None, []
+        for r in rows:
             if r.event == "uploaded":
                 if now is None or now[0] < r.version:
-                    self._stop_timers()
-                    self.at.update((r.version, self.first, 0, 0))
+                    if known:
+                        self._stop_timers()
+                    now, known, timers = (r.version, self.first, 0, 0), False, []
                     yield _due(doc, "try", r.version, self.first, 1, None)
             elif now is None or now[0] != r.version:
                 continue  # of a version before
@@ -69,12 +73,16 @@ class Attempts(StatefulProcessor):
                 yield _due(doc, "index", r.version, r.step, now[3] + 1, None)
             else:
                 failed = now[2] + 1 if now[1] == r.step else 1
-                self.at.update((r.version, r.step, failed, now[3] + 1))
+                now = (r.version, r.step, failed, now[3] + 1)
                 if failed >= self.most:
-                    yield _due(doc, "dead_letter", r.version, r.step, now[3] + 1, r.error)
+                    yield _due(doc, "dead_letter", r.version, r.step, now[3], r.error)
                 else:
-                    self.handle.registerTimer(int(r.ts.timestamp() * 1000) + self.backoff_ms * 2 ** (failed - 1))
-                    yield _due(doc, "waiting", r.version, r.step, now[3] + 1, r.error)
+                    timers.append(int(r.ts.timestamp() * 1000) + self.backoff_ms * 2 ** (failed - 1))
+                    yield _due(doc, "waiting", r.version, r.step, now[3], r.error)
+        if now is not before:
+            self.at.update(now)
+        for when in timers:
+            self.handle.registerTimer(when)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         version, step, failed, _ = self.at.get()

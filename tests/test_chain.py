@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from larkspur.sources import sinks
@@ -66,3 +67,53 @@ def test_a_document_that_comes_again_starts_anew(spark, tmp_path):
     assert got == {1: ("index", "embed", 1, None), 7: ("index", "embed", 1, None)}
     assert sorted(r.chunk for r in sinks.read_keyed(spark, f"{root}/index").collect()) == ["mended", "new", "text"]
     assert status(chain.run_chain(spark, new, "doc_id", steps(always=-1), root, at(500))) == got
+
+
+class Held:
+    """A value state that counts how often it is reached."""
+
+    def __init__(self):
+        self.value, self.calls, self.timers = None, 0, []
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def exists(self):
+        self.calls += 1
+        return self.value is not None
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def getValueState(self, *_):
+        return self
+
+    def registerTimer(self, when):
+        self.timers.append(when)
+
+    def deleteTimer(self, when):
+        self.timers.remove(when)
+
+    def listTimers(self):
+        self.calls += 1
+        return list(self.timers)
+
+
+def test_state_is_reached_once_a_batch():
+    held, tries = Held(), chain.Attempts("parse", 3, 60_000)
+    tries.init(held)
+
+    def event(kind, seconds, version=1, step=None, error=None):
+        return Row(doc_id=5, event=kind, version=version, step=step, error=error, ts=at(seconds))
+
+    def send(*rows):
+        before = held.calls
+        return [(r.kind, r.version, r.step, r.tries) for r in tries.handleInputRows((5,), iter(rows), None)], held.calls - before
+
+    assert send(event("uploaded", 0)) == ([("try", 1, "parse", 1)], 2)
+    assert send(event("failed", 1, step="embed", error="away")) == ([("waiting", 1, "embed", 1)], 2)
+    assert held.timers == [int(at(61).timestamp() * 1000)] and held.value == (1, "embed", 1, 1)
+    assert send(event("uploaded", 9, version=2), event("failed", 9, step="embed")) == ([("waiting", 1, "embed", 2), ("try", 2, "parse", 1)], 3) and held.timers == []
+    assert send(event("done", 10, version=2, step="embed")) == ([("index", 2, "embed", 1)], 1)
