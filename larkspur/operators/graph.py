@@ -85,49 +85,62 @@ def shortest_paths(edges: DataFrame, pairs: DataFrame, max_hops: int = 3) -> Dat
     links = undirected(edges)
     step = links.select(F.col("a").alias("x"), F.col("b").alias("y"), F.col("ord").alias("o"))
     step = step.groupBy("x", "y").agg(F.min("o").alias("o"))
-    # Read by every length below, so the pairs are written once.
-    todo = cut_lineage(pairs.select("start", "end").distinct(), "pairs")
-    done = todo.where(F.col("start") == F.col("end")).select(
-        "start", "end", F.array("start").alias("path"), F.array().cast("array<bigint>").alias("ords")
-    )
+    # One edge: the join takes the shuffle of the distinct pairs. Read by every length below, so it is written once.
+    direct = step.select(F.col("x").alias("start"), F.col("y").alias("end"), "o")
+    todo = cut_lineage(pairs.select("start", "end").distinct().join(direct, ["start", "end"], "left"), "pairs")
+    done = todo.where(F.col("start") == F.col("end")).select("start", "end", F.array("start").alias("path"))
     todo = todo.where(F.col("start") != F.col("end"))
+    if max_hops < 1:
+        return done
+    done = done.unionByName(todo.where(F.col("o").isNotNull()).select("start", "end", F.array("start", "end").alias("path")))
+    todo = todo.where(F.col("o").isNull()).select("start", "end")
     last = step.select(F.col("x").alias("near"), F.col("y").alias("end"), F.col("o").alias("o_end"))
-    # Walks from the start that avoid repeating a node; one best walk per pair and node.
-    walks = todo.select("start", "end", F.col("start").alias("at"), F.array("start").alias("path"), F.array().cast("array<bigint>").alias("ords"))
-    for hops in range(1, max_hops + 1):
-        if hops == 1:
-            hit = walks.join(
-                last.withColumnRenamed("end", "e"), (F.col("at") == F.col("near")) & (F.col("end") == F.col("e"))
-            ).select("start", "end", F.concat("path", F.array("end")).alias("path"), F.concat("ords", F.array("o_end")).alias("ords"))
-        else:
-            if hops > 2:
-                walks = _extend(walks, step, hops > 3)
-            ends = last.withColumnRenamed("end", "e")
-            middle = walks.join(ends, F.col("end") == F.col("e")).join(
-                step, (F.col("at") == F.col("x")) & (F.col("near") == F.col("y"))
+    walks = None
+    for hops in range(2, max_hops + 1):
+        # Paths and edge orders are put together where a path is found, not carried by every pair.
+        if hops == 2:
+            met = todo.join(last, "end").join(step.select(F.col("x").alias("start"), F.col("y").alias("near"), "o"), ["start", "near"])
+            hit = met.where(F.col("near") != F.col("start")).select(
+                "start", "end", F.array("start", "near", "end").alias("path"), F.array("o", "o_end").alias("ords")
             )
+        else:
+            # Walks from the start that avoid repeating a node; one best walk per pair and node.
+            walks = _begun(todo, step) if walks is None else _extend(walks, step)
+            middle = walks.join(last, "end").join(step, (F.col("at") == F.col("x")) & (F.col("near") == F.col("y")))
             hit = middle.where(~F.array_contains("path", F.col("near"))).select(
                 "start",
                 "end",
                 F.concat("path", F.array("near", "end")).alias("path"),
                 F.concat("ords", F.array("o", "o_end")).alias("ords"),
             )
-        best = hit.groupBy("start", "end").agg(F.min_by("path", "ords").alias("path"), F.min("ords").alias("ords"))
+        best = hit.groupBy("start", "end").agg(F.min_by("path", "ords").alias("path"))
         found = cut_lineage(best, "paths")
         done = done.unionByName(found)
         if hops < max_hops:
-            walks = walks.join(found.select("start", "end"), ["start", "end"], "left_anti")
-    return done.select("start", "end", "path")
+            rest = todo if walks is None else walks
+            rest = rest.join(found.select("start", "end"), ["start", "end"], "left_anti")
+            todo, walks = (rest, None) if walks is None else (todo, rest)
+    return done
+
+
+def _begun(todo: DataFrame, step: DataFrame) -> DataFrame:
+    """Walks of one edge."""
+    first = step.select(F.col("x").alias("start"), F.col("y").alias("at"), "o")
+    return (
+        todo.join(first, "start")
+        .where(F.col("at") != F.col("start"))
+        .select("start", "end", "at", F.array("start", "at").alias("path"), F.array("o").alias("ords"))
+    )
 
 
-def _extend(walks: DataFrame, step: DataFrame, meet: bool) -> DataFrame:
-    """Walks one edge longer. From the second step on several may meet in a node: the first in edge order stays."""
+def _extend(walks: DataFrame, step: DataFrame) -> DataFrame:
+    """Walks one edge longer. Several may meet in a node: the first in edge order stays."""
     longer = (
         walks.join(step, F.col("at") == F.col("x"))
         .where(~F.array_contains("path", F.col("y")))
         .select("start", "end", F.col("y").alias("at"), F.concat("path", F.array("y")).alias("path"), F.concat("ords", F.array("o")).alias("ords"))
     )
-    return first_n(longer, ["start", "end", "at"], [F.col("ords")], 1) if meet else longer
+    return first_n(longer, ["start", "end", "at"], [F.col("ords")], 1)
 
 
 SEED = 4

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -152,6 +153,15 @@ def _partitions(spark: SparkSession, root: str, column: str) -> list[int]:
     return sorted(int(c.split("=")[1]) for c in _children(spark, root) if c.startswith(f"{column}="))
 
 
+def replace_folder(spark: SparkSession, new: str, old: str) -> None:
+    """Put a folder in the place of another one of the same file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(old).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(path(old), True)
+    if not system.rename(path(new), path(old)):
+        raise OSError(f"{new} was not moved to {old}")
+
+
 def bucket_column(buckets: int) -> str:
     return f"bucket_of_{buckets}"
 
@@ -174,8 +184,8 @@ def merge_buckets(
 ) -> DataFrame:
     """Replace the rows of the buckets that incoming keys fall into by ``merge(their rows, incoming)``.
 
-    The table is Parquet, partitioned by a hash of the key; reading prunes to the buckets, and a staged copy of the
-    result replaces their partitions (dynamic partition overwrite); the first rows are written at once. ``merge`` gets
+    The table is Parquet, partitioned by a hash of the key; reading prunes to the buckets, and the result is written once,
+    beside them in a hidden folder, from which its partitions are moved into their places; the first rows are written at once. ``merge`` gets
     None for a table that does not exist yet. A job that fails before its end leaves the table as it was, and one
     repeated with the same rows gives the same table. One writer at a time: a bucket that another one has changed
     meanwhile is an error, and nothing is written. Many writers need a table format with row-level changes
@@ -193,17 +203,18 @@ def merge_buckets(
             stored = spark.read.parquet(root).where(F.col(column).isin(touched))
         held = set(stored.inputFiles()) if stored is not None else set()
         merged = merge(None if stored is None else stored.drop(column), incoming).withColumn(column, bucket).repartition(column)
-        writer = lambda rows: rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column)
         if stored is None:  # nothing is read that the write replaces
-            writer(merged).parquet(root)
+            merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(root)
             filled = set(touched)
         else:
-            merged = scratch.cut(merged, "merged")
-            filled = {r[0] for r in merged.select(column).distinct().collect()}
+            staged = f"{root}/.staged-{uuid.uuid4().hex}"  # hidden from readers, on the same file system
+            scratch.paths.append(staged)
+            merged.write.partitionBy(column).parquet(staged)
+            filled = set(_partitions(spark, staged, column))
             if set(spark.read.parquet(root).where(F.col(column).isin(touched)).inputFiles()) != held:
                 raise RuntimeError(f"another writer has changed {root} meanwhile")
-            if filled:
-                writer(merged).parquet(root)
+            for number in sorted(filled):
+                replace_folder(spark, f"{staged}/{column}={number}", f"{root}/{column}={number}")
         for gone in set(touched) - filled:
             remove(spark, f"{root}/{column}={gone}")
     if not _partitions(spark, root, column):

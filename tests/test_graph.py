@@ -91,3 +91,14 @@ def test_relations(spark):
     got = {tuple(r) for r in graph.relations_of(e).select("node", "neighbor", "relation").collect()}
     assert got == {("n1", "n2", "R"), ("n2", "n1", "inverse_R")}
     assert graph.undirected(e.where(F.lit(False))).count() == 0
+
+
+def test_pairs_carry_no_paths(spark, monkeypatch):
+    """One edge is looked up in the job that makes the pairs distinct; what is written holds no path but a found one."""
+    written, cut = [], graph.cut_lineage
+    monkeypatch.setattr(graph, "cut_lineage", lambda df, label="cut": written.append((label, df.columns)) or cut(df, label))
+    _, e = frames(spark, [(1, "a", "b", "r"), (2, "b", "c", "r"), (3, "c", "d", "r")])
+    pairs = spark.createDataFrame([("a", x) for x in "abcd"] * 2, "start string, end string")
+    got = graph.shortest_paths(e, pairs).collect()
+    assert sorted("".join(r.path) for r in got) == ["a", "ab", "abc", "abcd"]
+    assert written == [("pairs", ["start", "end", "o"])] + 2 * [("paths", ["start", "end", "path"])]
