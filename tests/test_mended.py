@@ -316,3 +316,13 @@ for name in ("chunk_sentence", "injection_scan_json", "vector_topk"):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
     assert done.returncode == 0 and done.stdout.count("\n") >= 3, done.stderr[-2000:]
+
+
+def test_a_merge_writes_its_result_once(spark, tmp_path, monkeypatch):
+    root, labels, cut = f"{tmp_path}/t", [], sinks.Scratch.cut
+    monkeypatch.setattr(sinks.Scratch, "cut", lambda self, df, label="cut": labels.append(label) or cut(self, df, label))
+    sinks.silver_merge(spark, spark.range(40).withColumn("v", F.lit("a")), root, "id", [F.col("v")], 4)
+    sinks.silver_merge(spark, spark.range(10, 50).withColumn("v", F.lit("b")), root, "id", [F.col("v")], 4)
+    assert labels == ["incoming", "incoming"]
+    assert {(r.id, r.v) for r in sinks.read_keyed(spark, root).collect()} == {(i, "a" if i < 10 else "b") for i in range(50)}
+    assert not [f for f in os.listdir(root) if f.startswith(".staged")]
