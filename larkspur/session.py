@@ -22,6 +22,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+#: Of keyed tables and of intermediate tables of merges: texts take a third less than with snappy.
+CODEC = "zstd"
+
 _LOCAL_DIR: str | None = None
 
 
@@ -118,10 +121,10 @@ class Scratch:
         self.spark = spark
         self.paths: list[str] = []
 
-    def cut(self, df: DataFrame, label: str = "cut") -> DataFrame:
+    def cut(self, df: DataFrame, label: str = "cut", *partition_by: str) -> DataFrame:
         path = work_path(self.spark, label)
         self.paths.append(path)
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path, compression=CODEC)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, path: str) -> None:

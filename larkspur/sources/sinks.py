@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.operators.ordered import keep_first
-from larkspur.session import Scratch, remove
+from larkspur.session import CODEC, Scratch, remove
 from larkspur.sources.files import format_of
 
 
@@ -174,6 +174,52 @@ def read_keyed(spark: SparkSession, root: str) -> DataFrame | None:
     return table.drop(*[c for c in table.columns if c.startswith("bucket_of_")])
 
 
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def by_bucket(df: DataFrame, key: str, buckets: int = 64) -> DataFrame:
+    """The rows with the bucket column of a keyed table, dealt out by it."""
+    column = bucket_column(buckets)
+    return df.withColumn(column, bucket_of(key, buckets)).repartition(column)
+
+
+def _table_column(spark: SparkSession, root: str, buckets: int) -> str:
+    column = bucket_column(buckets)
+    if any(c.startswith("bucket_of_") and not c.startswith(f"{column}=") for c in _children(spark, root)):
+        raise ValueError(f"{root} has another number of buckets than {buckets}")
+    return column
+
+
+def _stored(spark: SparkSession, root: str, column: str, touched: list[int]) -> DataFrame | None:
+    """The rows of some buckets; None before the first write."""
+    return spark.read.parquet(root).where(F.col(column).isin(touched)) if _partitions(spark, root, column) else None
+
+
+def _put(spark: SparkSession, root: str, column: str, touched: list[int], held: set[str] | None, parts: list[DataFrame]) -> DataFrame:
+    """Write the new rows of the touched buckets, ``parts`` one after another, and put them in the place of the files ``held``."""
+    if held is None:  # nothing is read that the write replaces
+        (only,) = parts
+        only.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(root, compression=CODEC)
+        filled = set(touched)
+    else:
+        with Scratch(spark) as scratch:
+            staged = f"{root}/.staged-{uuid.uuid4().hex}"  # hidden from readers, on the same file system
+            scratch.paths.append(staged)
+            for part in parts:
+                part.write.mode("append").partitionBy(column).parquet(staged, compression=CODEC)
+            filled = set(_partitions(spark, staged, column))
+            if set(_stored(spark, root, column, touched).inputFiles()) != held:
+                raise RuntimeError(f"another writer has changed {root} meanwhile")
+            for number in sorted(filled):
+                replace_folder(spark, f"{staged}/{column}={number}", f"{root}/{column}={number}")
+    for gone in set(touched) - filled:
+        remove(spark, f"{root}/{column}={gone}")
+    if not _partitions(spark, root, column):
+        return spark.createDataFrame([], parts[0].schema).drop(column)
+    return spark.read.schema(parts[0].schema).parquet(root).drop(column)
+
+
 def merge_buckets(
     spark: SparkSession,
     root: str,
@@ -191,35 +237,58 @@ def merge_buckets(
     meanwhile is an error, and nothing is written. Many writers need a table format with row-level changes
     (``merge_into_table``). The number of buckets of a table stays as it was first given.
     """
-    column = bucket_column(buckets)
-    if any(c.startswith("bucket_of_") and not c.startswith(f"{column}=") for c in _children(spark, root)):
-        raise ValueError(f"{root} has another number of buckets than {buckets}")
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    column = _table_column(spark, root, buckets)
     with Scratch(spark) as scratch:
         incoming = scratch.cut(incoming, "incoming")
-        touched = sorted(r[0] for r in incoming.select(bucket).distinct().collect())  # at most one row per bucket
-        stored = None
-        if _partitions(spark, root, column):
-            stored = spark.read.parquet(root).where(F.col(column).isin(touched))
-        held = set(stored.inputFiles()) if stored is not None else set()
-        merged = merge(None if stored is None else stored.drop(column), incoming).withColumn(column, bucket).repartition(column)
-        if stored is None:  # nothing is read that the write replaces
-            merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(root)
-            filled = set(touched)
-        else:
-            staged = f"{root}/.staged-{uuid.uuid4().hex}"  # hidden from readers, on the same file system
-            scratch.paths.append(staged)
-            merged.write.partitionBy(column).parquet(staged)
-            filled = set(_partitions(spark, staged, column))
-            if set(spark.read.parquet(root).where(F.col(column).isin(touched)).inputFiles()) != held:
-                raise RuntimeError(f"another writer has changed {root} meanwhile")
-            for number in sorted(filled):
-                replace_folder(spark, f"{staged}/{column}={number}", f"{root}/{column}={number}")
-        for gone in set(touched) - filled:
-            remove(spark, f"{root}/{column}={gone}")
-    if not _partitions(spark, root, column):
-        return spark.createDataFrame([], merged.schema).drop(column)
-    return spark.read.schema(merged.schema).parquet(root).drop(column)
+        touched = sorted(r[0] for r in incoming.select(bucket_of(key, buckets)).distinct().collect())  # at most one row per bucket
+        stored = _stored(spark, root, column, touched)
+        held = None if stored is None else set(stored.inputFiles())
+        merged = merge(None if stored is None else stored.drop(column), incoming)
+        return _put(spark, root, column, touched, held, [by_bucket(merged, key, buckets)])
+
+
+#: Bytes of keys that ``replace_keys`` ships to the tasks at a time, and files of a bucket from which on it lays out the stored rows anew.
+KEYS_SHIPPED, FILES_PER_BUCKET = 32 << 20, 4
+
+
+def _groups(sizes: dict[int, int], most: int) -> list[list[int]]:
+    """Buckets in groups of at most ``most`` bytes, or of one bucket."""
+    groups, held = [], 0
+    for number, size in sorted(sizes.items()):
+        if not groups or held + size > most:
+            groups.append([])
+            held = 0
+        groups[-1].append(number)
+        held += size
+    return groups
+
+
+def replace_keys(spark: SparkSession, root: str, key: str, keys: DataFrame, fresh: DataFrame, buckets: int = 64) -> DataFrame:
+    """Replace all rows of ``keys`` in a keyed table by the rows ``fresh``, as ``merge_buckets`` does, shuffling neither.
+
+    ``fresh`` has the bucket column and lies by it: it comes from ``by_bucket``, or from files partitioned by the column.
+    Stored rows lie by it as they are read, and stay in the task that reads them: they meet the keys of their buckets, which
+    are shipped to the tasks, those of some buckets at a time so that they are bounded. Only buckets of more keys than that
+    are shuffled, and buckets that have come to many files, which are put together.
+    """
+    column = _table_column(spark, root, buckets)
+    with Scratch(spark) as scratch:
+        keys = scratch.cut(keys.select(key), "keys").withColumn(column, bucket_of(key, buckets))
+        size = F.sum(F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0)) + 16)
+        sizes = {r[0]: r[1] for r in keys.groupBy(column).agg(size).collect()}  # at most one row per bucket
+        touched = sorted(sizes)
+        stored = _stored(spark, root, column, touched)
+        if stored is None:
+            return _put(spark, root, column, touched, None, [fresh])
+        held = set(stored.inputFiles())
+        crowded = len(held) > FILES_PER_BUCKET * max(len(touched), stored.rdd.getNumPartitions())
+        parts = [fresh]
+        for group in _groups(sizes, KEYS_SHIPPED):
+            shipped = sum(sizes[b] for b in group) <= KEYS_SHIPPED
+            mine = keys.where(F.col(column).isin(group)).select(key)
+            kept = delete_by_key(stored.where(F.col(column).isin(group)), F.broadcast(mine) if shipped else mine, key).select(*fresh.columns)
+            parts.append(kept if shipped and not crowded else kept.repartition(column))
+        return _put(spark, root, column, touched, held, parts)
 
 
 def clear(spark: SparkSession, root: str) -> None:

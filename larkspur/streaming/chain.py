@@ -178,12 +178,7 @@ def run_chain(
             if due.isEmpty():
                 return
             outcomes, rows = _work(due, fetch, steps, root, batch_id, scratch)
-
-            def replace(stored: DataFrame | None, keys: DataFrame) -> DataFrame:
-                old = None if stored is None else sinks.delete_by_key(stored, keys, "doc_id")
-                return rows if old is None else old.select(*rows.columns).unionByName(rows)
-
-            sinks.merge_buckets(spark, f"{root}/index", "doc_id", due.select("doc_id").distinct(), replace)
+            sinks.replace_keys(spark, f"{root}/index", "doc_id", due.select("doc_id").distinct(), sinks.by_bucket(rows, "doc_id"))
             put_events(outcomes.withColumn("ts", F.timestamp_seconds(F.lit(at + 1))), root, f"outcome-{batch_id}")
 
     events = topics.read_files(spark, f"{root}/events/*", EVENT).withWatermark("ts", "0 seconds")

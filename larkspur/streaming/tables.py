@@ -14,6 +14,9 @@ from larkspur.session import Scratch
 from larkspur.sources import sinks
 from larkspur.streaming.topics import run_to_end
 
+#: Buckets of a table of chunks.
+BUCKETS = 64
+
 
 def ingest_stream(
     docs: DataFrame,
@@ -32,6 +35,7 @@ def ingest_stream(
     its text is null now. Of several versions in one batch the one with the largest
     ``version`` counts. A chunk that two documents share has a row for each, so it
     stays while one of them holds it; ``current_chunks`` gives one row per chunk.
+    The documents of a batch are shuffled once, by bucket; chunks and stored rows are not.
     ``embed`` adds a column ``vector`` to the chunks. Null texts, and chunks whose
     vector is null, go to ``rejects`` with a reason. Failed tasks are retried by
     Spark, and a repeated batch gives the same table.
@@ -40,21 +44,21 @@ def ingest_stream(
     def index(batch: DataFrame, batch_id: int) -> None:
         with Scratch(batch.sparkSession) as scratch:
             order = [F.desc(version)] if version else []
-            batch = scratch.cut(keep_first(batch, [key], [*order, F.desc_nulls_last(text)]), "batch")
+            bucket = sinks.bucket_column(BUCKETS)
+            newest = keep_first(sinks.by_bucket(batch, key, BUCKETS), [bucket, key], [*order, F.desc_nulls_last(text)])
+            batch = scratch.cut(newest, "batch", bucket)
             fresh = chunks.ingest(batch.where(F.col(text).isNotNull()), text, source)
             failed = batch.where(F.col(text).isNull()).select(F.col(key).cast("string").alias("key"), F.lit("no text").alias("reason"))
             if embed:
-                fresh = scratch.cut(embed(fresh), "embedded")
+                fresh = scratch.cut(embed(fresh.drop(bucket)), "embedded")
                 failed = failed.unionAll(
                     fresh.where(F.col("vector").isNull()).select(F.col(key).cast("string"), F.lit("no vector")).distinct()
                 )
                 fresh = fresh.where(F.col("vector").isNotNull())
             failed.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
-
-            def replace(stored: DataFrame | None, keys: DataFrame) -> DataFrame:
-                return fresh if stored is None else sinks.delete_by_key(stored, keys, key).select(*fresh.columns).unionByName(fresh)
-
-            sinks.merge_buckets(batch.sparkSession, root, key, batch.select(key), replace)
+            # chunks lie by the bucket of their document, as the batch does; an embedding may deal them out otherwise
+            laid = sinks.by_bucket(fresh, key, BUCKETS) if embed else fresh
+            sinks.replace_keys(batch.sparkSession, root, key, batch.select(key), laid, BUCKETS)
 
     return run_to_end(docs, index, checkpoint)
 

@@ -326,3 +326,64 @@ def test_a_merge_writes_its_result_once(spark, tmp_path, monkeypatch):
     assert labels == ["incoming", "incoming"]
     assert {(r.id, r.v) for r in sinks.read_keyed(spark, root).collect()} == {(i, "a" if i < 10 else "b") for i in range(50)}
     assert not [f for f in os.listdir(root) if f.startswith(".staged")]
+
+
+def exchanges(df):
+    """Shuffles and shipped tables in the plan of a frame."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning"), plan.count("BroadcastExchange")
+
+
+def put_parts(monkeypatch):
+    """What the merges write, as frames, in order."""
+    parts, real = [], sinks._put
+    monkeypatch.setattr(sinks, "_put", lambda *args: parts.extend(args[-1]) or real(*args))
+    return parts
+
+
+def test_a_batch_is_shuffled_once_and_stored_chunks_are_not(spark, tmp_path, monkeypatch):
+    parts = put_parts(monkeypatch)
+    put(spark, f"{tmp_path}/in", [(i, "a", "text of " * 200 + str(i), 1) for i in range(300)], DOC)
+    index(spark, tmp_path, version="v")
+    put(spark, f"{tmp_path}/in", [(i, "a", None if i % 2 else "newer", v) for i in range(60) for v in (3, 2)], DOC)
+    rows = index(spark, tmp_path, version="v")
+    assert [exchanges(p) for p in parts] == [(0, 0), (0, 0), (0, 1)]
+    assert {(r.doc_id, r.chunk) for r in rows.where("doc_id < 60").collect()} == {(i, "newer") for i in range(0, 60, 2)}
+    assert rows.where("doc_id >= 60").groupBy("doc_id").count().where("count = 3").count() == 240
+
+
+@pytest.mark.parametrize(("most", "groups", "shuffled"), [(1 << 20, 1, False), (4500, 4, False), (10, 8, True)])
+def test_keys_are_shipped_some_buckets_at_a_time(spark, tmp_path, monkeypatch, most, groups, shuffled):
+    root = f"{tmp_path}/t"
+    old = spark.range(400).select("id", F.explode(F.array(F.lit("a"), F.lit("b"))).alias("v"))
+    keys = spark.range(100, 500)
+    sinks.replace_keys(spark, root, "id", old.select("id").distinct(), sinks.by_bucket(old, "id", 8), 8)
+    monkeypatch.setattr(sinks, "KEYS_SHIPPED", most)
+    parts = put_parts(monkeypatch)
+    fresh = spark.range(200, 450).withColumn("v", F.lit("c"))
+    for _ in range(2):  # a repeated one changes nothing
+        out = sinks.replace_keys(spark, root, "id", keys.union(keys), sinks.by_bucket(fresh, "id", 8), 8)
+        wanted = {(i, v) for i in range(100) for v in "ab"} | {(i, "c") for i in range(200, 450)}
+        got = [tuple(r) for r in out.collect()]
+        assert set(got) == wanted and len(got) == len(wanted)
+    assert len(parts) == 2 * (1 + groups)
+    assert all((exchanges(p)[0] > 0) == shuffled for i, p in enumerate(parts) if i % (1 + groups))
+
+
+def test_buckets_of_many_files_are_put_together(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "FILES_PER_BUCKET", 1)
+    for n in range(5):
+        rows = spark.range(100 * n, 100 * n + 100)
+        sinks.replace_keys(spark, f"{tmp_path}/t", "id", rows, sinks.by_bucket(rows, "id", 16), 16)
+    table = sinks.read_keyed(spark, f"{tmp_path}/t")
+    assert table.distinct().count() == table.count() == 500
+    assert len(files_of(spark, f"{tmp_path}/t")) <= 32  # of each bucket those put together, and those of the last merge
+
+
+def test_keys_that_are_null_and_texts_that_are_gone(spark, tmp_path):
+    root, kind = f"{tmp_path}/t", "k string, v string"
+    rows = spark.createDataFrame([("x", "1"), (None, "2"), ("y", "3")], kind)
+    sinks.replace_keys(spark, root, "k", rows.select("k"), sinks.by_bucket(rows, "k", 4), 4)
+    gone = spark.createDataFrame([("x",), ("y",)], "k string")
+    sinks.replace_keys(spark, root, "k", gone, sinks.by_bucket(rows.limit(0), "k", 4), 4)
+    assert [tuple(r) for r in sinks.read_keyed(spark, root).collect()] == [(None, "2")]
